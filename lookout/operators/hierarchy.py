@@ -23,7 +23,6 @@ DEFINITION = {
     "POSTGRESQL": {"K8S_SERVICE": "short-name"},
     "APISIX": {"K8S_SERVICE": "short-name"},
     "NGINX": {"K8S_SERVICE": "short-name"},
-    "SO11Y_OAP": {"K8S_SERVICE": "short-name"},
     "ROCKETMQ": {"K8S_SERVICE": "short-name"},
     "RABBITMQ": {"K8S_SERVICE": "short-name"},
     "KAFKA": {"K8S_SERVICE": "short-name"},
@@ -40,7 +39,7 @@ DEFINITION = {
 }
 # Layer levels.
 LEVELS = {
-    "MESH": 3, "GENERAL": 3, "SO11Y_OAP": 3, "VIRTUAL_DATABASE": 3, "VIRTUAL_MQ": 3,
+    "MESH": 3, "GENERAL": 3, "VIRTUAL_DATABASE": 3, "VIRTUAL_MQ": 3,
     "MYSQL": 2, "POSTGRESQL": 2, "APISIX": 2, "NGINX": 2, "ROCKETMQ": 2, "CLICKHOUSE": 2, "RABBITMQ": 2, "KAFKA": 2,
     "PULSAR": 2, "ACTIVEMQ": 2, "KONG": 2, "AIRFLOW": 2,
     "MESH_DP": 1, "CILIUM_SERVICE": 1,
