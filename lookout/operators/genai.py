@@ -15,6 +15,7 @@ def match_models(usage: DataFrame, providers: DataFrame, prices: DataFrame, mode
 
     ``providers``: prefix, provider. ``prices``: prefix, input_price, output_price. Every prefix of a distinct model
     name is looked up by equality and the longest hit counts, so usage rows are only joined with one row per model.
+    A provider named by the span itself wins over the looked-up one.
     """
     names = usage.select(F.col(model).alias("_m")).distinct().filter(F.coalesce("_m", F.lit("")) != "")
     tries = names.select("_m", F.explode(F.transform(F.sequence(F.lit(1), F.length("_m")), lambda i: F.substring("_m", F.lit(1), i))).alias("prefix"))
@@ -22,8 +23,9 @@ def match_models(usage: DataFrame, providers: DataFrame, prices: DataFrame, mode
                                     .agg(*[F.max_by(c, F.length("prefix")).alias(c) for c in cols]))
     resolved = (names.join(longest(providers, "provider"), "_m", "left")
                 .join(longest(prices, "input_price", "output_price"), "_m", "left"))
+    known = F.coalesce("named_provider", "provider") if "named_provider" in usage.columns else F.col("provider")
     return (usage.join(resolved.withColumnRenamed("_m", model), model, "left")
-            .withColumn("provider", F.coalesce("provider", F.lit(UNKNOWN))))
+            .withColumn("provider", F.coalesce(known, F.lit(UNKNOWN))))
 
 
 def cost(input_tokens: Column, output_tokens: Column) -> Column:

@@ -9,7 +9,7 @@ from ..functions import ids, text
 from ..functions.timebucket import bucket_of_millis
 
 # Component ids of the protocols, TLS modes, response flags in the order they are tested.
-COMPONENTS = {"HTTP": 49, "gRPC": 23, "TCP": 110}
+COMPONENTS = {"HTTP": 49, "gRPC": 23, "RPC": 50, "TCP": 110}
 NON_TLS, TLS, M_TLS = "NONE", "TLS", "mTLS"
 RESPONSE_FLAGS = (
     "failed_local_healthcheck", "no_healthy_upstream", "upstream_request_timeout", "local_reset", "upstream_connection_failure",
@@ -51,7 +51,7 @@ def mesh(rows: DataFrame, tcp: bool = False) -> dict[str, DataFrame]:
     else:
         kind = F.when(F.col("protocol").isin("gRPC", "HTTP"), F.col("protocol")).otherwise("RPC")
         measure = ["latency", "status", F.col("response_code").alias("http_status"), kind.alias("type")]
-        component = F.when(F.col("protocol") == "gRPC", COMPONENTS["gRPC"]).when(F.col("protocol") == "HTTP", COMPONENTS["HTTP"]).otherwise(COMPONENTS["TCP"])
+        component = F.when(F.col("protocol") == "gRPC", COMPONENTS["gRPC"]).when(F.col("protocol") == "HTTP", COMPONENTS["HTTP"]).otherwise(COMPONENTS["RPC"])
     common = ["time_bucket", *measure, "tls_mode", _side_car(), F.lit("MESH").alias("layer")]
     served = r.filter(F.col("detect_point") == "SERVER")
     sid, did = ids.service_id(F.col("source_service")), ids.service_id(F.col("dest_service"))

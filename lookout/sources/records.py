@@ -24,7 +24,7 @@ def events(rows: DataFrame) -> DataFrame:
 
 # Tag keys of model calls.
 MODEL = "gen_ai.response.model"
-PROVIDER = "gen_ai.provider.name"
+PROVIDER, SYSTEM = "gen_ai.provider.name", "gen_ai.system"
 INPUT, OUTPUT = "gen_ai.usage.input_tokens", "gen_ai.usage.output_tokens"
 FIRST_TOKEN = "gen_ai.server.time_to_first_token"
 
@@ -32,10 +32,11 @@ FIRST_TOKEN = "gen_ai.server.time_to_first_token"
 def genai_usage(spans: DataFrame) -> DataFrame:
     """Span rows (tags map, timestamp_us, duration_us) to usage rows; counts that are no numbers read as 0."""
     tag = lambda k: F.try_element_at("tags", F.lit(k))
+    filled = lambda k: F.when(F.trim(tag(k)) != "", tag(k))
     number = lambda k, t: F.coalesce(tag(k).try_cast(t), F.lit(0).cast(t))
     ms = lambda c: F.call_function("div", F.col(c), F.lit(1000).cast("bigint"))
     return (spans.filter(F.coalesce(tag(MODEL), F.lit("")) != "")
-            .select(tag(MODEL).alias("model"), tag(PROVIDER).alias("named_provider"), number(INPUT, "bigint").alias("input_tokens"),
+            .select(tag(MODEL).alias("model"), F.coalesce(filled(PROVIDER), filled(SYSTEM)).alias("named_provider"), number(INPUT, "bigint").alias("input_tokens"),
                     number(OUTPUT, "bigint").alias("output_tokens"), number(FIRST_TOKEN, "int").alias("time_to_first_token"),
                     ms("duration_us").alias("latency"), (F.trim(F.coalesce(tag("error"), F.lit(""))) == "").alias("status"),
                     bucket_of_millis(ms("timestamp_us")).alias("time_bucket")))
