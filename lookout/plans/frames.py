@@ -35,7 +35,7 @@ def service_rows(spark, sf) -> DataFrame:
         bucket_of(F.col("ts"), "minute").alias("minute"))
 
 
-SVC = r"""svc AS (SELECT event_id, ts, user_id, epoch_ms(ts) AS ms, 'svc_' || (user_id % 10) AS name, 'i_' || (user_id % 30) AS instance,
+SVC = r"""svc AS (SELECT event_id, ts, user_id, (epoch_us(ts) // 1000) AS ms, 'svc_' || (user_id % 10) AS name, 'i_' || (user_id % 30) AS instance,
   event_type AS endpoint, CAST(floor(value * 10) AS BIGINT) AS latency, event_type <> 'error' AS status,
   CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS k,
   CASE CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) % 10 WHEN 0 THEN 500 WHEN 1 THEN 404 ELSE 200 END AS http_status,
@@ -122,12 +122,12 @@ SPANS = r"""line AS (SELECT l_orderkey, l_linenumber, min((l_partkey, l_suppkey,
 kid AS (SELECT l_orderkey, l_linenumber, x[1] AS partkey, x[2] AS suppkey, x[3] AS quantity, x[4] AS flag FROM line),
 spans AS (
   SELECT 't' || o_orderkey AS trace_id, 't' || o_orderkey || '.a' AS segment_id, 'cust_' || (o_custkey % 20) AS service, 'i_' || (o_custkey % 30) AS instance,
-    0 AS span_id, -1 AS parent_span_id, epoch_ms(o_orderdate) AS start_time, epoch_ms(o_orderdate) + 100 AS end_time,
+    0 AS span_id, -1 AS parent_span_id, (epoch_us(o_orderdate) // 1000) AS start_time, (epoch_us(o_orderdate) // 1000) + 100 AS end_time,
     '/order/' || substr(o_orderpriority, 1, 1) AS operation, '' AS peer, 'Entry' AS span_type, 'Http' AS span_layer, 0 AS component_id,
     o_orderstatus = 'F' AS is_error, o_custkey AS part FROM orders
   UNION ALL
   SELECT 't' || o_orderkey, 't' || o_orderkey || '.a', 'supp_' || (suppkey % 10), 'i_' || (suppkey % 30), l_linenumber, l_linenumber // 2,
-    epoch_ms(o_orderdate) + l_linenumber * 1000, epoch_ms(o_orderdate) + l_linenumber * 1000 + CAST(quantity AS BIGINT),
+    (epoch_us(o_orderdate) // 1000) + l_linenumber * 1000, (epoch_us(o_orderdate) // 1000) + l_linenumber * 1000 + CAST(quantity AS BIGINT),
     '/part/' || (partkey % 50), 'addr_' || (suppkey % 10),
     CASE l_linenumber % 3 WHEN 0 THEN 'Entry' WHEN 1 THEN 'Exit' ELSE 'Local' END,
     CASE l_linenumber % 5 WHEN 0 THEN 'Http' WHEN 1 THEN 'Database' WHEN 2 THEN 'MQ' WHEN 3 THEN 'Cache' ELSE 'RPCFramework' END,

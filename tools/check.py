@@ -18,7 +18,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def session():
     return (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g")
-            .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+            .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
 
 
 def norm(v):
