@@ -60,6 +60,20 @@ def day_end(bucket: Column) -> Column:
     return coarsen(bucket, 2) * 10000 + 2359
 
 
+# Text form of a query time at each step.
+TEXT_FORMAT = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd HH", "minute": "yyyy-MM-dd HHmm", "second": "yyyy-MM-dd HHmmss"}
+
+
+def parse_text(c: Column, step: str) -> Column:
+    """Query time text to the timestamp of its start; text in another form gives null."""
+    return F.try_to_timestamp(c, F.lit(TEXT_FORMAT[step]))
+
+
+def last_second(c: Column, step: str) -> Column:
+    """Second bucket that ends the step which a query time text names."""
+    return bucket_of(F.timestamp_seconds(F.unix_seconds(parse_text(c, step)) + STEP_SECONDS[step] - 1), "second")
+
+
 # ---- literals, evaluated while the plan is built ----
 
 _UNIT_MS = {"ms": 1, "s": 1000, "m": 60_000, "h": 3_600_000, "d": 86_400_000, "w": 604_800_000}

@@ -83,7 +83,7 @@ def spans(spark, sf) -> DataFrame:
     line = li.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")).alias("x"))
     start = _ms("o_orderdate")
     trace = F.concat(F.lit("t"), F.col("o_orderkey").cast("string"))
-    layer = F.element_at(F.array(*[F.lit(x) for x in ("Http", "Database", "MQ", "Cache", "RPCFramework")]), (F.col("l_linenumber") % 5 + 1).cast("int"))
+    layer = F.element_at(F.array(*[F.lit(x) for x in ("Http", "Database", "MQ", "RPCFramework", "Cache")]), (F.col("l_linenumber") % 5 + 1).cast("int"))
     child = line.join(o.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
     kids = child.select(
         trace.alias("trace_id"), F.concat(trace, F.lit(".a")).alias("segment_id"),
@@ -130,7 +130,7 @@ spans AS (
     (epoch_us(o_orderdate) // 1000) + l_linenumber * 1000, (epoch_us(o_orderdate) // 1000) + l_linenumber * 1000 + CAST(quantity AS BIGINT),
     '/part/' || (partkey % 50), 'addr_' || (suppkey % 10),
     CASE l_linenumber % 3 WHEN 0 THEN 'Entry' WHEN 1 THEN 'Exit' ELSE 'Local' END,
-    CASE l_linenumber % 5 WHEN 0 THEN 'Http' WHEN 1 THEN 'Database' WHEN 2 THEN 'MQ' WHEN 3 THEN 'Cache' ELSE 'RPCFramework' END,
+    CASE l_linenumber % 5 WHEN 0 THEN 'Http' WHEN 1 THEN 'Database' WHEN 2 THEN 'MQ' WHEN 3 THEN 'RPCFramework' ELSE 'Cache' END,
     l_linenumber, flag = 'R', partkey FROM kid JOIN orders ON l_orderkey = o_orderkey)"""
 
 

@@ -331,10 +331,15 @@ def join_baseline(spark, sf):
     return S.baseline(points, predictions, "minute", "upper")
 
 
-@query("fn_duration", f"{W}, {_GRID} SELECT time_bucket FROM grid WHERE (SELECT count(*) FROM svc) > 0")
+@query("fn_duration", """SELECT event_id, (epoch_us(date_trunc('minute', ts)) // 1000000) AS start_s, CAST(strftime(date_trunc('minute', ts), '%Y%m%d%H%M') || '59' AS BIGINT) AS last_second,
+CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS hour_start FROM events""")
 def fn_duration(spark, sf):
-    """Points of a range, for the services that have data."""
-    return fr.service_rows(spark, sf).select(F.explode(S.grid_points(RANGE)).alias("time_bucket")).distinct()
+    """Query time texts of every event's minute and hour, parsed back."""
+    from ..functions.timebucket import bucket_of, last_second, parse_text
+
+    t = fr.service_rows(spark, sf).select("event_id", F.date_format("ts", "yyyy-MM-dd HHmm").alias("m"), F.date_format("ts", "yyyy-MM-dd HH").alias("h"))
+    return t.select("event_id", F.unix_seconds(parse_text(F.col("m"), "minute")).alias("start_s"), last_second(F.col("m"), "minute").alias("last_second"),
+                    bucket_of(parse_text(F.col("h"), "hour"), "hour").alias("hour_start"))
 
 
 @query("fn_retain_day", f"{W} SELECT minute, minute // 10000 * 10000 AS day_start, minute // 10000 * 10000 + 2359 AS day_end FROM (SELECT DISTINCT minute FROM svc)")
