@@ -125,7 +125,8 @@ def rate_limit(df: DataFrame, sampler: Column, rpm: int, order: Sequence[str] =
 
 def possibility(df: DataFrame, percent: int, key: Sequence[str], seed: int = 0) -> DataFrame:
     """Keep a share of rows by a hash of their key, so that a re-run after a lost task keeps the same rows."""
-    return df.filter(F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(100)) < percent)
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    return df.filter(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100 < percent)
 
 
 def to_samples(df: DataFrame, name: str, value: Column, labels: Mapping[str, Column], ts: Column | None = None) -> DataFrame:

@@ -163,9 +163,8 @@ def st_rate_limit(spark, sf):
     return G.rate_limit(fr.logs(spark, sf), F.col("endpoint"), 3, ("ts", "doc_id")).select("doc_id")
 
 
-@query("st_possibility")
+@query("st_possibility", f"{W} SELECT doc_id FROM logs WHERE ('0x' || substr(md5('0|' || doc_id), 1, 8))::UBIGINT % 100 < 30")
 def st_possibility(spark, sf):
-    """A hash share; which rows are kept depends on the hash, so only the frame is checked."""
     return G.possibility(fr.logs(spark, sf), 30, ["doc_id"]).select("doc_id")
 
 

@@ -409,7 +409,8 @@ def fn_table_merge(spark, sf):
 
 # ---- catalog ----
 
-@query("q_list_metrics")
+@query("q_list_metrics", f"""{W} SELECT 'endpoint_' || m AS metric, t AS type FROM (VALUES ('cpm', 'COMMON_VALUE'), ('resp_time', 'COMMON_VALUE'), ('sla', 'COMMON_VALUE'),
+('percentile', 'LABELED_VALUE'), ('mq_consume_latency', 'COMMON_VALUE')) v(m, t) WHERE m <> 'mq_consume_latency' OR EXISTS (SELECT 1 FROM svc WHERE type = 'MQ')""")
 def q_list_metrics(spark, sf):
     """Shipped metrics of the event tables' kind: the catalog joined with the metrics that the data gives."""
     from ..operators import rules as R
