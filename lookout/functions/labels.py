@@ -10,7 +10,7 @@ MAP_TYPE = "map<string,string>"
 
 def key_of(labels: Column) -> Column:
     """Canonical JSON text of a label map, entries in key order."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(labels))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(labels))))
 
 
 def from_key(key: Column) -> Column:
@@ -40,12 +40,15 @@ def without(labels: Column, keys) -> Column:
 
 
 def put(labels: Column, key: str, value: Column) -> Column:
-    return F.map_concat(without(labels, [key]), F.create_map(F.lit(key), value))
+    """Set one label. The old entry is taken out only where there is one."""
+    entry = F.create_map(F.lit(key), value)
+    return (F.when(F.map_contains_key(labels, key), F.map_concat(without(labels, [key]), entry))
+            .otherwise(F.map_concat(labels, entry)))
 
 
 def encode(labels: Column) -> Column:
     """``{k=v,k2=v2}`` text form, entries in key order."""
-    entries = F.array_sort(F.map_entries(labels))
+    entries = F.sort_array(F.map_entries(labels))
     body = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return F.concat(F.lit("{"), body, F.lit("}"))
 
@@ -71,7 +74,7 @@ def relabel(labels: Column, key: str, values, new_key: str, new_values) -> Colum
 
 def table_encode(table: Column) -> Column:
     """``k,v|k2,v2`` text of a label-to-long map, in key order."""
-    entries = F.array_sort(F.map_entries(table))
+    entries = F.sort_array(F.map_entries(table))
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit(","), e["value"].cast("string"))), "|")
 
 

@@ -48,7 +48,7 @@ def json_props_merge(old: Column, new: Column) -> Column:
     a, b = (F.coalesce(F.from_json(x, "map<string,string>"), F.from_json(F.lit("{}"), "map<string,string>"))
             for x in (old, new))
     merged = F.map_zip_with(a, b, lambda _, x, y: F.coalesce(y, x))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(merged))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(merged))))
 
 
 def logic_endpoint(tag: Column, is_local: Column, op_name: Column, span_latency: Column, is_error: Column) -> Column:

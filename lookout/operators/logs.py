@@ -172,7 +172,7 @@ def sink(df: DataFrame, auto_layer: bool = False, searchable: Sequence[str] = ("
         "service", "instance", "endpoint", "layer", "trace_id", "segment_id", "span_id", "ts", "body_type", "body", sid.alias("service_id"),
         F.when(F.coalesce("instance", F.lit("")) != "", ids.instance_id(sid, F.col("instance"))).alias("instance_id"),
         F.when(F.coalesce("endpoint", F.lit("")) != "", ids.endpoint_id(sid, F.col("endpoint"))).alias("endpoint_id"),
-        F.array_sort(F.transform(F.map_entries(tags), lambda e: F.concat(e["key"], F.lit("="), e["value"]))).alias("tags"),
+        F.sort_array(F.transform(F.map_entries(tags), lambda e: F.concat(e["key"], F.lit("="), e["value"]))).alias("tags"),
         bucket_of_millis(F.col("ts"), "second").alias("time_bucket"))
     minute = bucket_of_millis(F.col("ts"))
     services = live.select("service", "layer", minute.alias("time_bucket")).distinct()
@@ -228,7 +228,7 @@ def select_stream(records: DataFrame, include: Sequence[str] = (), exclude: Sequ
 def streams(page: DataFrame) -> DataFrame:
     """Lines of an already limited page, one row per stream."""
     return (page.groupBy("service", "instance", "endpoint", "trace_id")
-            .agg(F.array_sort(F.collect_list(F.struct("ts", "body"))).alias("values")))
+            .agg(F.sort_array(F.collect_list(F.struct("ts", "body"))).alias("values")))
 
 
 def label_names(tag_rows: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def merged_properties(rows: DataFrame, key: Sequence[str], order: str = "last_pi
     """Property maps merged key by key; the value with the latest ping wins."""
     flat = rows.select(*key, order, F.explode("properties").alias("_k", "_v"))
     newest = flat.groupBy(*key, "_k").agg(F.max_by("_v", F.struct(order, "_v")).alias("_v"))
-    return newest.groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_v")))).alias("properties"))
+    return newest.groupBy(*key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("_k", "_v")))).alias("properties"))
 
 
 def instances(pings: DataFrame) -> DataFrame:

@@ -32,16 +32,17 @@ def merge_runs(runs: DataFrame, keys: Sequence[str], chunk: int = CHUNK) -> Data
     """Continuous sequence runs per key.
 
     Sequences are cut into chunks that are merged on their own. Only the first and last run of a chunk can continue in
-    a neighbour, so a second pass over at most two rows per chunk finishes the job, however long the group is.
+    a neighbour, so a second pass joins these at most two rows per chunk, however long the group is; the runs between
+    them stay in their chunk, where nothing touches them.
     """
     keys = list(keys)
     cut = runs.withColumn("_chunk", F.floor(F.col("lo") / chunk))
     inner = _merge(cut, [*keys, "_chunk"])
     up = Window.partitionBy(*keys, "_chunk").orderBy("lo", "hi")
     down = Window.partitionBy(*keys, "_chunk").orderBy(F.col("lo").desc(), F.col("hi").desc())
-    ranked = inner.withColumn("_edge", (F.row_number().over(up) == 1) | (F.row_number().over(down) == 1))
-    edges = _merge(ranked.filter("_edge").select(*keys, *RUN), keys)
-    return ranked.filter("not _edge").select(*keys, *RUN).unionByName(edges.select(*keys, *RUN))
+    edge = (F.row_number().over(up) == 1) | (F.row_number().over(down) == 1)
+    placed = inner.withColumn("_edge", edge).withColumn("_chunk", F.when(~F.col("_edge"), F.col("_chunk")))
+    return _merge(placed.select(*keys, "_chunk", *RUN), [*keys, "_chunk"]).select(*keys, *RUN)
 
 
 def runs_of(rows: DataFrame, keys: Sequence[str], seq: str = "sequence", time: str = "dump_time", chunk: int = CHUNK) -> DataFrame:
@@ -57,12 +58,17 @@ def island_duration(rows: DataFrame, keys: Sequence[str], seq: str = "sequence",
 
 
 def _self_weight(nodes: DataFrame, keys: Sequence[str], value: str, out: str, floor: bool = False) -> DataFrame:
-    """Adds ``out`` = value minus the values of the children."""
-    parent = F.when(F.size("path") > 1, F.slice("path", F.lit(1), F.size("path") - 1))
-    below = (nodes.filter(F.size("path") > 1).select(*keys, parent.alias("path"), value).groupBy(*keys, "path")
-             .agg(F.sum(value).alias("_below")))
-    own = F.col(value) - F.coalesce("_below", F.lit(0))
-    return nodes.join(below, [*keys, "path"], "left").withColumn(out, F.greatest(own, F.lit(0)) if floor else own).drop("_below")
+    """Adds ``out`` = value minus the values of the children: every node also charges its parent, so one aggregation
+    by path does it without joining the tree to itself."""
+    rest = [c for c in nodes.columns if c not in (*keys, "path", value)]
+    own = F.struct(F.col("path"), F.col(value).alias(value), F.col(value).alias("_own"), *[F.col(c).alias(c) for c in rest])
+    parent = F.slice("path", F.lit(1), F.size("path") - 1)
+    none = lambda c: F.lit(0).cast(nodes.schema[c].dataType).alias(c)
+    charge = F.struct(parent.alias("path"), none(value), (-F.col(value)).alias("_own"), *[none(c) for c in rest])
+    items = F.when(F.size("path") > 1, F.array(own, charge)).otherwise(F.array(own))
+    total = F.sum("_own")
+    return (nodes.select(*keys, F.inline(items)).groupBy(*keys, "path")
+            .agg(*[F.sum(c).alias(c) for c in (value, *rest)], (F.greatest(total, F.lit(0)) if floor else total).alias(out)))
 
 
 def flame_from_snapshots(snapshots: DataFrame, keys: Sequence[str] = ("segment_id",), chunk: int = CHUNK) -> DataFrame:

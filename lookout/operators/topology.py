@@ -19,14 +19,14 @@ USER_ID_NAME = "User"
 def relation_rows(calls: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Relation metric rows: per (relation, side, bucket) the sorted set of component ids."""
     return (calls.groupBy("entity_id", "source_id", "dest_id", "detect_point", "time_bucket", *extra)
-            .agg(F.array_sort(F.collect_set("component_id")).alias("components")))
+            .agg(F.sort_array(F.collect_set("component_id")).alias("components")))
 
 
 def merge_relation_rows(rows: DataFrame) -> DataFrame:
     """Merge partial relation rows; the id sets are united."""
     keys = [c for c in rows.columns if c != "components"]
     return (rows.select(*keys, F.explode_outer("components").alias("c")).groupBy(*keys)
-            .agg(F.array_sort(F.collect_set("c")).alias("components")))
+            .agg(F.sort_array(F.collect_set("c")).alias("components")))
 
 
 def edges_in_range(rows: DataFrame, duration: Duration | None = None, source="source_id", target="dest_id") -> DataFrame:
@@ -59,9 +59,9 @@ def calls(edges: DataFrame, components: DataFrame | None = None) -> DataFrame:
     Both sides are folded in one aggregation; the collected sets hold at most two sides and the registered components.
     """
     e = _named(edges, components)
-    on = lambda side: F.array_sort(F.collect_set(F.when(F.col("side") == side, F.col("component"))))
+    on = lambda side: F.sort_array(F.collect_set(F.when(F.col("side") == side, F.col("component"))))
     return (e.groupBy("source", "target")
-            .agg(F.array_sort(F.collect_set("side")).alias("detect_points"), on("client").alias("source_components"),
+            .agg(F.sort_array(F.collect_set("side")).alias("detect_points"), on("client").alias("source_components"),
                  on("server").alias("target_components"))
             .withColumn("id", ids.relation_id(F.col("source"), F.col("target"))))
 

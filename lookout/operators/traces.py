@@ -54,7 +54,7 @@ def gather_segments(spans: DataFrame) -> DataFrame:
     """Span rows back to segments. A segment is written by one thread of one process, which bounds it."""
     head = [c for c in spans.columns if c not in SPAN_FIELDS]
     body = F.struct(*[c for c in SPAN_FIELDS if c in spans.columns])
-    return spans.groupBy(*head).agg(F.array_sort(F.collect_list(body)).alias("spans"))
+    return spans.groupBy(*head).agg(F.sort_array(F.collect_list(body)).alias("spans"))
 
 
 # ---- segment rows and sampling ----
@@ -510,4 +510,4 @@ def to_otlp(spans: DataFrame) -> DataFrame:
 def nest_otlp(otlp: DataFrame) -> DataFrame:
     """One row per trace and service of an already limited page."""
     fields = [c for c in otlp.columns if c not in ("serviceName", "instanceName")]
-    return (otlp.groupBy("traceId", "serviceName").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("spans")))
+    return (otlp.groupBy("traceId", "serviceName").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("spans")))

@@ -34,9 +34,11 @@ def _merge(*maps: Column) -> Column:
 
 def _dots(m: Column) -> Column:
     """Dots in keys become underscores; of two keys that fall together the first in key order counts."""
-    entries = F.transform(F.array_sort(F.map_entries(m)), lambda e: F.struct(F.replace(e["key"], F.lit("."), F.lit("_")).alias("key"), e["value"].alias("value")))
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.get(F.filter(entries, lambda e: e["key"] == k), F.lit(0))["value"].alias("value"))))
+    rename = lambda k: F.replace(k, F.lit("."), F.lit("_"))
+    keys = F.array_distinct(F.transform(F.map_keys(m), rename))
+    entries = F.transform(F.sort_array(F.map_entries(m)), lambda e: F.struct(rename(e["key"]).alias("key"), e["value"].alias("value")))
+    first = F.transform(keys, lambda k: F.struct(k.alias("key"), F.get(F.filter(entries, lambda e: e["key"] == k), F.lit(0))["value"].alias("value")))
+    return F.when(F.size(keys) == F.size(m), F.transform_keys(m, lambda k, _: rename(k))).otherwise(F.map_from_entries(first))
 
 
 def _or_empty(c: Column) -> Column:
@@ -106,9 +108,8 @@ def traces(spans: DataFrame) -> DataFrame:
 
 # ---- metrics ----
 
-def _node_labels(resource: Column) -> Column:
-    """Resource attributes as labels, plus the labels that rules know a host and a job by."""
-    base = _dots(resource)
+def _node_labels(resource: Column, base: Column) -> Column:
+    """Resource attributes as labels (``base``), plus the labels that rules know a host and a job by."""
     host = F.coalesce(_get(base, "node_identifier_host_name"), F.try_element_at(resource, F.lit("net.host.name")), F.try_element_at(resource, F.lit("host.name")))
     job = F.coalesce(_get(base, "job_name"), F.try_element_at(resource, F.lit("service.name")))
     extra = F.map_filter(F.create_map(F.lit("node_identifier_host_name"), host, F.lit("job_name"), job), lambda _, v: v.isNotNull())
@@ -125,9 +126,13 @@ def metrics(points: DataFrame) -> DataFrame:
     """
     ok = F.coalesce("flags", F.lit(0)).bitwiseAND(NO_RECORDED_VALUE) == 0
     ok = ok & ~((F.col("kind") == "sum") & (F.coalesce("temporality", F.lit("UNSPECIFIED")) == "UNSPECIFIED"))
-    base = points.filter(ok).withColumn("labels", _merge(_node_labels(_or_empty(F.col("resource"))), _dots(_or_empty(F.col("attributes")))))
-    base = base.withColumn("ts", F.call_function("div", F.col("time_nanos"), F.lit(1_000_000).cast("bigint")))
-    name = escape_name(F.col("name"))
+    # one step per column, so that no expression is evaluated twice
+    base = (points.filter(ok).withColumn("_res", _dots(_or_empty(F.col("resource"))))
+            .withColumn("_node", _node_labels(_or_empty(F.col("resource")), F.col("_res")))
+            .withColumn("_own", _dots(_or_empty(F.col("attributes")))).withColumn("labels", _merge(F.col("_node"), F.col("_own")))
+            .withColumn("ts", F.call_function("div", F.col("time_nanos"), F.lit(1_000_000).cast("bigint")))
+            .withColumn("name", escape_name(F.col("name"))))
+    name = F.col("name")
     k = F.col("kind")
     one = lambda suffix, value: F.struct((F.concat(name, F.lit(suffix)) if suffix else name).alias("name"), F.col("labels").alias("labels"), value.cast("double").alias("value"))
     labelled = lambda key, bound, value: F.struct(name.alias("name"), L.put(F.col("labels"), key, bound).alias("labels"), value.cast("double").alias("value"))
@@ -140,9 +145,12 @@ def metrics(points: DataFrame) -> DataFrame:
     positive = F.transform("positive_counts", lambda c, i: F.struct(
         F.when(i == n_pos - 1, F.lit(float("inf"))).otherwise(F.pow(base_pow, F.col("positive_offset") + i + 1)).alias("b"), c.alias("c")))
     exponential = F.concat(negative, positive)
-    finite = F.slice(exponential, F.lit(1), F.size(exponential) - 1)
-    out_of_range = (base_pow == float("inf")) | F.exists(finite, lambda x: (x["b"] == float("inf")) | (x["b"] == float("-inf")))
-    buckets = F.when(k == "histogram", explicit).when((k == "exponential_histogram") & ~out_of_range, exponential)
+    base = base.withColumn("_b", F.when(k == "histogram", explicit).when(k == "exponential_histogram", exponential))
+    # only the last bound may be open
+    finite = F.slice("_b", F.lit(1), F.size("_b") - 1)
+    out_of_range = (k == "exponential_histogram") & ((base_pow == float("inf")) | F.exists(
+        finite, lambda x: (x["b"] == float("inf")) | (x["b"] == float("-inf"))))
+    buckets = F.when(~out_of_range, F.col("_b"))
     totals = F.array(one("_count", F.col("count")), one("_sum", F.col("sum")))
     none = F.slice(totals, F.lit(1), F.lit(0))
     items = (F.when(k.isin("gauge", "sum"), F.array(one("", F.col("value"))))

@@ -39,7 +39,7 @@ def span_rows(spans: DataFrame) -> DataFrame:
     local = F.when(F.coalesce("local_service", F.lit("")) == "", UNKNOWN).otherwise(F.col("local_service"))
     annotations = F.filter(F.transform(F.coalesce("annotations", F.expr("cast(array() as array<struct<timestamp:bigint,value:string>>)")),
                                        lambda a: a["value"]), lambda v: F.length(v) <= QUERY_LENGTH)
-    entries = F.array_sort(F.map_entries(F.coalesce("tags", F.expr("map_from_entries(cast(array() as array<struct<key:string,value:string>>))"))))
+    entries = F.sort_array(F.map_entries(F.coalesce("tags", F.expr("map_from_entries(cast(array() as array<struct<key:string,value:string>>))"))))
     fitting = F.filter(entries, lambda e: (F.length(e["value"]) <= TAG_LENGTH)
                        & (F.length(F.concat(e["key"], F.lit("="), e["value"])) <= TAG_LENGTH))
     pairs = F.flatten(F.transform(fitting, lambda e: F.array(e["key"], F.concat(e["key"], F.lit("="), e["value"]))))
