@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.timebucket import parse_range_ms
 
-DAY_MS = 86_400_000
+HOUR_MS = 3_600_000
 
 
 def _with_context(df: DataFrame, key: Sequence[str], context_ms: int, chunk_ms: int) -> DataFrame:
@@ -39,13 +39,14 @@ def _series(df: DataFrame) -> DataFrame:
     return df.withColumn("_lk", L.key_of(F.col("labels")))
 
 
-def look_back(df: DataFrame, window_ms: int, chunk_ms: int = DAY_MS, key=("name", "_lk")) -> DataFrame:
+def look_back(df: DataFrame, window_ms: int, chunk_ms: int | None = None, key=("name", "_lk")) -> DataFrame:
     """Adds ``low_ts`` and ``low_value``: the sample at the closed slot nearest to ``ts - window``.
 
     Samples older than the previous sample's window edge have left the window already. While the window is not yet
-    full the oldest sample in it is used, which is the sample itself at the start of a series.
+    full the oldest sample in it is used, which is the sample itself at the start of a series. A chunk spans at least
+    two windows; by default ten, or an hour, so that copied rows stay a small share.
     """
-    chunk_ms = max(chunk_ms, 2 * window_ms)
+    chunk_ms = max(chunk_ms or max(HOUR_MS, 10 * window_ms), 2 * window_ms)
     rows = _with_context(_series(df), key, 2 * window_ms, chunk_ms)
     part = Window.partitionBy(*key, "_chunk").orderBy("ts")
     prev = F.max("ts").over(part.rangeBetween(Window.unboundedPreceding, -1))
@@ -61,7 +62,7 @@ def look_back(df: DataFrame, window_ms: int, chunk_ms: int = DAY_MS, key=("name"
             .drop("_low", "_a", "_b", "_prev", "_own", "_chunk", "_lk"))
 
 
-def previous(df: DataFrame, chunk_ms: int = DAY_MS, key=("name", "_lk")) -> DataFrame:
+def previous(df: DataFrame, chunk_ms: int = HOUR_MS, key=("name", "_lk")) -> DataFrame:
     """Adds ``low_ts`` and ``low_value`` of the preceding sample, the sample itself for the first one."""
     rows = _with_context(_series(df), key, 0, chunk_ms)
     # the carried row sorts before the chunk's own rows

@@ -232,39 +232,40 @@ def q_logql_labels(spark, sf):
 # ---- names and texts ----
 
 _PATH = "regexp_extract(url, '^(?:[a-z]+://[^/?#]*)?(/[^?#]*)', 1)"
-_PAGES = f"pg AS (SELECT page_id, 'web' AS service, {_PATH} AS endpoint, page_id AS ts FROM pages)"
-PATTERNS = [("web", "/de/{var}"), ("web", "/en/{var}"), ("web", "/fr/{var}"), ("web", "/en/{var}/detail")]
+_PAGES = f"pg AS (SELECT page_id, regexp_extract(url, 'example[.]([a-z]+)', 1) AS service, {_PATH} AS endpoint, page_id AS ts FROM pages)"
+DOMAINS = ("com", "net", "org")
+PATTERNS = [[(d, p) for d in DOMAINS] for p in ("/de/{var}", "/en/{var}", "/fr/{var}", "/en/{var}/detail")]
 
 
 def _pages(spark, sf):
     p = fr.table(spark, sf, "pages")
-    return p.select("page_id", F.lit("web").alias("service"), text.uri_path(F.col("url")).alias("endpoint"), F.col("page_id").alias("ts"))
+    return p.select("page_id", F.regexp_extract("url", r"example\.([a-z]+)", 1).alias("service"), text.uri_path(F.col("url")).alias("endpoint"), F.col("page_id").alias("ts"))
 
 
 @query("fn_uri_pattern", f"WITH {_PAGES}, t AS (SELECT *, string_split(regexp_replace(regexp_replace(endpoint, '^/', ''), '/$', ''), '/') AS parts FROM pg) SELECT page_id, len(parts) = 1 OR (len(parts) = 2 AND parts[1] IN ('de', 'en', 'fr')) AS matched, CASE WHEN len(parts) = 2 AND parts[1] IN ('de', 'en', 'fr') THEN '/' || parts[1] || '/{{var}}' ELSE endpoint END AS formatted FROM t".replace("{{var}}", "{var}"))
 def fn_uri_pattern(spark, sf):
-    return naming.match_patterns(_pages(spark, sf), PATTERNS).select("page_id", "matched", "formatted")
+    return naming.match_patterns(_pages(spark, sf), sum(PATTERNS, [])).select("page_id", "matched", "formatted")
 
 
-RULES = [("web", r"/[a-z]+/\d+\.html", "/page"), ("web", r"/de/\d+", "/german"), ("other", r".*", "/none")]
+RULES = [(d, *r) for d in DOMAINS for r in ((r"/[a-z]+/\d+\.html", "/page"), (r"/de/\d+", "/german"))] + [("other", r".*", "/none")]
 
 
 @query("join_uri_rule", f"""WITH {_PAGES} SELECT page_id, CASE WHEN regexp_full_match(endpoint, '/[a-z]+/\\d+\\.html') THEN '/page' WHEN regexp_full_match(endpoint, '/de/\\d+') THEN '/german'
 WHEN regexp_full_match(endpoint, '/(en|fr)/[^/]*/?') THEN regexp_extract(endpoint, '^(/[a-z]+/)', 1) || '{{var}}' ELSE endpoint END AS formatted FROM pg""".replace("{{var}}", "{var}"))
 def join_uri_rule(spark, sf):
     """Custom rules before path patterns."""
-    return naming.group_endpoints(_pages(spark, sf), custom_rules=RULES, patterns=PATTERNS[1:3]).select("page_id", "formatted")
+    return naming.group_endpoints(_pages(spark, sf), custom_rules=RULES, patterns=PATTERNS[1] + PATTERNS[2]).select("page_id", "formatted")
 
 
 @query("st_uri_learn", f"WITH {_PAGES} SELECT formatted, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN regexp_full_match(endpoint, '/(en|fr)/[^/]*/?') THEN regexp_extract(endpoint, '^(/[a-z]+/)', 1) || '{{var}}' ELSE endpoint END AS formatted FROM pg) GROUP BY 1".replace("{{var}}", "{var}"))
 def st_uri_learn(spark, sf):
     """Patterns that a learner delivered, applied to all names."""
-    return naming.match_patterns(_pages(spark, sf), PATTERNS[1:3]).groupBy("formatted").agg(F.count(F.lit(1)).alias("n"))
+    return naming.match_patterns(_pages(spark, sf), PATTERNS[1] + PATTERNS[2]).groupBy("formatted").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("win_first_n_uri", f"WITH {_PAGES}, s AS (SELECT service, endpoint, min(ts) AS first FROM pg WHERE NOT regexp_full_match(endpoint, '/de/[^/]*/?') GROUP BY ALL), k AS (SELECT service, endpoint FROM (SELECT *, row_number() OVER (PARTITION BY service ORDER BY first, endpoint) AS rn FROM s) WHERE rn <= 20) SELECT page_id, CASE WHEN regexp_full_match(pg.endpoint, '/de/[^/]*/?') THEN '/de/{{var}}' WHEN k.endpoint IS NULL THEN '_abandoned' ELSE pg.endpoint END AS formatted FROM pg LEFT JOIN k ON k.endpoint = pg.endpoint".replace("{{var}}", "{var}"))
+@query("win_first_n_uri", f"WITH {_PAGES}, s AS (SELECT service, endpoint, min(ts) AS first FROM pg WHERE NOT regexp_full_match(endpoint, '/de/[^/]*/?') GROUP BY ALL), k AS (SELECT service, endpoint FROM (SELECT *, row_number() OVER (PARTITION BY service ORDER BY first, endpoint) AS rn FROM s) WHERE rn <= 20) SELECT page_id, CASE WHEN regexp_full_match(pg.endpoint, '/de/[^/]*/?') THEN '/de/{{var}}' WHEN k.endpoint IS NULL THEN '_abandoned' ELSE pg.endpoint END AS formatted FROM pg LEFT JOIN k ON k.endpoint = pg.endpoint AND k.service = pg.service".replace("{{var}}", "{var}"))
 def win_first_n_uri(spark, sf):
-    return naming.group_endpoints(_pages(spark, sf), patterns=PATTERNS[:1], max_unformatted=20).select("page_id", "formatted")
+    return naming.group_endpoints(_pages(spark, sf), patterns=PATTERNS[0], max_unformatted=20).select("page_id", "formatted")
 
 
 @query("fn_name_format", f"{W} SELECT doc_id, substr(body, 1, 70) AS service, substr(body, 1, 150) AS endpoint FROM logs")
