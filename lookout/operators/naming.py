@@ -102,7 +102,7 @@ def match_regex(df: DataFrame, rules: Sequence[tuple[str, str, str]], service: s
         table = (df.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(rules)], "ord int, _svc string, regex string, grp string")
                  .groupBy("_svc").agg(F.sort_array(F.collect_list(F.struct("ord", "regex", "grp"))).alias("_rules")))
         joined = df.join(table, F.col(service) == F.col("_svc"), "left")
-        first = F.get(F.filter("_rules", lambda r: F.col(name).rlike(F.concat(F.lit("^(?:"), r["regex"], F.lit(")$")))), F.lit(0))
+        first = F.get(F.filter("_rules", lambda r: F.rlike(F.col(name), F.concat(F.lit("^(?:"), r["regex"], F.lit(")$")))), F.lit(0))
         df = joined.withColumn("_g", first["grp"]).drop("_svc", "_rules")
     return (df.withColumn("matched", F.col("_g").isNotNull()).withColumn(out, F.coalesce("_g", name)).drop("_g"))
 

@@ -27,9 +27,9 @@ class AlarmMachine(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         ticks = pd.concat(list(rows)).sort_values("tick")
         start = self.state.get() if self.state.exists() else None
-        ticks["state"], end = run_machine(ticks, self.silence, self.recovery, tuple(start) if start else None)
+        states, end = run_machine(ticks, self.silence, self.recovery, tuple(start) if start else None)
         self.state.update(end)
-        yield ticks[["entity_id", "minute", "match", "state"]]
+        yield pd.DataFrame({"entity_id": key[0], "minute": ticks["minute"], "match": ticks["match"], "state": states})
 
     def close(self) -> None:
         pass
@@ -69,7 +69,7 @@ class Counter(StatefulProcessor):
             low_ts.append(low[0])
             low_value.append(low[1])
         self.kept.put(kept)
-        yield batch.assign(low_ts=low_ts, low_value=low_value)[["name", "_lk", "ts", "value", "low_ts", "low_value"]]
+        yield pd.DataFrame({"name": key[0], "_lk": key[1], "ts": batch["ts"], "value": batch["value"], "low_ts": low_ts, "low_value": low_value})
 
     def close(self) -> None:
         pass
