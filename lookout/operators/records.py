@@ -64,14 +64,16 @@ def entity_constraints(entity_id: str, relation_to: str | None = None) -> list[d
     return [{"id0": entity_id, "id1": relation_to}] if relation_to else [{"id0": entity_id}, {"id1": entity_id}]
 
 
-def attach_events(page: DataFrame, events: DataFrame) -> DataFrame:
-    """Events of the same source in the alarm's period, one row per (alarm, event); alarms without events are kept.
+def attach_events(page: DataFrame, events: DataFrame, after: int | None = None, before: int | None = None) -> DataFrame:
+    """Events whose source is either end of an alarm, inside the query's exclusive bounds.
 
-    ``page`` is a limited page of alarms. Nest the rows with ``groupBy`` afterwards if needed.
+    One row per (alarm, event); alarms without events are kept. ``page`` is a limited page of alarms (alarm_id, id0,
+    id1, ...) and ``events`` carry the ``entity_id`` of their source. Nest the rows afterwards if needed.
     """
-    e = events.select(F.col("entity_id").alias("id0"), "uuid", F.col("timestamp").alias("event_time"), F.col("name").alias("event_name"))
-    near = (F.col("event_time") >= F.col("start_time") - F.col("period") * 60000) & (F.col("event_time") <= F.col("start_time"))
-    hits = page.join(e, "id0").filter(near).select("alarm_id", "uuid", "event_time", "event_name")
+    bounds = _conjunction({"after": after, "before": before})
+    e = events.filter(bounds).select("entity_id", "uuid", F.col("timestamp").alias("event_time"), F.col("name").alias("event_name"))
+    ends = page.select("alarm_id", F.explode(F.array_distinct(F.array("id0", "id1"))).alias("entity_id")).filter(F.coalesce("entity_id", F.lit("")) != "")
+    hits = ends.join(e, "entity_id").select("alarm_id", "uuid", "event_time", "event_name")
     return page.join(hits, "alarm_id", "left")
 
 

@@ -495,16 +495,31 @@ def full_spans(spans: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def to_otlp(spans: DataFrame) -> DataFrame:
-    """One OTLP-shaped row per span; nest with ``groupBy`` only after a page of traces has been chosen."""
-    attrs = F.transform("tags", lambda t: F.struct(t["key"].alias("key"), F.struct(t["value"].alias("stringValue")).alias("value")))
+    """One OTLP-shaped row per span; nest with :func:`nest_otlp` only after a page of traces has been chosen.
+
+    Spans marked ``is_root`` and spans without a parent id have none, unless a reference of the same trace names one.
+    Peer, component and layer become attributes.
+    """
+    has = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
+    attr = lambda key, value: F.struct(F.lit(key).alias("key"), F.struct(value.alias("stringValue")).alias("value"))
+    component = F.col("component") if "component" in spans.columns else F.col("component_id").cast("string")
+    own = F.transform("tags", lambda t: F.struct(t["key"].alias("key"), F.struct(t["value"].alias("stringValue")).alias("value")))
+    extra = F.filter(F.array(F.when(has("peer"), attr("peer.address", F.col("peer"))), F.when(component.isNotNull(), attr("component", component)),
+                             F.when(has("span_layer"), attr("layer", F.col("span_layer")))), lambda x: x.isNotNull())
     kind = (F.when(F.col("span_type") == "Entry", "SPAN_KIND_SERVER").when(F.col("span_type") == "Exit", "SPAN_KIND_CLIENT")
             .otherwise("SPAN_KIND_INTERNAL"))
+    root = F.col("is_root") if "is_root" in spans.columns else F.lit(False)
+    linked = F.get(F.filter("refs", lambda r: r["trace_id"] == F.col("trace_id")), F.lit(0))
+    parent = (F.when((F.col("parent_span_id") >= 0) & ~root, F.col("parent_key"))
+              .when(linked.isNotNull(), _span_key(linked["parent_segment_id"], linked["parent_span_id"])))
     return with_keys(spans).select(
-        F.col("trace_id").alias("traceId"), F.col("span_key").alias("spanId"), F.col("parent_key").alias("parentSpanId"),
-        F.col("operation").alias("name"), kind.alias("kind"), (F.col("start_time") * 1000000).alias("startTimeUnixNano"),
-        (F.col("end_time") * 1000000).alias("endTimeUnixNano"), attrs.alias("attributes"),
-        F.struct(F.when(F.col("is_error"), "STATUS_CODE_ERROR").otherwise("STATUS_CODE_OK").alias("code")).alias("status"),
-        F.col("service").alias("serviceName"), F.col("instance").alias("instanceName"))
+        F.col("trace_id").alias("traceId"), F.col("span_key").alias("spanId"), parent.alias("parentSpanId"),
+        F.when(has("operation"), F.col("operation")).when(has("span_type"), F.col("span_type")).otherwise("unknown").alias("name"),
+        kind.alias("kind"), (F.col("start_time") * 1000000).alias("startTimeUnixNano"),
+        (F.col("end_time") * 1000000).alias("endTimeUnixNano"), F.concat(own, extra).alias("attributes"),
+        F.struct(F.when(F.col("is_error"), "STATUS_CODE_ERROR").otherwise("STATUS_CODE_OK").alias("code"),
+                 F.when(F.col("is_error"), "Error occurred").alias("message")).alias("status"),
+        F.when(has("service"), F.col("service")).otherwise("unknown").alias("serviceName"), F.col("instance").alias("instanceName"))
 
 
 def nest_otlp(otlp: DataFrame) -> DataFrame:

@@ -188,15 +188,18 @@ def join_tags_alarm(spark, sf):
     return T.by_tag_table(a, a.select("alarm_id", F.explode("tags").alias("tag")), ["level=P"], "alarm_id").select("alarm_id")
 
 
-@query("q_alarms", f"""{V}, {_EVENT}, al AS (SELECT event_id AS alarm_id, name AS id0, ms AS start_time FROM svc WHERE NOT status), pg AS (SELECT * FROM al ORDER BY start_time DESC, alarm_id LIMIT 40)
-SELECT pg.alarm_id, pg.id0, uuid FROM pg LEFT JOIN ev ON ev.service = pg.id0 AND ev.timestamp BETWEEN pg.start_time - 3600000 AND pg.start_time""")
+@query("q_alarms", f"""{V}, {_EVENT}, al AS (SELECT event_id AS alarm_id, name AS id0, CASE WHEN k % 2 = 0 THEN instance ELSE '' END AS id1, ms AS start_time FROM svc WHERE NOT status), pg AS (SELECT * FROM al ORDER BY start_time DESC, alarm_id LIMIT 40),
+e AS (SELECT service AS id, uuid FROM ev WHERE name = 'signup' AND timestamp > 1706500000000 UNION ALL SELECT instance, uuid FROM ev WHERE name = 'click' AND timestamp > 1706500000000)
+SELECT pg.alarm_id, pg.id0, e.uuid FROM pg LEFT JOIN e ON e.id = pg.id0 OR (pg.id1 <> '' AND e.id = pg.id1)""")
 def q_alarms(spark, sf):
-    """Newest alarms with the events of their source in the alarm's period."""
+    """Newest alarms with the events of either end inside the query's range."""
     s = fr.service_rows(spark, sf).filter(~F.col("status"))
-    al = s.select(F.col("event_id").alias("alarm_id"), F.col("name").alias("id0"), F.col("ms").alias("start_time"), F.lit(60).alias("period"))
+    al = s.select(F.col("event_id").alias("alarm_id"), F.col("name").alias("id0"), F.when(F.col("k") % 2 == 0, F.col("instance")).otherwise("").alias("id1"), F.col("ms").alias("start_time"))
     page = topk.page(al, [F.col("start_time").desc(), F.col("alarm_id").asc()], 40)
-    events = _events(spark, sf).withColumn("entity_id", F.col("service"))
-    return records.attach_events(page, events).select("alarm_id", "id0", "uuid")
+    ev = _events(spark, sf)
+    of_service = ev.filter("name = 'signup'").withColumn("entity_id", F.col("service"))
+    of_instance = ev.filter("name = 'click'").withColumn("entity_id", F.col("instance"))
+    return records.attach_events(page, of_service.unionByName(of_instance), after=1706500000000).select("alarm_id", "id0", "uuid")
 
 
 def _browser(spark, sf):

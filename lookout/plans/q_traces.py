@@ -283,12 +283,14 @@ def q_span_events(spark, sf):
     return _events(spark, sf).select("trace_id", "event", "start_seconds", "start_nanos").orderBy("start_seconds", "start_nanos", "trace_id", "event").limit(50)
 
 
-@query("q_trace_otlp", f"""{W} SELECT trace_id AS "traceId", segment_id || 'S' || span_id AS "spanId", segment_id || 'S' || parent_span_id AS "parentSpanId", operation AS name,
+@query("q_trace_otlp", f"""{W} SELECT trace_id AS "traceId", segment_id || 'S' || span_id AS "spanId", CASE WHEN parent_span_id >= 0 THEN segment_id || 'S' || parent_span_id END AS "parentSpanId", operation AS name, nullif(peer, '') AS peer, span_layer AS layer,
 CASE span_type WHEN 'Entry' THEN 'SPAN_KIND_SERVER' WHEN 'Exit' THEN 'SPAN_KIND_CLIENT' ELSE 'SPAN_KIND_INTERNAL' END AS kind, start_time * 1000000 AS "startTimeUnixNano", CASE WHEN is_error THEN '500' ELSE '200' END AS status_attr,
 CASE WHEN is_error THEN 'STATUS_CODE_ERROR' ELSE 'STATUS_CODE_OK' END AS code FROM spans""")
 def q_trace_otlp(spark, sf):
     o = T.to_otlp(fr.spans(spark, sf))
-    return o.select("traceId", "spanId", "parentSpanId", "name", "kind", "startTimeUnixNano", F.col("attributes")[0]["value"]["stringValue"].alias("status_attr"), F.col("status.code").alias("code"))
+    value = lambda key: F.get(F.filter("attributes", lambda a: a["key"] == key), F.lit(0))["value"]["stringValue"]
+    return o.select("traceId", "spanId", "parentSpanId", "name", "kind", "startTimeUnixNano", F.col("attributes")[0]["value"]["stringValue"].alias("status_attr"), F.col("status.code").alias("code"),
+                    value("peer.address").alias("peer"), value("layer").alias("layer"))
 
 
 # ---- span selection language ----
