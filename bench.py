@@ -1,6 +1,6 @@
 """Time the headline queries: ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose data and cores; prints one JSON line.
 
-Each query runs to a sink that reads every row, once unmeasured and then as often as ``BENCH_RUNS`` (2) says; the best
+Each query runs to a sink that reads every row, once unmeasured and then as often as ``BENCH_RUNS`` (1) says; the best
 run counts. ``throughput`` folds the event table, repeated in memory, through the shared service rules and reports
 source rows per second.
 """
@@ -22,7 +22,7 @@ HEADLINE = (
     "win_fill join_series_labels win_mqe_increase sort_values q_heatmap prom_agg join_sample_binary win_mal_rate mtr_sum_hist_pct "
     "tr_segment tr_entry join_alias q_trace_detail set_spanset join_client_server agg_component_set agg_flame_trace agg_flame_merge "
     "join_hierarchy st_alarm_state log_keyword join_uri_rule st_rate_limit src_otlp_metrics src_jvm join_price").split()
-REPEAT = 200
+REPEAT = 100
 
 
 def run(df) -> float:
@@ -45,7 +45,7 @@ def throughput(spark, sf_dir) -> int:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench").config("spark.sql.shuffle.partitions", cpus)
              .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
