@@ -39,4 +39,5 @@ def test_entry(spark):
     entry = importlib.import_module("__spark_entry__")
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(entry.queries())
