@@ -45,14 +45,21 @@ def _forget_all() -> None:
         _delete(spark, path)
 
 
-def table(df: DataFrame, codec: str = "zstd") -> tuple[DataFrame, str]:
+def table(df: DataFrame, codec: str = "zstd", batch: int | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there, and any executor may be lost.
 
-    Returns the frame and its path, for ``forget``. What is left at the end of the driver program goes with it.
+    ``batch``: rows that go to Python at once meanwhile. Returns the frame and its path, for ``forget``. What is left at the end of the driver program goes with it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    try:
+        if batch:
+            spark.conf.set(rows, batch)
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(rows, before)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path), path
 

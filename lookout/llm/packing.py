@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
@@ -12,38 +13,78 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: words whose ids a worker remembers
-REMEMBERED = 300_000
+from .common import CHUNK_BYTES, text_chunks
+
+#: words whose ids a worker remembers: so many new ones, and as many of the generation before
+REMEMBERED = 400_000
 #: white space other than space, tab, line feed and carriage return; left inside words, for the tokenizer to judge
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _WORD = re.compile("[^ \t\n\r]+")
+#: Latin letters, then ASCII signs without the apostrophe: letters and signs are encoded apart whatever stands next to them
+_PARTS = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:;=-@\[-`{-~]*)")
 
 
 class Words:
     """Ids of texts by a tokenizer that drops white space: each word is encoded once and remembered.
 
     White space never reaches the merges of such a vocabulary, so the ids of a text are those of its words in order.
+    Unknown words are encoded together and their ids cut apart again after the tokens that end a run (``</w>``).
     """
 
+    #: one for each vocabulary in a worker process, which lives through many tasks
+    made: dict[str, Words] = {}
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> np.ndarray:
-        words = _WORD.findall(text) if _ODD.search(text) else text.split()
+        self.older: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Words:
+        if path not in cls.made:
+            cls.made[path] = cls(path)
+        return cls.made[path]
+
+    def learn(self, words: list[str]) -> None:
+        known, older, pairs = self.known, self.older, []
+        parts: dict[str, bytes | None] = {}
+        for w in words:
+            if w in older:
+                known[w] = older[w]
+                continue
+            cut = _PARTS.fullmatch(w)
+            if cut:
+                letters, signs = cut[1].lower(), cut[2]
+                pairs.append((w, letters, signs))
+                parts[letters] = None
+                if signs:
+                    parts[signs] = None
+            else:  # digits, apostrophes, other scripts, special tokens: the tokenizer judges
+                known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        # each part is one run for the merges, and ends with the only token that ends a run
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        raw, start = ids.tobytes(), 0
+        for p, end in zip(parts, ends, strict=True):
+            parts[p] = raw[start:end]
+            start = end
+        for w, letters, signs in pairs:
+            known[w] = parts[letters] + parts[signs] if signs else parts[letters]
+
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        split = [_WORD.findall(t) if _ODD.search(t) else t.split() for t in texts]
         known = self.known
-        try:
-            return np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
+        self.learn([w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known])
+        for words in split:
+            yield np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
 
 
 class Piece:
@@ -162,7 +203,7 @@ def exact(pieces: list[Piece], length: int) -> Iterator[list[Piece]]:
 
 def _run(path: str, end_id: int, limits: dict, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = Words(path), Packer(**limits)
+        words, packer = Words.of(path), Packer(**limits)
         base = TaskContext.get().partitionId() << 40
         made = 0
         names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
@@ -187,12 +228,13 @@ def _run(path: str, end_id: int, limits: dict, with_ids: bool):
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             kind = batch.column("_key").type
-            for key, text, loss in zip(batch.column("_key"), batch.column("_text"), batch.column("_loss")):
-                ids = np.concatenate((words.ids(text.as_py() or ""), end))
-                bears = loss.as_py()
-                bears = len(ids) if bears is None else min(max(bears, 0), len(ids))
-                put(packer.add(Piece(key.as_py(), ids, 0, len(ids), bears)))
-                if len(rows) >= 2_000:
+            for first, stop, _, _ in text_chunks(batch.column("_text"), 2 * CHUNK_BYTES):
+                keys, texts, losses = (batch.column(c).slice(first, stop - first).to_pylist() for c in ("_key", "_text", "_loss"))
+                for key, ids, loss in zip(keys, words.ids([t or "" for t in texts]), losses):
+                    ids = np.concatenate((ids, end))
+                    bears = len(ids) if loss is None else min(max(loss, 0), len(ids))
+                    put(packer.add(Piece(key, ids, 0, len(ids), bears)))
+                if rows:
                     yield batch_of()
         put(packer.finish())
         if rows:
