@@ -178,12 +178,12 @@ def held_out(key: Column, folds: int = 4, fold: int = 2) -> Column:
 
 
 def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 4, fold: int = 2,
-               sample_per_language: int = 1500, languages: int = 100) -> DataFrame:
+               sample_per_language: int = 1000, languages: int = 100) -> DataFrame:
     """``key, held_out, lang_pred, score`` for every row of ``docs``.
 
     Features are hashed character n-grams of the whole lower-cased text; term frequencies are relative, and inverse
     document frequencies count all rows outside the held-out fold. The model is fitted on a bounded sample of labelled rows
-    outside the fold: the ``sample_per_language`` first of each language by a digest of key and text, for the
+    outside the fold: the ``sample_per_language`` first of each language by a digest of the key, for the
     ``languages`` most frequent ones. The score is the probability of ``lang_pred`` after temperature calibration.
 
     A text that is null or has no letter is ``und`` with score 0, as is every row when no language can be learned. A
@@ -193,8 +193,8 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-    known = rows.where(~held_out(F.col("_key"), folds, fold) & F.col("_text").isNotNull() & F.col("_lang").isNotNull())
-    counts = (known.select("_text").mapInArrow(_document_frequencies, "n array<long>").select(F.posexplode("n").alias("i", "n"))
+    known = rows.where(~held_out(F.col("_key"), folds, fold) & F.col("_lang").isNotNull())
+    counts = (known.where("_text is not null").select("_text").mapInArrow(_document_frequencies, "n array<long>").select(F.posexplode("n").alias("i", "n"))
               .groupBy("i").agg(F.sum("n").alias("n")))
     frequency = np.zeros(BUCKETS + 1, dtype=np.int64)
     for r in counts.collect():  # BUCKETS + 1 numbers
@@ -204,9 +204,14 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     names = sorted(shares)
     if not names:
         return docs.select(F.col(key), held_out(F.col(key), folds, fold).alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    order = Window.partitionBy("_lang").orderBy("_order", "_text")
-    chosen = (known.where(F.col("_lang").isin(names)).withColumn("_order", F.xxhash64(F.lit(7), "_key", "_text"))
-              .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample_per_language).select("_text", "_lang", "_order"))
+    # the key and language alone give each language's last digest; only the rows up to it send their texts
+    known = known.where(F.col("_lang").isin(names)).withColumn("_order", F.xxhash64(F.lit(7), "_key"))
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order"))
+    last = known.select("_lang", "_order", place.alias("_n")).where(F.col("_n") <= sample_per_language)
+    ends = {r["_lang"]: r["e"] for r in last.groupBy("_lang").agg(F.max("_order").alias("e")).collect()}
+    end = F.create_map(*[F.lit(x) for kv in ends.items() for x in kv])
+    near = known.where(F.col("_order") <= end[F.col("_lang")])
+    chosen = near.withColumn("_n", place).where(F.col("_n") <= sample_per_language).select("_text", "_lang", "_order")
     sample = chosen.mapInArrow(_sample_features, "lang string, o long, f array<int>, v array<float>")
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
