@@ -18,24 +18,29 @@ BANDS, ROWS = 32, 4
 _rng = np.random.default_rng(9)
 _FACTORS = _rng.integers(1, 2**63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _rng.integers(0, 2**63, BANDS * ROWS // 2, dtype=np.uint64)
-#: all pairs of different components that share a band are compared once there are at most so many a document
-PAIRS_PER_NODE = 20
-#: and at the latest after so many turns of leaders
-TURNS = 8
+#: turns of leaders go on while each leaves at most this share of the pairs of different components, but not beyond TURNS
+PROGRESS, TURNS = 0.5, 4
+#: signature bytes of 128 that two similar sets share at least: 0.8 of them less six standard deviations
+AGREE = 75
+#: members of a band that one tile holds
+TILE = 2048
 
 
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """``len(sets)`` x ``BANDS`` keys. Each permutation is evaluated once and gives both its ends; sets are not empty."""
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``len(sets)`` x ``BANDS`` keys, and a byte of every signature value. Each permutation is evaluated once and gives
+    both its ends; sets are not empty."""
     flat = np.concatenate(sets)
     begin = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
     out = np.zeros((len(sets), BANDS), dtype=np.uint64)
+    short = np.zeros((len(sets), BANDS * ROWS), dtype=np.uint8)
     for i in range(BANDS * ROWS // 2):
         v = (flat ^ _SHIFTS[i]) * _FACTORS[i]
         v ^= v >> np.uint64(32)
         band = i // (ROWS // 2)
         low, high = np.minimum.reduceat(v, begin), np.maximum.reduceat(v, begin)
         out[:, band] = mix(mix(out[:, band] + low) + high + np.uint64(band + 1))
-    return out
+        short[:, 2 * i], short[:, 2 * i + 1] = mix(low), mix(high)  # the lowest eight bits
+    return out, short
 
 
 def _signed(texts: str, k: int):
@@ -48,7 +53,7 @@ def _signed(texts: str, k: int):
                 full = np.flatnonzero(counts)
                 bands = np.zeros((0, BANDS), np.uint64)
                 if len(full):
-                    bands = band_keys([sets[i] for i in full])
+                    bands, _ = signatures([sets[i] for i in full])
                 has = (counts > 0).astype(np.int32) * BANDS
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(has))), pa.int32()),
                                                  pa.array(bands.ravel().view(np.int64)))
@@ -62,9 +67,13 @@ def _sets(texts: str, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_chunks(batch.column(texts)):
-                raw = [s.tobytes() for s in shingle_sets(data, offsets, k) if len(s)]
+                sets = [s for s in shingle_sets(data, offsets, k) if len(s)]
+                if not sets:
+                    continue
+                raw = [s.tobytes() for s in sets]
                 digests = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(raw, pa.binary())], ["digest", "shingles"])
+                short = [v.tobytes() for v in signatures(sets)[1]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in (digests, raw, short)], ["digest", "shingles", "short"])
     return run
 
 
@@ -84,6 +93,63 @@ def _confirm(percent: int):
     return run
 
 
+def _pairs_of(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs within equal neighbours of ``groups``, some thousand at a time."""
+    starts = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+    ends = np.append(starts[1:], len(groups))
+    size = np.repeat(ends, ends - starts) - np.arange(len(groups)) - 1  # partners behind each place
+    done = 0
+    while done < len(groups):
+        upto = max(int(np.searchsorted(np.cumsum(size[done:]), 50_000, side="right")), 1) + done
+        n = size[done:upto]
+        left = np.repeat(np.arange(done, upto), n)
+        yield left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+        done = upto
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a tile's members that may be similar by their signatures; tiles arrive sorted."""
+    held: list[pa.RecordBatch] = []
+
+    def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        tiles, side = rows.column("tile").to_numpy(), rows.column("side").to_numpy()
+        roots, digests = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy(), rows.column("digest").combine_chunks()
+        short = np.frombuffer(b"".join(rows.column("short").to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
+        for a, b in _pairs_of(tiles):
+            # a tile of two blocks compares members of different blocks, a tile of one block all of its own
+            ok = (roots[a] != roots[b]) & ((side[a] != side[b]) | (side[a] == 2))
+            a, b = a[ok], b[ok]
+            near = (short[a] == short[b]).sum(axis=1) >= AGREE
+            if near.any():
+                yield pa.RecordBatch.from_arrays([digests.take(pa.array(a[near])), digests.take(pa.array(b[near]))], ["a", "b"])
+
+    for batch in batches:
+        held.append(batch)
+        rows = pa.Table.from_batches(held)
+        tiles = rows.column("tile").to_numpy()
+        whole = int(np.searchsorted(tiles, tiles[-1], side="left"))
+        if whole:
+            yield from flush(rows.slice(0, whole))
+            held = rows.slice(whole).combine_chunks().to_batches()
+    if held:
+        yield from flush(pa.Table.from_batches(held))
+
+
+def _probable(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a band and whose signatures agree often enough.
+
+    Members of a band are dealt over blocks of about ``TILE`` and meet block by block; only probable pairs are given.
+    """
+    n = members.groupBy("band").agg(F.greatest(F.ceil(F.count("*") / TILE), F.lit(1)).cast("int").alias("_n"))
+    dealt = members.join(n, "band").join(sets.select("digest", "short"), "digest").withColumn("_i", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("_n")).cast("int"))
+    dealt = dealt.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    tile = F.xxhash64("band", F.least("_i", "_j"), F.greatest("_i", "_j"))
+    side = F.when(F.col("_i") == F.col("_j"), 2).when(F.col("_i") < F.col("_j"), 0).otherwise(1)
+    dealt = dealt.select(tile.alias("tile"), side.alias("side"), "digest", "root", "short")
+    found = dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_alike, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets are similar enough."""
     left = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("sa"))
@@ -102,9 +168,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
        values cost half as many evaluations. At 0.8 all bands miss a pair with probability (1 - 0.8**4)**32, 5e-8.
     2. Equal sets become one class (a digest), so copies cost one row from then on.
     3. Classes that share a band are compared with one leader of it, and links are confirmed on the whole sets. Leaders
-       change from round to round; bands that lie in one component drop out. When few pairs of different components
-       are left in bands, all of them are compared. So a band of n classes never gives n * n pairs unless the classes
-       truly stay apart, and no pair that shares a band is skipped unless its ends are connected already.
+       change from turn to turn as long as that joins components quickly; bands that lie in one component drop out.
+    4. What is left in bands is compared pair by pair on the signatures, in tiles of bounded size; only pairs that agree
+       in ``AGREE`` of 128 values (a pair at 0.8 fails that with a probability near 1e-9) are given out and confirmed.
+       So a band of n classes never gives n * n rows, and no pair is skipped unless its ends are connected already.
 
     Texts that are null, empty or blank have an empty set and are linked with nothing: component_id is their own key.
     A null key is linked by its text like any other; component_id is null where all keys are. Repeated rows stay, each
@@ -113,7 +180,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    rows, _ = table(source.mapInArrow(_signed("_text", words), f"key {kind}, n_shingles long, digest binary, bands array<long>"))
+    rows, _ = table(source.mapInArrow(_signed("_text", words), f"key {kind}, n_shingles long, digest binary, bands array<long>"), batch=1000)
     full = rows.where("digest is not null")
     classes = full.groupBy("digest").agg(F.min("key").alias("least"), F.first("bands").alias("bands"))
     band = classes.select("digest", F.posexplode("bands").alias("_i", "_b")).select("digest", F.xxhash64("_i", "_b").alias("band"))
@@ -122,11 +189,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     nodes = buckets.select("digest").distinct()
     # the whole texts of one document of each class that shares a band
     wanted = rows.join(nodes, "digest", "left_semi").groupBy("digest").agg(F.min("key").alias("w")).select("w").distinct()
-    whole = source.join(wanted, F.col("_key").eqNullSafe(F.col("w")), "left_semi").mapInArrow(_sets("_text", words), "digest binary, shingles binary")
-    sets, _ = table(whole.join(nodes, "digest", "left_semi").dropDuplicates(["digest"]))
-    count = sets.count()
+    whole = source.join(wanted, F.col("_key").eqNullSafe(F.col("w")), "left_semi").mapInArrow(_sets("_text", words), "digest binary, shingles binary, short binary")
+    sets, _ = table(whole.join(nodes, "digest", "left_semi").dropDuplicates(["digest"]), batch=1000)
     links = None
-    roots, turn = None, 0
+    roots, turn, before = None, 0, 0
     while True:
         left = buckets.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q")).where("n * n > q")
@@ -135,16 +201,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         if not pairs:
             break
         open_ = buckets.join(left.select("band"), "band")
-        if turn >= TURNS or turn and pairs <= PAIRS_PER_NODE * count:
-            other = open_.select("band", F.col("digest").alias("b"), F.col("root").alias("_r"))
-            found = open_.withColumnRenamed("digest", "a").join(other, "band").where("a < b and root <> _r").select("a", "b").distinct()
-            last = True
+        last = turn >= TURNS or bool(turn) and pairs > PROGRESS * before
+        before = pairs
+        if last:
+            found = _probable(open_, sets)
         else:
             order = F.struct(F.xxhash64("digest", F.lit(turn)).alias("o"), "digest", "root")
             lead = open_.groupBy("band").agg(F.min(order).alias("l")).select("band", F.col("l.digest").alias("b"), F.col("l.root").alias("_r"))
             found = open_.withColumnRenamed("digest", "a").join(lead, "band").where("root <> _r").select("a", "b").distinct()
-            last = False
-        new, _ = table(_links(found, sets, percent))
+        new, _ = table(_links(found, sets, percent), batch=1000)
         links = new if links is None else links.unionByName(new)
         roots = components(links)
         if last:
