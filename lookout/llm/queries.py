@@ -31,6 +31,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import personal_data
+
+    return personal_data(read(spark, sf_dir, "documents"))
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import scored
@@ -45,6 +52,40 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"), tokenizer_path(), ids=False)
 
 
+def _license_sql() -> str:
+    from . import licenses as L
+
+    def lines(x: str) -> str:
+        x = f"translate(coalesce({x}, ''), '{L.UPPER}', '{L.LOWER}')"
+        x = f"regexp_replace({x}, '{L.OWNER_LINE}', chr(10), 'g')"
+        x = f"regexp_replace({x}, '{L.SIGNS}', ' ', 'g')"
+        for old, new in L.SPELLINGS:
+            x = f"replace({x}, '{old}', '{new}')"
+        return x
+
+    def whole(x: str) -> str:
+        return f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'))"
+
+    texts = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in L.KNOWN.items())
+    return f"""
+    WITH known AS (SELECT sha256({whole(lines("t"))}) AS digest, min(n) AS license_id FROM (VALUES {texts}) v(n, t) GROUP BY 1),
+    d AS (SELECT doc_id, {lines("text")} AS l FROM documents),
+    r AS (SELECT doc_id, l, {whole("l")} AS w FROM d),
+    e AS (SELECT doc_id, w, unnest(string_split(l, chr(10))) AS line, generate_subscripts(string_split(l, chr(10)), 1) AS i FROM r),
+    h AS (SELECT doc_id, w, count(DISTINCT i) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+          FROM e JOIN known ON sha256(trim(e.line)) = known.digest WHERE trim(e.line) <> '' GROUP BY doc_id, w)
+    SELECT r.doc_id, CAST(length(r.w) AS BIGINT) AS n_canonical, sha256(r.w) AS digest, known.license_id,
+           CAST(coalesce(h.n, 0) AS BIGINT) AS n_notices, h.notices
+    FROM r LEFT JOIN known ON sha256(r.w) = known.digest LEFT JOIN h ON h.doc_id IS NOT DISTINCT FROM r.doc_id AND h.w = r.w"""
+
+
+@query("op6_license", _license_sql())
+def op6_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(read(spark, sf_dir, "documents"))
+
+
 @query("op7_language")
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identified
