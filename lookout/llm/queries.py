@@ -45,6 +45,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query("op4_embedding")
+def op4_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import packed
@@ -134,3 +141,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"), words=4)
+
+
+@query("op10_nearest")
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(read(spark, sf_dir, "embeddings"))
