@@ -31,6 +31,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix")
+def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix import deduplicated
+
+    return deduplicated(read(spark, sf_dir, "documents"))
+
+
 @query("op2_pii")
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import personal_data
