@@ -236,3 +236,14 @@ def _result(rows: DataFrame, classes: DataFrame, roots: DataFrame | None, key: s
     component = F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("component_id"))
     return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are the first of their component: the smallest key, of rows with
+    one key any one. Documents without words are linked with nothing and stay."""
+    columns = docs.columns
+    inner = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)]).withColumn("_row", F.monotonically_increasing_id())
+    k, t = (f"_c{columns.index(c)}" for c in (key, text))
+    found = near_duplicates(inner.select(F.struct(F.col(k).alias("id"), F.col("_row").alias("row")).alias("k"), F.col(t).alias("t")), "k", "t", words, percent)
+    kept = found.where("kept").select(F.col("k.row").alias("_kept"))
+    return inner.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])

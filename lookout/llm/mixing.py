@@ -104,8 +104,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     when = F.col("finish") + F.col("_turn") * F.col("source_size") / F.col("target")
     whole = (F.col("size") == 0) & (F.col("_turn") == 0) & F.coalesce(F.col("finish") <= 1, F.lit(False))
     q = q.withColumn("_part", part).withColumn("_when", when).where((F.col("_part") > 0) | whole)
-    cut = F.regexp_extract(F.col(f"_o_{text}"), F.concat(F.lit(r"^(?s:[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"),
-                                                         F.col("_part").cast("string"), F.lit("})")), 0)
+    head = F.concat(F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), F.col("_part").cast("string"), F.lit("}+"))
+    cut = F.call_function("regexp_extract", F.col(f"_o_{text}"), head, F.lit(0))
     body = F.when(F.col("_part") < F.col("size"), cut).otherwise(F.col(f"_o_{text}"))
     q = q.withColumn(f"_o_{text}", body).orderBy("_when", f"_o_{key}", "_turn")
     return q.select(*[F.col(f"_o_{c}").alias(c) for c in columns])

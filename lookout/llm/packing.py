@@ -210,8 +210,10 @@ def _run(path: str, end_id: int, limits: dict, with_ids: bool):
         rows: list[tuple] = []
 
         def batch_of() -> pa.RecordBatch:
-            columns = [pa.array(c) for c in zip(*rows)]
-            columns = [pa.array([r[0] for r in rows], kind)] + [c.cast(pa.int64()) for c in columns[1:7]] + [c.cast(pa.list_(pa.int64())) for c in columns[7:]]
+            columns = [pa.array([r[0] for r in rows], kind), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(1, 7))]
+            if with_ids:
+                ends = np.cumsum([0, *(r[2] for r in rows)])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([r[7] for r in rows]).astype(np.int32))))
             rows.clear()
             return pa.RecordBatch.from_arrays(columns, names)
 
@@ -220,7 +222,7 @@ def _run(path: str, end_id: int, limits: dict, with_ids: bool):
             for pieces in sequences:
                 offset = 0
                 for p in pieces:
-                    rows.append((p.key, p.start, len(p), zlib.crc32(p.ids.tobytes()), p.total, base + made, offset) + ((p.ids.tolist(),) if with_ids else ()))
+                    rows.append((p.key, p.start, len(p), zlib.crc32(p.ids.tobytes()), p.total, base + made, offset) + ((p.ids,) if with_ids else ()))
                     offset += len(p)
                 made += 1
 
@@ -261,5 +263,5 @@ def packed(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     limits = {"length": length, "segments": segments, "loss": loss_tokens, "most": open_bins}
     out = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), bears.alias("_loss")).mapInArrow(
         _run(tokenizer, end_id, limits, ids),
-        f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<long>" * ids)
+        f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * ids)
     return out.withColumnRenamed("key", key)

@@ -165,6 +165,20 @@ def held_out(key: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: int, shrink: float) -> tuple[Discriminant, DataFrame]:
+    """The classifier learned from all labelled rows outside the held-out fold, and the statistics ``key, x`` of every row."""
+    kind = docs.schema[key].dataType.simpleString()
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"))
+    rows, _ = table(source.mapInArrow(_features, f"key {kind}, x array<double>"))
+    y = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("y"))
+    known = rows.where(~held_out(F.col("key"), folds)).join(y, "key").select("x", F.col("y").cast("int").alias("y"))
+    sums = known.mapInArrow(_moments, "y int, m array<double>").select("y", F.posexplode("m").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v"))
+    moments = {c: np.zeros(1 + len(STATISTICS) + len(STATISTICS) ** 2) for c in (0, 1)}
+    for r in sums.collect():  # 2 x (1 + d + d * d) numbers
+        moments[r["y"]][r["i"]] = r["v"]
+    return Discriminant(moments, shrink), rows
+
+
 def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
            threshold: float = 0.3, folds: int = 5, shrink: float = 0.3) -> DataFrame:
     """``key, held_out, score, predicted`` for every row of ``docs``.
@@ -180,15 +194,7 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     columns are not read.
     """
     kind = docs.schema[key].dataType.simpleString()
-    source = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"))
-    rows, _ = table(source.mapInArrow(_features, f"key {kind}, x array<double>"))
-    y = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("y"))
-    known = rows.where(~held_out(F.col("key"), folds)).join(y, "key").select("x", F.col("y").cast("int").alias("y"))
-    sums = known.mapInArrow(_moments, "y int, m array<double>").select("y", F.posexplode("m").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v"))
-    moments = {c: np.zeros(1 + len(STATISTICS) + len(STATISTICS) ** 2) for c in (0, 1)}
-    for r in sums.collect():  # 2 x (1 + d + d * d) numbers
-        moments[r["y"]][r["i"]] = r["v"]
-    model = Discriminant(moments, shrink)
+    model, rows = fitted(docs, labels, key, text, label, folds, shrink)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,3 +204,18 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     out = rows.mapInArrow(score, f"key {kind}, score double")
     return out.select(F.col("key").alias(key), held_out(F.col("key"), folds).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+             threshold: float = 0.3, folds: int = 5, shrink: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches the threshold; nothing is shuffled for it."""
+    model, _ = fitted(docs, labels, key, text, label, folds, shrink)
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in text_chunks(batch.column(at)):
+                good = model.score(statistics(data, offsets)) >= threshold
+                yield batch.slice(first, end - first).filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
