@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +40,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (the smallest place that each place is connected to) after the links ``a[i], b[i]``; for one task's rows."""
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .components import components
+from .components import components, joined
 from .vectors import matrix, usable, whole_tiles
 
 #: vectors of a block; a tile is the product of two
@@ -53,20 +53,6 @@ class Quantised:
         return out
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest place that each of ``n`` places is connected to."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _tiles(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_tiles(batches):
@@ -86,7 +72,7 @@ def _tiles(threshold: float):
             if not len(a):
                 continue
             links = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
-            root = _forest(len(ids), a, b)
+            root = joined(np.arange(len(ids)), a, b)
             hit = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(links[hit].astype(np.int64)), pa.array(ids[root[hit]])], ["row", "n", "root"])
     return run

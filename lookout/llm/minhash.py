@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import forget, mix, shingle_sets, table, text_chunks
-from .components import components
+from .components import components, joined
+from .vectors import whole_tiles
 
 #: one permutation gives two values, its minimum and its maximum; a band has ``ROWS`` values of ``ROWS // 2`` permutations
 BANDS, ROWS = 32, 4
@@ -108,20 +109,24 @@ def _pairs_of(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a tile's members that may be similar by their signatures; tiles arrive sorted."""
+    """For members of a tile that may be similar to others by their signatures, the first of their kind; tiles arrive sorted."""
     held: list[pa.RecordBatch] = []
 
     def flush(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         tiles, side = rows.column("tile").to_numpy(), rows.column("side").to_numpy()
         roots, digests = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy(), rows.column("digest").combine_chunks()
         short = np.frombuffer(b"".join(rows.column("short").to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
+        label = np.arange(rows.num_rows)
         for a, b in _pairs_of(tiles):
             # a tile of two blocks compares members of different blocks, a tile of one block all of its own
             ok = (roots[a] != roots[b]) & ((side[a] != side[b]) | (side[a] == 2))
             a, b = a[ok], b[ok]
             near = (short[a] == short[b]).sum(axis=1) >= AGREE
             if near.any():
-                yield pa.RecordBatch.from_arrays([digests.take(pa.array(a[near])), digests.take(pa.array(b[near]))], ["a", "b"])
+                label = joined(label, a[near], b[near])
+        hit = np.flatnonzero(label != np.arange(len(label)))
+        if len(hit):
+            yield pa.RecordBatch.from_arrays([digests.take(pa.array(hit)), digests.take(pa.array(label[hit]))], ["a", "b"])
 
     for batch in batches:
         held.append(batch)
@@ -135,19 +140,64 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(pa.Table.from_batches(held))
 
 
-def _probable(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a band and whose signatures agree often enough.
+def _dealt(members: DataFrame, group: str, size: int, columns: list[str]) -> DataFrame:
+    """``members`` by tile: those of one group are dealt over blocks of about ``size``, and every two blocks meet in one tile.
 
-    Members of a band are dealt over blocks of about ``TILE`` and meet block by block; only probable pairs are given.
+    ``side`` is 2 in the tile of a block with itself, else 0 and 1 for its two blocks.
     """
-    n = members.groupBy("band").agg(F.greatest(F.ceil(F.count("*") / TILE), F.lit(1)).cast("int").alias("_n"))
-    dealt = members.join(n, "band").join(sets.select("digest", "short"), "digest").withColumn("_i", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("_n")).cast("int"))
+    n = members.groupBy(group).agg(F.ceil(F.count("*") / size).cast("int").alias("_n"))
+    dealt = members.join(n, group).withColumn("_i", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("_n")).cast("int"))
     dealt = dealt.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    tile = F.xxhash64("band", F.least("_i", "_j"), F.greatest("_i", "_j"))
+    tile = F.xxhash64(group, F.least("_i", "_j"), F.greatest("_i", "_j"))
     side = F.when(F.col("_i") == F.col("_j"), 2).when(F.col("_i") < F.col("_j"), 0).otherwise(1)
-    dealt = dealt.select(tile.alias("tile"), side.alias("side"), "digest", "root", "short")
-    found = dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_alike, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.select(tile.alias("tile"), side.alias("side"), *columns).repartition("tile").sortWithinPartitions("tile")
+
+
+def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what pairs of different components sharing a band still connect.
+
+    Tiles of bands compare signatures and give out, for each member, only the first one it may be similar to through
+    others; the components of that are clusters. Tiles of clusters then compare signatures again and whole sets where
+    they agree, and give out the links that join components: at most one for each member and tile.
+    """
+    short = members.join(sets.select("digest", "short"), "digest")
+    likely = _dealt(short, "band", TILE, ["digest", "root", "short"]).mapInArrow(_alike, "a binary, b binary")
+    clusters, _ = table(components(likely))
+    roots = members.select("digest", "root").distinct()
+    inside = clusters.select(F.col("node").alias("digest"), F.col("root").alias("cluster")).join(roots, "digest").join(sets, "digest")
+    return _dealt(inside, "cluster", TILE // 2, ["digest", "root", "short", "shingles"]).mapInArrow(_joining(percent), "a binary, b binary")
+
+
+def _joining(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_tiles(batches):
+            side = rows.column("side").to_numpy()
+            digests = rows.column("digest").to_pylist()
+            label = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy().copy()
+            short = np.frombuffer(b"".join(rows.column("short").to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
+            sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in rows.column("shingles").combine_chunks()]
+            sizes = np.array([len(v) for v in sets])
+            hashed: dict[int, frozenset] = {}
+            left, right, found = np.arange(len(side)), np.arange(len(side)), []
+            if side[0] != 2:
+                left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            for i in left:
+                others = right[right > i] if side[0] == 2 else right
+                others = others[label[others] != label[i]]
+                others = others[100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i])]
+                agree = (short[others] == short[i]).sum(axis=1)
+                others = others[agree >= AGREE][np.argsort(-agree[agree >= AGREE], kind="stable")]
+                for j in others:
+                    if label[i] == label[j]:
+                        continue
+                    x, y = (hashed.get(k) or hashed.setdefault(k, frozenset(sets[k].tolist())) for k in (int(i), int(j)))
+                    shared = len(x & y)
+                    if 100 * shared >= percent * (len(x) + len(y) - shared):
+                        found.append((digests[i], digests[j]))
+                        label[label == label[j]] = label[i]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], ["a", "b"])
+    return run
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -169,9 +219,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     2. Equal sets become one class (a digest), so copies cost one row from then on.
     3. Classes that share a band are compared with one leader of it, and links are confirmed on the whole sets. Leaders
        change from turn to turn as long as that joins components quickly; bands that lie in one component drop out.
-    4. What is left in bands is compared pair by pair on the signatures, in tiles of bounded size; only pairs that agree
-       in ``AGREE`` of 128 values (a pair at 0.8 fails that with a probability near 1e-9) are given out and confirmed.
-       So a band of n classes never gives n * n rows, and no pair is skipped unless its ends are connected already.
+    4. What is left in bands is compared pair by pair in tiles of bounded size: first on the signatures, then, where
+       ``AGREE`` of 128 values agree (a pair at 0.8 fails that with a probability near 1e-9), on the whole sets. Tiles
+       give out spanning links, not pairs. So a band of n classes never gives n * n rows, and no pair that shares a
+       band is skipped unless its ends are connected already.
 
     Texts that are null, empty or blank have an empty set and are linked with nothing: component_id is their own key.
     A null key is linked by its text like any other; component_id is null where all keys are. Repeated rows stay, each
@@ -204,12 +255,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         last = turn >= TURNS or bool(turn) and pairs > PROGRESS * before
         before = pairs
         if last:
-            found = _probable(open_, sets)
+            new, _ = table(_remaining(open_, sets, percent), batch=1000)
         else:
             order = F.struct(F.xxhash64("digest", F.lit(turn)).alias("o"), "digest", "root")
             lead = open_.groupBy("band").agg(F.min(order).alias("l")).select("band", F.col("l.digest").alias("b"), F.col("l.root").alias("_r"))
             found = open_.withColumnRenamed("digest", "a").join(lead, "band").where("root <> _r").select("a", "b").distinct()
-        new, _ = table(_links(found, sets, percent), batch=1000)
+            new, _ = table(_links(found, sets, percent), batch=1000)
         links = new if links is None else links.unionByName(new)
         roots = components(links)
         if last:
