@@ -46,8 +46,7 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
 
 
 def queue(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
-          weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, bucket_digits: int = 3,
-          keep: Sequence[str] = ()) -> DataFrame:
+          weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, bucket_digits: int = 3) -> DataFrame:
     """Queue every document of ``docs`` and say how many of its words the mix takes.
 
     Documents are shuffled by a digest of their key. Each gets a virtual finish time, the words of its source up to and
@@ -58,11 +57,18 @@ def queue(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     Running sums have two levels: words per (source, leading digest digits), added up over the digits, then a window
     within one such bucket. A source that holds a third of all rows is dealt over 16 ** ``bucket_digits`` buckets.
 
-    Returns ``key``, ``keep``, ``source``, and long ``size``, ``source_size``, double ``target``, long ``taken`` and
+    Returns ``key``, ``source``, and long ``size``, ``source_size``, double ``target``, long ``taken`` and
     double ``finish`` (of the first offer; null where the target is 0). Null or empty text has size 0 and gives 0 words;
     a null source is a source, the last; repeated rows are documents of their own; rows with one digest are taken by
     key, then size; an empty table gives an empty result. Only the named columns are read, so others may have any name.
     """
+    out = _queued(docs, key, source, text, weights, share, most, bucket_digits, ())
+    return out.withColumnsRenamed({"_key": key, "_source": "source"})
+
+
+def _queued(docs: DataFrame, key: str, source: str, text: str, weights: Sequence[int], share: float, most: int, bucket_digits: int,
+            keep: Sequence[str]) -> DataFrame:
+    """``queue`` with columns ``_key``, ``_source`` and, for each of ``keep``, ``_keep_`` and its name."""
     rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), word_count(F.col(text)).alias("_size"),
                        F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null"))).alias("_digest"),
                        *[F.col(c).alias(f"_keep_{c}") for c in keep])
@@ -83,29 +89,26 @@ def queue(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     for i in range(most):
         start = F.col("_end") - F.col("_size") + F.col("source_size") * i
         taken = taken + F.least(F.greatest(aim - start, F.lit(0)), F.col("_size"))
-    return rows.select(F.col("_key").alias(key), *[F.col(f"_keep_{c}").alias(c) for c in keep], F.col("_source").alias("source"),
-                       F.col("_size").alias("size"), "source_size", "target", taken.alias("taken"),
+    return rows.select("_key", *[f"_keep_{c}" for c in keep], "_source", F.col("_size").alias("size"), "source_size", "target", taken.alias("taken"),
                        F.when(F.col("target") > 0, F.col("_end") / F.col("target")).alias("finish"))
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **how) -> DataFrame:
+def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
+          weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, bucket_digits: int = 3) -> DataFrame:
     """The mix itself: the rows of ``docs`` that it takes, once per offer, range-sorted by virtual finish time.
 
     The columns are those of ``docs``. The document across the end of its source keeps its leading words. Documents
     without words, which the budget cannot count, are kept once when their own offer falls before the end.
     """
     columns = docs.columns
-    most = how.get("most", 2)
-    q = queue(docs, key, source, text, keep=[c for c in columns if c not in (key, source)], **how)
-    q = q.select(*[F.col(c).alias(f"_o_{c}") for c in columns if c not in (key, source)], F.col(key).alias(f"_o_{key}"),
-                 F.col("source").alias(f"_o_{source}"), "size", "source_size", "target", "taken", "finish")
-    q = q.withColumn("_turn", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+    q = _queued(docs, key, source, text, weights, share, most, bucket_digits, [c for c in columns if c not in (key, source)])
+    q = q.withColumnsRenamed({"_key": f"_keep_{key}", "_source": f"_keep_{source}"}).withColumn("_turn", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     part = F.least(F.greatest(F.col("taken") - F.col("_turn") * F.col("size"), F.lit(0)), F.col("size"))
     when = F.col("finish") + F.col("_turn") * F.col("source_size") / F.col("target")
     whole = (F.col("size") == 0) & (F.col("_turn") == 0) & F.coalesce(F.col("finish") <= 1, F.lit(False))
     q = q.withColumn("_part", part).withColumn("_when", when).where((F.col("_part") > 0) | whole)
     head = F.concat(F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), F.col("_part").cast("string"), F.lit("}+"))
-    cut = F.call_function("regexp_extract", F.col(f"_o_{text}"), head, F.lit(0))
-    body = F.when(F.col("_part") < F.col("size"), cut).otherwise(F.col(f"_o_{text}"))
-    q = q.withColumn(f"_o_{text}", body).orderBy("_when", f"_o_{key}", "_turn")
-    return q.select(*[F.col(f"_o_{c}").alias(c) for c in columns])
+    cut = F.call_function("regexp_extract", F.col(f"_keep_{text}"), head, F.lit(0))
+    body = F.when(F.col("_part") < F.col("size"), cut).otherwise(F.col(f"_keep_{text}"))
+    q = q.withColumn(f"_keep_{text}", body).orderBy("_when", f"_keep_{key}", "_turn")
+    return q.select(*[F.col(f"_keep_{c}").alias(c) for c in columns])
