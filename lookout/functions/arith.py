@@ -53,8 +53,10 @@ COMPARATORS = {
 
 
 def compare(op: str, a, b) -> Column:
-    """1.0 where the comparison holds and 0.0 where it does not; null operands give null."""
-    return COMPARATORS[op](as_double(a), as_double(b)).cast("double")
+    """1.0 where the comparison holds and 0.0 where it does not; null operands give null. NaN differs from everything."""
+    a, b = as_double(a), as_double(b)
+    unordered = (F.isnan(a) | F.isnan(b)) & a.isNotNull() & b.isNotNull()
+    return F.when(unordered, F.lit(1.0 if op == "!=" else 0.0)).otherwise(COMPARATORS[op](a, b).cast("double"))
 
 
 def rank_roof(total: Column, rank) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import labels as L
+from .text import whole
 
 
 def tag(key: str):
@@ -13,7 +14,7 @@ def tag(key: str):
 
 
 def matches(fn, pattern: str):
-    return lambda tags: F.coalesce(fn(tags).rlike(f"^(?:{pattern})$"), F.lit(False))
+    return lambda tags: F.coalesce(fn(tags).rlike(whole(pattern)), F.lit(False))
 
 
 def group(fn, pattern: str, n: int = 1):

@@ -70,3 +70,8 @@ def searchable_tags(tags: Column, keys, max_length: int = 256) -> Column:
 def uri_path(url: Column) -> Column:
     """Path of a URL without scheme, host, query and fragment."""
     return F.regexp_extract(url, r"^(?:[a-z]+://[^/?#]*)?(/[^?#]*)", 1)
+
+
+def whole(pattern: str) -> str:
+    """A regular expression that matches entire texts only, also not up to a last line feed."""
+    return rf"\A(?:{pattern})\z"

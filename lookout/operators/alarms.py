@@ -44,9 +44,9 @@ def select_entities(df: DataFrame, rule: AlarmRule, name: str = "name") -> DataF
     if rule.exclude:
         df = df.filter(~c.isin(list(rule.exclude)))
     if rule.include_regex:
-        df = df.filter(c.rlike(f"^(?:{rule.include_regex})$"))
+        df = df.filter(c.rlike(text.whole(rule.include_regex)))
     if rule.exclude_regex:
-        df = df.filter(~c.rlike(f"^(?:{rule.exclude_regex})$"))
+        df = df.filter(~c.rlike(text.whole(rule.exclude_regex)))
     return df
 
 

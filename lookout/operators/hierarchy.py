@@ -90,9 +90,17 @@ def match_services(services: DataFrame, definition: Mapping[str, Mapping[str, st
 REL = ("upper", "upper_layer", "lower", "lower_layer")
 
 
-def reduce_relations(relations: DataFrame, levels: int = 3) -> DataFrame:
-    """Drop relations that follow from a longer way down. Levels fall along a relation, so ways have at most
-    ``levels`` steps."""
+def longest_way(definition: Mapping[str, Mapping[str, str]] = DEFINITION) -> int:
+    """Relations in the longest way down through the definition's layers; a layer does not count below itself."""
+    def down(layer: str, above: frozenset[str]) -> int:
+        lowers = [l for l in definition.get(layer, {}) if l not in above]
+        return max((1 + down(l, above | {l}) for l in lowers), default=0)
+    return max((down(layer, frozenset([layer])) for layer in definition), default=0)
+
+
+def reduce_relations(relations: DataFrame, definition: Mapping[str, Mapping[str, str]] = DEFINITION) -> DataFrame:
+    """Drop relations that follow from a longer way down; ways are no longer than the definition allows."""
+    levels = max(longest_way(definition), 2)
     r = relations.select(*REL).distinct()
     step = r.select(F.col("upper").alias("lower"), F.col("upper_layer").alias("lower_layer"),
                     F.col("lower").alias("_n"), F.col("lower_layer").alias("_nl"))
@@ -122,8 +130,9 @@ def around_service(relations: DataFrame, name: str, layer: str, max_depth: int =
     return both.join(reached, ["_from", "_fl"], "left_semi").select(*REL).distinct()
 
 
-def service_hierarchy(relations: DataFrame, name: str, layer: str, max_depth: int = 10) -> DataFrame:
-    return reduce_relations(relations).join(around_service(relations, name, layer, max_depth), list(REL), "left_semi")
+def service_hierarchy(relations: DataFrame, name: str, layer: str, max_depth: int = 10,
+                      definition: Mapping[str, Mapping[str, str]] = DEFINITION) -> DataFrame:
+    return reduce_relations(relations, definition).join(around_service(relations, name, layer, max_depth), list(REL), "left_semi")
 
 
 def related_instances(instances: DataFrame, relations: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import whole
 from ..plans.runtime import LITERAL_ENTRIES
 from .topk import first_per_group
 
@@ -96,13 +97,13 @@ def match_regex(df: DataFrame, rules: Sequence[tuple[str, str, str]], service: s
     if len(rules) <= LITERAL_ENTRIES:
         pick: Column = F.lit(None).cast("string")
         for s, regex, group in reversed(rules):
-            pick = F.when((F.col(service) == s) & F.col(name).rlike(f"^(?:{regex})$"), group).otherwise(pick)
+            pick = F.when((F.col(service) == s) & F.col(name).rlike(whole(regex)), group).otherwise(pick)
         df = df.withColumn("_g", pick)
     else:
         table = (df.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(rules)], "ord int, _svc string, regex string, grp string")
                  .groupBy("_svc").agg(F.sort_array(F.collect_list(F.struct("ord", "regex", "grp"))).alias("_rules")))
         joined = df.join(table, F.col(service) == F.col("_svc"), "left")
-        first = F.get(F.filter("_rules", lambda r: F.rlike(F.col(name), F.concat(F.lit("^(?:"), r["regex"], F.lit(")$")))), F.lit(0))
+        first = F.get(F.filter("_rules", lambda r: F.rlike(F.col(name), F.concat(F.lit(r"\A(?:"), r["regex"], F.lit(r")\z")))), F.lit(0))
         df = joined.withColumn("_g", first["grp"]).drop("_svc", "_rules")
     return (df.withColumn("matched", F.col("_g").isNotNull()).withColumn(out, F.coalesce("_g", name)).drop("_g"))
 

@@ -144,5 +144,4 @@ def over_limit(snapshots: DataFrame, queries: DataFrame, limit: int) -> DataFram
     spans = (snapshots.join(q, "segment_id").filter(F.col("dump_time").between(F.col("_s"), F.col("_e")))
              .groupBy("segment_id", "_s", "_e").agg((F.max("sequence") + 1 - F.min("sequence")).alias("n")))
     found = spans.agg(F.sum("n").alias("found")).filter(F.col("found") > limit)
-    return found.withColumn("tip", F.concat(F.lit("Out of snapshot analyze limit, "), F.col("found").cast("string"),
-                                            F.lit(f" snapshots found, but analysis first {limit} snapshots only.")))
+    return found.withColumn("tip", F.concat(F.lit(f"The tree covers {limit} of "), F.col("found").cast("string"), F.lit(" snapshots.")))

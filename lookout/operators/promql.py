@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions import arith
 from ..functions import labels as L
+from ..functions.text import whole
 from . import series as S
 from .topk import top_n, top_records
 
 
 def matcher(value: Column, op: str, want: str) -> Column:
     """``=``, ``!=``, ``=~`` and ``!~``; regular expressions match the whole text."""
-    full = f"^(?:{want})$"
+    full = whole(want)
     hit = {"=": lambda: value == want, "!=": lambda: value != want,
            "=~": lambda: value.rlike(full), "!~": lambda: ~value.rlike(full)}[op]()
     return F.coalesce(hit, F.lit(False))

@@ -11,7 +11,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import ids, predicates
+from ..functions import ids, predicates, text
 from ..functions import labels as L
 from ..functions.arith import COMPARATORS, safe_div, to_metric_long
 from ..functions.timebucket import bucket_of_millis
@@ -30,7 +30,7 @@ def tag_filter(df: DataFrame, op: str, **wanted: str) -> DataFrame:
     """equal, not_equal, match or not_match on labels, all of which must hold; a missing label is empty text."""
     for key, want in wanted.items():
         v = L.get(F.col("labels"), key)
-        full = f"^(?:{want})$"
+        full = text.whole(want)
         df = df.filter({"equal": lambda: v == want, "not_equal": lambda: v != want,
                         "match": lambda: v.rlike(full), "not_match": lambda: ~v.rlike(full)}[op]())
     return df

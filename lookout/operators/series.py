@@ -64,15 +64,23 @@ def grid_points(duration: Duration) -> Column:
     return F.transform(seconds, lambda x: bucket_of(F.timestamp_seconds(x), duration.step.lower()))
 
 
-def fill(df: DataFrame, duration: Duration, default: float | None = None) -> DataFrame:
+def fill(df: DataFrame, duration: Duration, default: float | None = None, entities: Sequence[str] | None = None) -> DataFrame:
     """One row per series and expected point, absent ones null (or ``default``).
 
+    ``entities``: ids of an unlabelled metric that are expected as well; those without any row get all their points.
+
     Empty points are added to the data and one aggregation folds both, so the data is shuffled once; a series has at
     most one row per point afterwards.
     """
     df = _keyed(df)
     key = _series_key(df)
     grid = df.select(*key).distinct().select(*key, F.explode(grid_points(duration)).alias(TIME))
+    if entities:
+        if key != ["entity_id"]:
+            raise ValueError("expected entities are those of an unlabelled metric")
+        ids = F.explode(F.array(*[F.lit(e) for e in dict.fromkeys(entities)]))
+        expected = df.sparkSession.range(1).select(ids.alias("entity_id"), F.lit(0).alias("_one"))
+        grid = grid.unionByName(expected.select("entity_id", F.explode(grid_points(duration)).alias(TIME)))
     blank = grid.withColumn(VALUE, F.lit(None).cast(df.schema[VALUE].dataType))
     out = (df.select(*key, TIME, VALUE).unionByName(blank)
            .filter(F.col(TIME).between(duration.start_bucket, duration.end_bucket))
@@ -175,18 +183,31 @@ def over_time(df: DataFrame, fn: str) -> DataFrame:
     key = _series_key(df)
     v = F.col(VALUE)
     traced = "trace_id" in df.columns
-    if fn == "latest" and TIME not in df.columns:
-        raise ValueError("latest needs a time series")
-    pick = {"max": lambda: F.max(v), "min": lambda: F.min(v), "avg": lambda: F.avg(v),
-            "sum": lambda: F.coalesce(F.sum(v), F.lit(0.0)), "count": lambda: F.count(v).cast("double"),
-            "latest": lambda: F.max_by(VALUE, F.when(v.isNotNull(), F.col(TIME)))}[fn]
-    aggs = [pick().alias(VALUE)]
+    aggs = [_folded(df, fn).alias(VALUE)]
     if traced and fn in ("max", "min", "latest"):
         by = F.when(v.isNotNull(), F.col(TIME)) if fn == "latest" else v
         aggs.append((F.min_by if fn == "min" else F.max_by)("trace_id", by).alias("trace_id"))
     return _unkeyed(df.groupBy(*key).agg(*aggs))
 
 
+def all_over_time(df: DataFrame, fns: Sequence[str]) -> DataFrame:
+    """Several folds of ``over_time`` from one aggregation: one row per series and ``fn``."""
+    df = _keyed(df)
+    key = _series_key(df)
+    folds = F.array(*[F.struct(F.lit(fn).alias("fn"), F.col(f"_{fn}").cast("double").alias(VALUE)) for fn in fns])
+    folded = df.groupBy(*key).agg(*[_folded(df, fn).alias(f"_{fn}") for fn in fns])
+    return _unkeyed(folded.select(*key, F.explode(folds).alias("_x")).select(*key, "_x.fn", f"_x.{VALUE}"))
+
+
+def _folded(df: DataFrame, fn: str) -> Column:
+    v = F.col(VALUE)
+    if fn == "latest" and TIME not in df.columns:
+        raise ValueError("latest needs a time series")
+    return {"max": lambda: F.max(v), "min": lambda: F.min(v), "avg": lambda: F.avg(v),
+            "sum": lambda: F.coalesce(F.sum(v), F.lit(0.0)), "count": lambda: F.count(v).cast("double"),
+            "latest": lambda: F.max_by(VALUE, F.when(v.isNotNull(), F.col(TIME)))}[fn]()
+
+
 def aggregate_labels(df: DataFrame, fn: str, labels: Sequence[str] = ()) -> DataFrame:
     """Per point, fold the label sets that agree on ``labels``; without labels the result is unlabelled."""
     agg = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min}[fn]

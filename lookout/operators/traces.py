@@ -479,10 +479,12 @@ def filter_traces(rows: DataFrame, service_id: str | None = None, instance_id: s
 
 
 def by_tag_table(rows: DataFrame, tag_rows: DataFrame, tags: Sequence[str], key: str = "segment_id") -> DataFrame:
-    """The same tag condition against a side table (key, tag): one semi join per tag."""
-    for t in tags:
-        rows = rows.join(tag_rows.filter(F.col("tag") == t).select(key), key, "left_semi")
-    return rows
+    """The same tag condition against a side table (key, tag), which is read once: keys that have all the tags."""
+    wanted = list(dict.fromkeys(tags))
+    if not wanted:
+        return rows
+    hits = tag_rows.filter(F.col("tag").isin(wanted)).groupBy(key).agg(F.count_distinct("tag").alias("_n"))
+    return rows.join(hits.filter(F.col("_n") == len(wanted)).select(key), key, "left_semi")
 
 
 def sorted_traces(rows: DataFrame, by: str = "start_time") -> DataFrame:

@@ -5,7 +5,7 @@ All derived values are exact integers or texts, so both sides agree bit for bit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -74,13 +74,18 @@ SAMPLES = SVC + """, samples AS (SELECT endpoint AS name, name AS svc, instance
   event_id AS seq, time_bucket, (ms // 3600000) * 3600000 AS scrape FROM svc)"""
 
 
+#: a total order of an order's lines; lines that tie are alike in all columns that spans use
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+
+
 def spans(spark, sf) -> DataFrame:
-    """One span per line item of an order (= trace). Lines repeat, so the first by part, supplier and price stands for a line.
+    """One span per line item of an order (= trace). Line numbers repeat, so a line's rank within its order is its span id.
 
     Span n hangs under span n/2; span 0 (the order itself) is the root. Times are ms from the order date.
     """
     li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    line = li.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")).alias("x"))
+    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
+    line = li.select("l_orderkey", rank.alias("l_linenumber"), F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag").alias("x"))
     start = _ms("o_orderdate")
     trace = F.concat(F.lit("t"), F.col("o_orderkey").cast("string"))
     layer = F.element_at(F.array(*[F.lit(x) for x in ("Http", "Database", "MQ", "RPCFramework", "Cache")]), (F.col("l_linenumber") % 5 + 1).cast("int"))
@@ -118,8 +123,8 @@ def spans(spark, sf) -> DataFrame:
     return both.withColumn("skip_analysis", F.lit(False)).withColumn("tags", tags).withColumn("refs", refs).drop("part")
 
 
-SPANS = r"""line AS (SELECT l_orderkey, l_linenumber, min((l_partkey, l_suppkey, l_quantity, l_returnflag)) AS x FROM lineitem GROUP BY ALL),
-kid AS (SELECT l_orderkey, l_linenumber, x[1] AS partkey, x[2] AS suppkey, x[3] AS quantity, x[4] AS flag FROM line),
+SPANS = f"""kid AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) AS INTEGER) AS l_linenumber,
+  l_partkey AS partkey, l_suppkey AS suppkey, l_quantity AS quantity, l_returnflag AS flag FROM lineitem),
 spans AS (
   SELECT 't' || o_orderkey AS trace_id, 't' || o_orderkey || '.a' AS segment_id, 'cust_' || (o_custkey % 20) AS service, 'i_' || (o_custkey % 30) AS instance,
     0 AS span_id, -1 AS parent_span_id, (epoch_us(o_orderdate) // 1000) AS start_time, (epoch_us(o_orderdate) // 1000) + 100 AS end_time,

@@ -74,6 +74,16 @@ def q_metric_series(spark, sf):
     return S.fill(S.scan_metric(table, "service_latency", RANGE, "svc_3").drop("metric"), RANGE, 0.0)
 
 
+@query("fill_absent", f"""{W}, {_PLAIN}, {_GRID}, e AS (SELECT 'svc_3' AS entity_id UNION ALL SELECT 'no such service')
+SELECT e.entity_id, grid.time_bucket, coalesce(p.value, 0.0::DOUBLE) AS value
+FROM e CROSS JOIN grid LEFT JOIN p ON p.entity_id = e.entity_id AND p.time_bucket = grid.time_bucket""")
+def fill_absent(spark, sf):
+    """An expected entity without any row has its default points."""
+    wanted = ["svc_3", "no such service"]
+    table = plain(spark, sf).withColumn("metric", F.lit("service_latency"))
+    return S.fill(S.scan_metric(table, "service_latency", RANGE, wanted).drop("metric"), RANGE, 0.0, wanted)
+
+
 @query("scan_metric_table", f"{W}, {_PLAIN} SELECT entity_id, time_bucket, value, 'service_latency' AS metric FROM p WHERE entity_id IN ('svc_1', 'svc_2') AND time_bucket BETWEEN 2024010300 AND 2024010323")
 def scan_metric_table(spark, sf):
     table = plain(spark, sf).withColumn("metric", F.lit("service_latency"))
@@ -186,12 +196,7 @@ def fn_round(spark, sf):
 SELECT entity_id, sum(value) / count(*) AS avg, sum(value) AS sum, CAST(count(*) AS DOUBLE) AS count, max(value) AS max, min(value) AS min, arg_max(value, time_bucket) AS latest FROM p GROUP BY 1)
 UNPIVOT (value FOR fn IN (avg, sum, count, max, min, latest))""")
 def mqe_avg(spark, sf):
-    filled = S.fill(plain(spark, sf), RANGE)
-    out = None
-    for fn in ("avg", "sum", "count", "max", "min", "latest"):
-        part = S.over_time(filled, fn).select(F.lit(fn).alias("fn"), "entity_id", "value")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return S.all_over_time(S.fill(plain(spark, sf), RANGE), ("avg", "sum", "count", "max", "min", "latest")).select("fn", "entity_id", "value")
 
 
 @query("mqe_agg_labels", f"""{W}, {_LAB} SELECT entity_id, time_bucket, '{{kind=}}' AS labels, sum(value) AS value FROM l GROUP BY 1, 2""")

@@ -243,13 +243,13 @@ def q_trace_list_v2(spark, sf):
     return T.full_spans(fr.spans(spark, sf), chosen).select("trace_id", "span_id", "operation")
 
 
-@query("join_span_parent", f"{W} SELECT trace_id, span_id FROM spans s WHERE NOT EXISTS (SELECT 1 FROM spans p WHERE p.trace_id = s.trace_id AND p.span_id = s.parent_span_id)")
+@query("join_span_parent", f"{W} SELECT s.trace_id, s.span_id FROM spans s LEFT JOIN (SELECT DISTINCT trace_id, span_id FROM spans) p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id WHERE p.span_id IS NULL")
 def join_span_parent(spark, sf):
     return T.roots(T.with_keys(fr.spans(spark, sf))).select("trace_id", "span_id")
 
 
 @query("q_trace_detail", f"""WITH RECURSIVE {fr.SPANS}, tree AS (
-  SELECT trace_id, span_id, 1 AS depth, CAST(start_time AS VARCHAR) || ':' || span_id AS path FROM spans s WHERE NOT EXISTS (SELECT 1 FROM spans p WHERE p.trace_id = s.trace_id AND p.span_id = s.parent_span_id)
+  SELECT trace_id, span_id, 1 AS depth, CAST(start_time AS VARCHAR) || ':' || span_id AS path FROM (SELECT s.* FROM spans s LEFT JOIN (SELECT DISTINCT trace_id, span_id FROM spans) p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id WHERE p.span_id IS NULL) s
   UNION ALL SELECT s.trace_id, s.span_id, t.depth + 1, t.path || '/' || s.start_time || ':' || s.span_id FROM spans s JOIN tree t ON s.trace_id = t.trace_id AND s.parent_span_id = t.span_id)
 SELECT trace_id, span_id, CAST(depth AS INTEGER) AS depth, path FROM tree""")
 def q_trace_detail(spark, sf):
@@ -571,10 +571,10 @@ def agg_flame_go(spark, sf):
 # told apart by p_size
 def _snapshots(spark, sf):
     s = fr.stacks(spark, sf)
-    return s.select("segment_id", F.expr("sequence div 5").alias("sequence"), F.col("dump_time").cast("bigint").alias("dump_time"), F.slice("stack", 1, 2).alias("stack"))
+    return s.select("segment_id", F.expr("sequence div 5").alias("sequence"), F.col("dump_time").cast("bigint").alias("dump_time"), "stack")
 
 
-_SNAP = "snap AS (SELECT segment_id, sequence // 5 AS sequence, dump_time, stack[1:2] AS stack FROM stacks)"
+_SNAP = "snap AS (SELECT segment_id, sequence // 5 AS sequence, dump_time, stack FROM stacks)"
 _ISL = """SELECT {k}, CAST(sum(hi_t - lo_t) AS BIGINT) AS duration, CAST(sum(n) AS BIGINT) AS count FROM (SELECT {k}, g, max(dump_time) - 0 AS hi_t, min(dump_time) AS lo_t, count(*) AS n FROM (SELECT *, sequence - row_number() OVER (PARTITION BY {k} ORDER BY sequence) AS g FROM {t}) GROUP BY ALL) GROUP BY {k}"""
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,13 +12,11 @@ LITERAL_ENTRIES = 256
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in a local session that names none."""
+    """The shared folder that the cluster names; where none is named, as in tests, one below the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="lookout-checkpoint-")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", folder)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
+from ..functions.text import whole
 
 LONG_MIN = -(2 ** 63)
 
@@ -65,7 +66,7 @@ def zabbix(items: DataFrame, config_labels: Mapping[str, str] | None = None, hos
     hold commas. Items in error and values that are no numbers are left out."""
     rows = items.filter((F.col("state") == 0) & F.col("value").try_cast("double").isNotNull())
     if host_pattern:
-        rows = rows.filter(F.col("host").rlike(f"^(?:{host_pattern})$"))
+        rows = rows.filter(F.col("host").rlike(whole(host_pattern)))
     has = F.col("key").contains("[") & F.col("key").endswith("]")
     inner = F.regexp_extract("key", r"^[^\[]*\[(.*)\]$", 1)
     pieces = F.transform(F.regexp_extract_all(inner, F.lit(r'("[^"]*"|[^,]*)(,|$)'), F.lit(1)), lambda p: F.regexp_replace(p, r'^"(.*)"$', "$1"))

@@ -139,3 +139,21 @@ def test_java_hash(spark):
 
 def test_json_props(spark):
     assert one(spark, text.json_props_merge(F.lit('{"a":"1","b":"2"}'), F.lit('{"b":"3"}')), text.json_props_merge(F.lit(None).cast("string"), F.lit('{"b":"3"}'))) == ('{"a":"1","b":"3"}', '{"b":"3"}')
+
+
+def test_nan_differs_from_everything(spark):
+    from lookout.functions import arith
+
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1.0), (nan, nan), (1.0, nan), (2.0, 1.0), (None, 1.0)], "a double, b double")
+    got = {op: [r[0] for r in df.select(arith.compare(op, F.col("a"), F.col("b"))).collect()] for op in ("==", "!=", ">", "<", ">=", "<=")}
+    assert got["=="] == [0.0, 0.0, 0.0, 0.0, None] and got["!="] == [1.0, 1.0, 1.0, 1.0, None]
+    assert got[">"] == got[">="] == [0.0, 0.0, 0.0, 1.0, None] and got["<"] == got["<="] == [0.0, 0.0, 0.0, 0.0, None]
+
+
+def test_whole_text_patterns_refuse_a_line_feed(spark):
+    from lookout.operators import promql, samples
+
+    df = spark.createDataFrame([({"svc": "svc_1"},), ({"svc": "svc_1\n"},)], "labels map<string,string>")
+    assert samples.tag_filter(df, "match", svc="svc_.").count() == 1
+    assert df.where(promql.matcher(F.element_at("labels", F.lit("svc")), "=~", "svc_.|x")).count() == 1
