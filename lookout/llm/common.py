@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: bytes of text that one vectorised step works on; a longer single text is one step of its own
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _made: list[tuple[SparkSession, str]] = []
 
 

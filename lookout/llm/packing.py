@@ -230,7 +230,7 @@ def _run(path: str, end_id: int, limits: dict, with_ids: bool):
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             kind = batch.column("_key").type
-            for first, stop, _, _ in text_chunks(batch.column("_text"), 2 * CHUNK_BYTES):
+            for first, stop, _, _ in text_chunks(batch.column("_text"), 4 * CHUNK_BYTES):
                 keys, texts, losses = (batch.column(c).slice(first, stop - first).to_pylist() for c in ("_key", "_text", "_loss"))
                 for key, ids, loss in zip(keys, words.ids([t or "" for t in texts]), losses):
                     ids = np.concatenate((ids, end))

@@ -169,7 +169,7 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     """The classifier learned from all labelled rows outside the held-out fold, and the statistics ``key, x`` of every row."""
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"))
-    rows, _ = table(source.mapInArrow(_features, f"key {kind}, x array<double>"))
+    rows, _ = table(source.mapInArrow(_features, f"key {kind}, x array<double>"), batch=2000)
     y = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("y"))
     known = rows.where(~held_out(F.col("key"), folds)).join(y, "key").select("x", F.col("y").cast("int").alias("y"))
     sums = known.mapInArrow(_moments, "y int, m array<double>").select("y", F.posexplode("m").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v"))
