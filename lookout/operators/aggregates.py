@@ -32,6 +32,7 @@ class AggregateFn:
     value: Callable[[Mapping[str, Column], Column, Mapping], Column] | None = None
     key: Callable[[Column | None, Mapping], Column] | None = None
     finish: Callable[[DataFrame, tuple, Mapping], DataFrame] | None = None
+    key_type: str = "label"  # what a key is: a number ("le"), a text ("label") or both ("both")
 
 
 REGISTRY: dict[str, AggregateFn] = {}
@@ -123,7 +124,7 @@ def _percentile(name, labels):
     register(AggregateFn(
         name,
         lambda v, a: {"n": (_one(), "sum")},
-        key=lambda v, a: int_div(v, a["precision"]),
+        key_type="le", key=lambda v, a: int_div(v, a["precision"]),
         finish=lambda df, group, a: ranks_to_rows(rank_scan(df, group, RANKS), group, labels, a["precision"])))
 
 
@@ -143,6 +144,7 @@ def _histogram_finish(df, group, a):
 register(AggregateFn(
     "histogram",
     lambda v, a: {"n": (_one(), "sum")},
+    key_type="le",
     key=lambda v, a: F.least(int_div(v, a["step"]), F.lit(a["max_steps"]).cast("bigint")) * a["step"],
     finish=_histogram_finish))
 
@@ -203,7 +205,7 @@ def _open_key(df, group, value):
 
 
 def _hist(name, states, value):
-    register(AggregateFn(f"meter_{name}_histogram", states, key=_hist_key,
+    register(AggregateFn(f"meter_{name}_histogram", states, key=_hist_key, key_type="both",
                          finish=lambda df, group, a: _open_key(df, group, value())))
 
     def pct(df, group, a):
@@ -212,7 +214,7 @@ def _hist(name, states, value):
         scan = rank_scan(buckets, full, a["ranks"], key="le", n="value")
         return ranks_to_rows(scan, full, a["ranks"])
 
-    register(AggregateFn(f"meter_{name}_histogram_percentile", states, key=_hist_key, finish=pct))
+    register(AggregateFn(f"meter_{name}_histogram_percentile", states, key=_hist_key, key_type="both", finish=pct))
 
 
 _hist("avg", lambda v, a: {"s": (_long(v), "sum"), "n": (_one(), "sum")}, lambda: floor_one_avg(F.col("s"), F.col("n")))

@@ -150,21 +150,95 @@ def keyed_values(state_df: DataFrame, rule: Rule) -> DataFrame:
     return A.finalise(state_df, rule.fn, args)
 
 
+#: one row of the shared keyed states: the metric, its group and the key in either of two columns
+KEYED = ("metric", *A.GROUP, "label", "le")
+
+
+def _state_names(rule: Rule) -> dict[str, str]:
+    """State name -> column of the shared frame, which also names the fold."""
+    _, args = _resolve(rule)
+    return {s: f"{s}_{how}" for s, (_, how) in A.REGISTRY[rule.fn].states(F.lit(0), A._dummy(args)).items()}
+
+
+def keyed_states(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One pass over a source for all its keyed rules: rows (metric, entity, bucket, label, le, ``<state>_<fold>``).
+
+    A row of the source gives one state row per rule that it meets; Spark folds them before the shuffle, so what moves
+    is one row per task, metric, group and key. States that a metric lacks are null.
+    """
+    rules = [r for r in rules if is_keyed(r)]
+    columns = sorted({c for r in rules for c in _state_names(r).values()})
+    items = []
+    for rule in rules:
+        value, args = _resolve(rule)
+        spec = A.REGISTRY[rule.fn]
+        key = spec.key(value, args)
+        label, le = {"label": (key, None), "le": (None, key), "both": (key["label"], key["le"])}[spec.key_type]
+        states = {f"{s}_{how}": e for s, (e, how) in spec.states(value, args).items()}
+        item = F.struct(F.lit(rule.name).alias("metric"), (F.lit(None) if label is None else label).cast("string").alias("label"),
+                        (F.lit(None) if le is None else le).cast("bigint").alias("le"),
+                        *[states.get(c, F.lit(None)).alias(c) for c in columns])
+        items.append(F.when(_where(rule), item) if rule.where else item)
+    rows = df.select(*A.GROUP, F.inline(F.array_compact(F.array(*items))))
+    return _fold_keyed(rows, columns)
+
+
+def _fold_keyed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*KEYED).agg(*[A.FOLD[c.rsplit("_", 1)[1]](c).alias(c) for c in columns])
+
+
+def merge_keyed(states: DataFrame) -> DataFrame:
+    """Merge shared keyed states of several batches, nodes or finer buckets."""
+    return _fold_keyed(states, [c for c in states.columns if c not in KEYED and c.rsplit("_", 1)[-1] in A.FOLD])
+
+
+def rollup_keyed(states: DataFrame, rules: Sequence[Rule], levels: int = 1) -> DataFrame:
+    """Hour or day states of the keyed rules that did not opt out of downsampling."""
+    kept = [r.name for r in rules if is_keyed(r) and r.downsample]
+    return merge_keyed(states.filter(F.col("metric").isin(kept)).withColumn("time_bucket", coarsen(F.col("time_bucket"), levels)))
+
+
+def _same_finish(rule: Rule) -> tuple:
+    """Rules that share a function and its constants are finished together."""
+    _, args = _resolve(rule)
+    return rule.fn, tuple(sorted((k, repr(v)) for k, v in args.items() if not isinstance(v, Column)))
+
+
+def keyed_rows(states: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Shared keyed states to the long metric table (metric, entity_id, time_bucket, value, label)."""
+    classes: dict[tuple, list[Rule]] = {}
+    for rule in rules:
+        if is_keyed(rule):
+            classes.setdefault(_same_finish(rule), []).append(rule)
+    out = None
+    group = ("metric", *A.GROUP)
+    for same in classes.values():
+        _, args = _resolve(same[0])
+        spec = A.REGISTRY[same[0].fn]
+        key = {"label": F.col("label"), "le": F.col("le"), "both": F.struct("label", "le")}[spec.key_type]
+        mine = states.filter(F.col("metric").isin([r.name for r in same])).select(
+            *group, key.alias(A.KEY), *[F.col(c).alias(s) for s, c in _state_names(same[0]).items()])
+        done = A.finalise(mine, same[0].fn, args, group)
+        label = next(c for c in done.columns if c not in (*group, "value"))
+        done = done.select(*group, F.col("value").cast("double").alias("value"), F.col(label).cast("string").alias("label"))
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
 def run(df: DataFrame, rules: Sequence[Rule], extra: Sequence[str] = (), disabled=()) -> DataFrame:
-    """All rules of one source to the long metric table; ``label`` is null for plain values."""
+    """All rules of one source to the long metric table; ``label`` is null for plain values.
+
+    Plain rules read the source once; keyed rules once for each function with its constants.
+    """
     rules = enabled(rules, disabled)
     plain = [r for r in rules if not is_keyed(r)]
-    parts = []
+    keyed_rules = [r for r in rules if is_keyed(r)]
+    out = None
     if plain:
         wide = values(states(df, plain, extra), plain, extra)
-        parts.append(to_rows(wide, plain, extra).withColumn("label", F.lit(None).cast("string")))
-    for rule in (r for r in rules if is_keyed(r)):
-        rows = keyed_values(keyed(df, rule), rule)
-        label = next(c for c in rows.columns if c not in (*A.GROUP, "value"))
-        parts.append(rows.select(F.lit(rule.name).alias("metric"), *A.GROUP,
-                                 *[F.lit(None).cast(df.schema[e].dataType).alias(e) for e in extra],
-                                 F.col("value").cast("double").alias("value"), F.col(label).cast("string").alias("label")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = to_rows(wide, plain, extra).withColumn("label", F.lit(None).cast("string"))
+    if keyed_rules:
+        rows = keyed_rows(keyed_states(df, keyed_rules), keyed_rules)
+        rows = rows.select("metric", *A.GROUP, *[F.lit(None).cast(df.schema[e].dataType).alias(e) for e in extra], "value", "label")
+        out = rows if out is None else out.unionByName(rows)
     return out

@@ -2,52 +2,131 @@
 
 A batch adds its partial states under ``day=/batch=``. Writing is idempotent, because a repeated batch replaces its own
 partitions only, and rows that arrive late simply add states to their old bucket, so nothing is ever dropped or
-rewritten in place. Readers merge with one partial/final aggregation; compaction folds finished days.
+rewritten in place. Compaction folds what the batches of a day hold so far into ``<path>_folded/day=/upto=``, where
+``upto`` is the last batch that is in it. Readers take the newest fold of each day and the batches after it, so late
+rows of a folded day count once, before and after the next fold.
+
+Plain rules share one wide frame; percentiles, histograms and labels share one long frame beside it (:func:`keyed_path`).
 """
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import aggregates as A
 from ..operators import rules as R
 
 BATCH = "batch"
+UPTO = "upto"
+
+
+def keyed_path(path: str) -> str:
+    return path.rstrip("/") + "_keyed"
 
 
-def _day(df: DataFrame) -> DataFrame:
+def folded_path(path: str) -> str:
+    return path.rstrip("/") + "_folded"
+
+
+def with_day(df: DataFrame) -> DataFrame:
     """Day of a minute, hour or day bucket."""
     digits = F.length(F.col("time_bucket").cast("string"))
     power = F.when(digits == 12, 10_000).when(digits == 10, 100).otherwise(1).cast("bigint")
     return df.withColumn("day", F.call_function("div", F.col("time_bucket"), power))
 
 
+def _write(df: DataFrame, path: str, *partitions: str) -> None:
+    """Rows of a partition are brought together first: few files, and a large partition is split by its size."""
+    (df.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
+
+
 def append(states: DataFrame, path: str, batch_id: int) -> None:
-    (_day(states).withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("day", BATCH).parquet(path))
+    _write(with_day(states).withColumn(BATCH, F.lit(batch_id).cast("bigint")), path, "day", BATCH)
 
 
-def read(spark: SparkSession, path: str, start_day: int | None = None, end_day: int | None = None) -> DataFrame:
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _stored(spark: SparkSession, path: str, start_day: int | None, end_day: int | None) -> DataFrame:
     out = spark.read.parquet(path)
+    kinds = {"day": T.LongType(), BATCH: T.LongType(), UPTO: T.LongType()}
+    out = out.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else c for c in out.columns])
     if start_day is not None:
         out = out.filter(F.col("day").between(start_day, end_day if end_day is not None else start_day))
     return out
 
 
+def _marks(folds: DataFrame) -> DataFrame:
+    """The newest fold of each day: one row a day."""
+    return folds.groupBy("day").agg(F.max(UPTO).alias("_newest"))
+
+
+def _newer(batches: DataFrame, folds: DataFrame) -> DataFrame:
+    """Rows of batches that no fold holds."""
+    return (batches.join(_marks(folds), "day", "left").filter(F.col("_newest").isNull() | (F.col(BATCH) > F.col("_newest")))
+            .drop("_newest"))
+
+
+def read(spark: SparkSession, path: str, start_day: int | None = None, end_day: int | None = None) -> DataFrame:
+    """State rows that count: the newest fold of each day and the batches after it."""
+    batches = _stored(spark, path, start_day, end_day)
+    if not _exists(spark, folded_path(path)):
+        return batches
+    folds = _stored(spark, folded_path(path), start_day, end_day)
+    newest = folds.join(_marks(folds), "day").filter(F.col(UPTO) == F.col("_newest")).drop("_newest").withColumnRenamed(UPTO, BATCH)
+    return newest.unionByName(_newer(batches, folds))
+
+
 def merged(spark: SparkSession, path: str, rules: Sequence[R.Rule], start_day: int | None = None, end_day: int | None = None) -> DataFrame:
     """Merged wide states of the unkeyed rules."""
-    return R.merge_states(read(spark, path, start_day, end_day), rules)
+    return R.merge_states(read(spark, path, start_day, end_day), [r for r in rules if not R.is_keyed(r)])
+
+
+def merged_keyed(spark: SparkSession, path: str, start_day: int | None = None, end_day: int | None = None) -> DataFrame:
+    """Merged long states of the keyed rules, for :func:`lookout.operators.rules.keyed_rows`."""
+    return R.merge_keyed(read(spark, keyed_path(path), start_day, end_day))
+
+
+def values(spark: SparkSession, path: str, rules: Sequence[R.Rule], start_day: int | None = None, end_day: int | None = None) -> DataFrame:
+    """All rules of the table at ``path`` as the long metric table (metric, entity_id, time_bucket, value, label)."""
+    plain = [r for r in rules if not R.is_keyed(r)]
+    out = None
+    if plain:
+        wide = R.values(merged(spark, path, plain, start_day, end_day), plain)
+        out = R.to_rows(wide, plain).withColumn("label", F.lit(None).cast("string"))
+    if len(plain) < len(rules):
+        rows = R.keyed_rows(merged_keyed(spark, path, start_day, end_day), rules)
+        out = rows if out is None else out.unionByName(rows.select(*out.columns))
+    return out
+
+
+def _fold(spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame], start_day: int | None, end_day: int | None) -> None:
+    batches = _stored(spark, path, start_day, end_day)
+    if _exists(spark, folded_path(path)):
+        batches = _newer(batches, _stored(spark, folded_path(path), start_day, end_day))
+    due = batches.groupBy("day").agg(F.max(BATCH).alias(UPTO))
+    rows = with_day(fold(read(spark, path, start_day, end_day))).join(due, "day")
+    _write(rows, folded_path(path), "day", UPTO)
 
 
-def merged_keyed(spark: SparkSession, path: str, fn: str, args: Mapping | None = None, start_day: int | None = None, end_day: int | None = None) -> DataFrame:
-    return A.merge(read(spark, path, start_day, end_day), fn, args=args)
+def compact(spark: SparkSession, path: str, rules: Sequence[R.Rule], start_day: int | None = None, end_day: int | None = None) -> None:
+    """Fold the batches of the days that have any the newest fold lacks. The table must not be written meanwhile;
+    :func:`lookout.streaming.metrics.upsert_batch` calls this between its batches. Nothing is deleted."""
+    plain = [r for r in rules if not R.is_keyed(r)]
+    if plain:
+        _fold(spark, path, lambda df: R.merge_states(df, plain), start_day, end_day)
+    if len(plain) < len(rules):
+        _fold(spark, keyed_path(path), R.merge_keyed, start_day, end_day)
 
 
-def compact(spark: SparkSession, path: str, out: str, rules: Sequence[R.Rule], day: int) -> None:
-    """Fold the batches of one finished day into the compacted table ``out``."""
-    states = merged(spark, path, rules, day)
-    (_day(states).withColumn(BATCH, F.lit(-1)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("day", BATCH).parquet(out))
+def write_metrics(rows: DataFrame, path: str) -> None:
+    """The metric table that :func:`lookout.sources.tables.read_metrics` and ``scan_metric`` prune: long rows
+    (metric, entity_id, time_bucket, value ...) by metric and day. Days that are written again are replaced."""
+    _write(with_day(rows), path, "metric", "day")

@@ -20,29 +20,39 @@ def current(rules: RuleSource) -> list[R.Rule]:
     return list(rules() if callable(rules) else rules)
 
 
-def upsert_batch(path: str, rules: RuleSource, hour_path: str | None = None, day_path: str | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that appends minute states and their hour and day roll-ups.
+def upsert_batch(path: str, rules: RuleSource, hour_path: str | None = None, day_path: str | None = None,
+                 compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that appends minute states and their hour and day roll-ups, of plain and keyed rules.
 
-    Late rows need no special care: their states join their old bucket when the table is read.
+    Late rows need no special care: their states join their old bucket when the table is read. ``compact_every``: after
+    so many batches the tables fold what they hold.
     """
+    targets = [(p, levels) for p, levels in ((path, 0), (hour_path, 1), (day_path, 2)) if p]
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        active = [r for r in current(rules) if not R.is_keyed(r)]
-        minute = R.states(batch, active)
-        minute.persist()
-        try:
-            state_table.append(minute, path, batch_id)
-            if hour_path:
-                state_table.append(R.rollup(minute, active, 1), hour_path, batch_id)
-            if day_path:
-                state_table.append(R.rollup(minute, active, 2), day_path, batch_id)
-        finally:
-            minute.unpersist()
+        active = current(rules)
+        plain, keyed = [r for r in active if not R.is_keyed(r)], [r for r in active if R.is_keyed(r)]
+        parts = []
+        if plain:
+            parts.append((R.states(batch, plain), lambda df, n: R.rollup(df, plain, n), lambda p: p))
+        if keyed:
+            parts.append((R.keyed_states(batch, keyed), lambda df, n: R.rollup_keyed(df, keyed, n), state_table.keyed_path))
+        for minute, roll, where in parts:
+            minute.persist()
+            try:
+                for target, levels in targets:
+                    state_table.append(roll(minute, levels) if levels else minute, where(target), batch_id)
+            finally:
+                minute.unpersist()
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            for target, levels in targets:
+                state_table.compact(batch.sparkSession, target, [r for r in active if r.downsample or not levels])
     return run
 
 
 def stream_states(source: DataFrame, path: str, rules: RuleSource, checkpoint: str, hour_path: str | None = None, day_path: str | None = None,
-                  trigger: Mapping | None = None):
-    return (source.writeStream.foreachBatch(upsert_batch(path, rules, hour_path, day_path)).option("checkpointLocation", checkpoint)
+                  trigger: Mapping | None = None, compact_every: int | None = None):
+    return (source.writeStream.foreachBatch(upsert_batch(path, rules, hour_path, day_path, compact_every)).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "25 seconds"})).start())
 
 

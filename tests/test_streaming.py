@@ -63,11 +63,72 @@ def test_repeated_batch_replaces_itself_and_late_rows_merge(spark, tmp_path):
     write(df.filter(~late), 0)
     write(df.filter(late), 1)
     assert rows(R.values(state_table.merged(spark, path, RULES), RULES)) == rows(R.values(R.states(df, RULES), RULES))
-    out = str(tmp_path / "compact")
-    state_table.compact(spark, path, out, RULES, 20240105)
-    got = R.values(state_table.merged(spark, out, RULES, 20240105), RULES)
-    want = R.values(state_table.merged(spark, path, RULES, 20240105), RULES)
-    assert rows(got) == rows(want) and got.count() > 0
+
+
+KEYED = RULES + [Rule("pct", "service", "percentile2", "latency", (), {"precision": 10}), Rule("pct_slow", "service", "percentile2", "latency", (("gt", "latency", 500),), {"precision": 10}),
+                 Rule("heat", "service", "histogram", "latency", (), {"step": 100, "max_steps": 20}), Rule("kinds", "service", "label_count", None, (), {"label": "type", "ts": "ts"})]
+
+
+def few_days(spark):
+    return service_rows(spark).filter("time_bucket div 100 between 20240103 and 20240106")
+
+
+def test_keyed_rules_stream_as_in_batch(spark, tmp_path):
+    df = few_days(spark).withColumn("time_bucket", F.col("minute"))
+    folder = parts(spark, tmp_path, df, order="event_id")
+    src = tables.read_stream(spark, folder, df.schema, files_per_trigger=1)
+    minute, hour, day = (str(tmp_path / n) for n in ("minute", "hour", "day"))
+    run(src.writeStream.foreachBatch(metrics.upsert_batch(minute, KEYED, hour, day, compact_every=2)), str(tmp_path / "cp"))
+    from lookout.functions.timebucket import coarsen
+
+    cols = ("metric", "entity_id", "time_bucket", "value", "label")
+    for path, levels in ((minute, 0), (hour, 1), (day, 2)):
+        coarse = df.withColumn("time_bucket", coarsen(F.col("time_bucket"), levels)) if levels else df
+        got = rows(state_table.values(spark, path, KEYED), *cols)
+        assert got == rows(R.run(coarse, KEYED), *cols) and len({r[0] for r in got}) == len(KEYED)
+
+
+def test_shared_keyed_states_equal_each_rule_alone(spark):
+    df = service_rows(spark)
+    keyed = [r for r in KEYED if R.is_keyed(r)]
+    together = R.run(df, keyed)
+    for rule in keyed:
+        alone = R.keyed_values(R.keyed(df, rule), rule)
+        label = next(c for c in alone.columns if c not in ("entity_id", "time_bucket", "value"))
+        want = alone.select("entity_id", "time_bucket", F.col("value").cast("double").alias("value"), F.col(label).cast("string").alias("label"))
+        assert rows(together.filter(F.col("metric") == rule.name).drop("metric"), "entity_id", "time_bucket", "value", "label") == rows(want, "entity_id", "time_bucket", "value", "label")
+
+
+def test_late_rows_of_a_folded_day_count_once(spark, tmp_path):
+    df = few_days(spark)
+    path = str(tmp_path / "t")
+    write = metrics.upsert_batch(path, KEYED)
+    cols = ("metric", "entity_id", "time_bucket", "value", "label")
+    write(df.filter("event_id % 3 = 0"), 0)
+    state_table.compact(spark, path, KEYED, 20240105)
+    write(df.filter("event_id % 3 = 1"), 1)
+    write(df.filter("event_id % 3 = 1"), 1)
+    state_table.compact(spark, path, KEYED)
+    state_table.compact(spark, path, KEYED)
+    write(df.filter("event_id % 3 = 2"), 2)
+    want = rows(R.run(df, KEYED), *cols)
+    assert rows(state_table.values(spark, path, KEYED), *cols) == want
+    state_table.compact(spark, path, KEYED)
+    assert rows(state_table.values(spark, path, KEYED), *cols) == want
+    # a fold holds one row per group, and reading takes nothing else
+    assert state_table.read(spark, path).count() == R.states(df, RULES).count()
+
+
+def test_metric_table_is_pruned_by_metric_and_day(spark, tmp_path):
+    path = str(tmp_path / "m")
+    table = R.run(few_days(spark), KEYED)
+    state_table.write_metrics(table, path)
+    read = tables.read_metrics(spark, path, "resp", 20240105, 20240106)
+    assert rows(read, "entity_id", "time_bucket", "value") == rows(
+        table.filter("metric = 'resp' and time_bucket div 100 between 20240105 and 20240106"), "entity_id", "time_bucket", "value")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    assert "metric" in filters and "day" in filters
 
 
 def test_windowed_stream_equals_batch(spark, tmp_path):
