@@ -284,3 +284,12 @@ def incompatible_buckets(samples: DataFrame, group=GROUP, le="le") -> DataFrame:
     return (per_report.groupBy(*group)
             .agg(F.max(F.struct("n", "s", "h")).alias("a"), F.min(F.struct("n", "s", "h")).alias("b"))
             .filter(F.col("a") != F.col("b")).select(*group))
+
+
+def refuse_incompatible(result: DataFrame, samples: DataFrame, group=GROUP) -> DataFrame:
+    """``result`` as it is; the query fails on a group whose reports have differing bucket sets."""
+    bad = incompatible_buckets(samples, group).withColumn("_bad", F.lit(True))
+    joined = result.join(bad, list(group), "left")
+    stop = F.raise_error(F.concat_ws(" ", F.lit("reports with differing buckets meet in"), *[F.col(g).cast("string") for g in group]))
+    value = F.when(F.col("_bad"), stop.cast(result.schema["value"].dataType)).otherwise(F.col("value"))
+    return joined.withColumn("value", value).select(*result.columns)

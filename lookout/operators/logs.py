@@ -6,11 +6,14 @@ Parsing adds ``parsed`` (map) and ``aborted``; sinks read ``keep``.
 
 from __future__ import annotations
 
+import json
 import re
 from typing import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import ids
 from ..functions import labels as L
@@ -58,16 +61,84 @@ def parse_json(df: DataFrame, abort_on_failure: bool = True) -> DataFrame:
     return _parsed(df, fields, abort_on_failure)
 
 
+def _yaml_scalar(text: str):
+    text = text.strip()
+    if len(text) > 1 and text[0] == text[-1] and text[0] in "\"'":
+        return text[1:-1]
+    return re.sub(r"(^|\s)#.*$", "", text).strip()
+
+
+def _yaml_block(lines: list[tuple[int, str]], at: int, indent: int):
+    """The map, list or scalar that starts at line ``at``, and the line after it."""
+    if lines[at][1] == "-" or lines[at][1].startswith("- "):
+        items = []
+        while at < len(lines) and lines[at][0] == indent and (lines[at][1] == "-" or lines[at][1].startswith("- ")):
+            rest = lines[at][1][1:].lstrip()
+            inner = indent + len(lines[at][1]) - len(rest)
+            if rest and (_YAML_KEY.match(rest) or rest.startswith("- ")):
+                lines[at] = (inner, rest)
+                item, at = _yaml_block(lines, at, inner)
+            elif rest:
+                item, at = _yaml_scalar(rest), at + 1
+            elif at + 1 < len(lines) and lines[at + 1][0] > indent:
+                item, at = _yaml_block(lines, at + 1, lines[at + 1][0])
+            else:
+                item, at = "", at + 1
+            items.append(item)
+        return items, at
+    fields = {}
+    while at < len(lines) and lines[at][0] == indent:
+        found = _YAML_KEY.match(lines[at][1])
+        if not found:
+            break
+        key, rest = _yaml_scalar(found[1]), found[2].strip()
+        at += 1
+        deeper = at < len(lines) and (lines[at][0] > indent or (lines[at][0] == indent and lines[at][1].startswith("- ")))
+        if (not rest or rest.startswith("#")) and deeper:
+            fields[key], at = _yaml_block(lines, at, lines[at][0])
+        else:
+            fields[key] = _yaml_scalar(rest)
+            while at < len(lines) and lines[at][0] > indent:  # below a scalar nothing can nest
+                at += 1
+    return fields, at
+
+
+_YAML_KEY = re.compile(r"^((?:\"[^\"]*\"|'[^']*'|[^:#\s][^:]*?))\s*:(?=\s|$)(.*)$")
+
+
+def yaml_fields(body: str | None) -> dict[str, str] | None:
+    """Top-level fields of a YAML map in block style; maps and lists below them as JSON text. Scalars stay text, a
+    repeated key keeps its last value, and lines that are no entries of a map end it. None where there is no map."""
+    lines = [(len(x) - len(x.lstrip(" ")), x.strip()) for x in (body or "").split("\n") if x.strip() and not x.lstrip().startswith("#")]
+    lines = [x for x in lines if x[1] not in ("---", "...")]
+    if not lines or not _YAML_KEY.match(lines[0][1]):
+        return None
+    fields, _ = _yaml_block(lines, 0, lines[0][0])
+    return {k: v if isinstance(v, str) else json.dumps(v) for k, v in fields.items()}
+
+
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+def _nested_yaml(bodies: pd.Series) -> pd.Series:
+    return bodies.map(yaml_fields)
+
+
 def parse_yaml(df: DataFrame, abort_on_failure: bool = True) -> DataFrame:
-    """Flat ``key: value`` bodies. Deeper nesting is kept as the text of its first line's value."""
-    lines = F.filter(F.split(F.coalesce("body", F.lit("")), "\n"), lambda l: l.rlike(r"^[^\s#][^:]*:"))
+    """``key: value`` bodies. Maps and lists below a key become JSON text, for :func:`path`, as with JSON bodies.
+
+    Flat bodies are read by column functions; only bodies with an indented line or a list go to Python.
+    """
+    text = F.coalesce("body", F.lit(""))
+    nested = text.rlike(r"(?m)^(?:[ ]+|-[ \n]|-$)") & text.rlike(r"(?m)^[^\s#-][^:]*:")
+    lines = F.filter(F.split(text, "\n"), lambda l: l.rlike(r"^[^\s#][^:]*:"))
     entry = lambda l: F.struct(F.trim(F.regexp_extract(l, r"^([^:]*):", 1)).alias("key"),
                                F.regexp_replace(F.trim(F.regexp_extract(l, r"^[^:]*:(.*)$", 1)), r"""^(["'])(.*)\1$""", "$2").alias("value"))
     entries = F.transform(lines, entry)
     # a repeated key keeps its last value
     keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
     last = F.transform(keys, lambda k: F.struct(k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value")))
-    return _parsed(df, F.when(F.size(lines) > 0, F.map_from_entries(last)), abort_on_failure)
+    flat = F.when(F.size(lines) > 0, F.map_from_entries(last))
+    deep = df.withColumn("_deep", _nested_yaml(F.when(nested, F.col("body"))))
+    return _parsed(deep, F.when(nested, F.col("_deep")).otherwise(flat), abort_on_failure).drop("_deep")
 
 
 def field(name: str, default=None) -> Column:

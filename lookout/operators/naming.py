@@ -62,6 +62,10 @@ def pattern_table(spark: SparkSession, patterns: Sequence[tuple[str, str]]) -> t
     return spark.createDataFrame(rows, _NODE), depth
 
 
+#: rule text up to this many characters is broadcast as a table; more is joined like any other table
+RULE_BYTES = 4_000_000
+
+
 def match_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], service: str = "service", uri: str = "endpoint",
                    out: str = "formatted") -> DataFrame:
     """Adds ``out`` and ``matched``. One-token names match unchanged; others walk the pattern tree token by token.
@@ -70,7 +74,8 @@ def match_patterns(df: DataFrame, patterns: Sequence[tuple[str, str]], service:
     decided row by row in Python.
     """
     table, depth = pattern_table(df.sparkSession, patterns)
-    small = len(patterns) <= 10_000
+    # the table holds each token of the rule text about once
+    small = sum(len(s) + len(p) for s, p in patterns) <= RULE_BYTES
     walked = df.withColumn("_t", tokens(F.col(uri))).withColumn("_at", F.lit(0).cast("bigint"))
     step = F.broadcast(table) if small else table
     for level in range(depth):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from typing import Any, Mapping, Sequence
+from typing import Any, Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -242,3 +242,46 @@ def run(df: DataFrame, rules: Sequence[Rule], extra: Sequence[str] = (), disable
         rows = rows.select("metric", *A.GROUP, *[F.lit(None).cast(df.schema[e].dataType).alias(e) for e in extra], "value", "label")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+# ---- users' hooks: columns added to the rows of a source, and rows of a scope sent to several sources ----
+
+DECORATORS: dict[str, list[Callable[[DataFrame], DataFrame]]] = {}
+DISPATCHERS: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {}
+
+
+def register_decorator(source: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    """Let ``fn`` add columns (attr0 ...) to the rows of a source before its rules see them; called in this order."""
+    known = DECORATORS.setdefault(source, [])
+    if fn not in known:
+        known.append(fn)
+
+
+def decorate(df: DataFrame, source: str) -> DataFrame:
+    for fn in DECORATORS.get(source, ()):
+        df = fn(df)
+    return df
+
+
+def register_dispatcher(scope: str, source: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    """Let rows of ``scope`` feed the rules of ``source`` as the frame that ``fn`` makes of them."""
+    DISPATCHERS.setdefault(scope, {})[source] = fn
+
+
+def dispatch(df: DataFrame, scope: str) -> dict[str, DataFrame]:
+    """The decorated frame of each source that the scope feeds; without dispatchers the scope is its own source."""
+    makers = DISPATCHERS.get(scope) or {scope: lambda rows: rows}
+    return {source: decorate(fn(df), source) for source, fn in makers.items()}
+
+
+def run_scope(df: DataFrame, scope: str, rules: Sequence[Rule], extra: Sequence[str] = (), disabled=()) -> DataFrame:
+    """All rules of the sources that a scope feeds, to the long metric table."""
+    out = None
+    for source, frame in dispatch(df, scope).items():
+        mine = [r for r in enabled(rules, disabled) if r.source == source]
+        if mine:
+            rows = run(frame, mine, extra)
+            out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError(f"no rule reads a source of {scope}")
+    return out

@@ -269,8 +269,12 @@ DOWNSAMPLING = {"AVG": "avg", "SUM": "sum", "LATEST": "latest", "SUM_PER_MIN": "
 
 
 def meter(rows: DataFrame, downsampling: str = "AVG", labeled: bool = False, ranks: Sequence[int] | None = None,
-          histogram: bool = False) -> DataFrame:
-    """Apply the meter function that the downsampling, label and histogram markers of a rule choose."""
+          histogram: bool = False, report: str | None = None) -> DataFrame:
+    """Apply the meter function that the downsampling, label and histogram markers of a rule choose.
+
+    ``report``: the column that names the scrape of a histogram sample; the query then fails where reports of one
+    entity and bucket have differing bucket sets, which otherwise add up.
+    """
     from . import aggregates as A
 
     fn = "meter_" + DOWNSAMPLING[downsampling]
@@ -281,7 +285,10 @@ def meter(rows: DataFrame, downsampling: str = "AVG", labeled: bool = False, ran
     elif labeled:
         fn += "_labeled"
         args |= {"label": F.col("label")}
-    return A.aggregate(rows, fn, F.col("metric_value"), args)
+    out = A.aggregate(rows, fn, F.col("metric_value"), args)
+    if report and (histogram or ranks):
+        out = A.refuse_incompatible(out, rows.withColumn("report", F.col(report)))
+    return out
 
 
 EXTENSIONS: dict[str, Callable[..., DataFrame]] = {}

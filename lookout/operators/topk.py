@@ -15,17 +15,19 @@ def _ordered(col: str, descending: bool) -> Column:
     return F.col(col).desc() if descending else F.col(col).asc()
 
 
-def first_per_group(df: DataFrame, group, order, n: int, salts: int = 64) -> DataFrame:
+def first_per_group(df: DataFrame, group, order, n: int, salts: int = 16) -> DataFrame:
     """Exactly the first ``n`` rows of every group.
 
     Up to 1000 rows per group Spark ranks each map partition first and ships at most ``n`` rows of a group from each.
-    Beyond that the same two steps are written out over salted sub-groups, so that a hot group is never sorted whole.
+    Beyond that the same two steps are written out over sub-groups, ``salts`` for each partition of the input, so that a
+    sub-group never grows with the data and a hot group is never sorted whole.
     """
     group = list(group)
     if n > GROUP_LIMIT:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[o for o in df.columns]), F.lit(salts)))
-        local = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = salted.withColumn("_rn", F.row_number().over(local)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
+        salted = salted.withColumn("_part", F.spark_partition_id())
+        local = Window.partitionBy(*group, "_part", "_salt").orderBy(*order)
+        df = salted.withColumn("_rn", F.row_number().over(local)).filter(F.col("_rn") <= n).drop("_rn", "_salt", "_part")
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 

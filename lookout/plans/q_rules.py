@@ -348,18 +348,20 @@ def ext_filter(spark, sf):
 
 @query("ext_decorator", f"""{W} SELECT attr0, CAST(count(*) AS BIGINT) AS n FROM (SELECT upper(type) AS attr0 FROM svc) GROUP BY 1""")
 def ext_decorator(spark, sf):
-    decorate = lambda df: df.withColumn("attr0", F.upper("type"))
-    return fr.service_rows(spark, sf).transform(decorate).groupBy("attr0").agg(F.count(F.lit(1)).alias("n"))
+    """A decorator adds an attribute to the rows of its source."""
+    R.DECORATORS.pop("decorated", None)
+    R.register_decorator("decorated", lambda df: df.withColumn("attr0", F.upper("type")))
+    return R.decorate(fr.service_rows(spark, sf), "decorated").groupBy("attr0").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("ext_dispatcher", f"""{W} SELECT 'by_service' AS metric, entity_id, time_bucket, CAST(count(*) AS DOUBLE) AS value FROM svc GROUP BY ALL
 UNION ALL SELECT 'by_instance', instance, time_bucket, CAST(count(*) AS DOUBLE) FROM svc GROUP BY ALL""")
 def ext_dispatcher(spark, sf):
     """One source row feeds several metrics through frames of its own."""
-    rows = fr.service_rows(spark, sf)
-    dispatch = lambda df: [(Rule("by_service", "s", "count"), df), (Rule("by_instance", "i", "count"), df.withColumn("entity_id", F.col("instance")))]
-    a, b = [R.run(df, [rule]).drop("label") for rule, df in dispatch(rows)]
-    return a.unionByName(b)
+    R.register_dispatcher("dispatched", "of_service", lambda df: df)
+    R.register_dispatcher("dispatched", "of_instance", lambda df: df.withColumn("entity_id", F.col("instance")))
+    rules = [Rule("by_service", "of_service", "count"), Rule("by_instance", "of_instance", "count")]
+    return R.run_scope(fr.service_rows(spark, sf), "dispatched", rules).drop("label")
 
 
 @query("ext_runtime", f"{W} SELECT {G}, CAST(sum(latency) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS n FROM svc GROUP BY {G}")

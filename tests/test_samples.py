@@ -158,3 +158,35 @@ def test_entity_filters(spark):
     rule = alarms.AlarmRule("r", dict, lambda: F.lit(True), 1, include_regex="a.*", exclude=("ab",), exclude_regex=".*z")
     df = spark.createDataFrame([("aa",), ("ab",), ("az",), ("b",)], "name string")
     assert rows(alarms.select_entities(df, rule)) == [("aa",)]
+
+
+def test_reports_with_differing_buckets_are_refused(spark):
+    from lookout.operators import samples as M
+
+    rows_ = [("e", 202401010000, 1, "", le, 1) for le in (10, 20)] + [("e", 202401010000, 2, "", le, 1) for le in (10, 30)]
+    df = spark.createDataFrame(rows_, "entity_id string, time_bucket bigint, ts bigint, label string, le bigint, metric_value bigint")
+    assert M.meter(df, "SUM", histogram=True).count() == 3
+    with pytest.raises(Exception, match="differing buckets"):
+        M.meter(df, "SUM", histogram=True, report="ts").collect()
+    assert M.meter(df.filter("ts = 1"), "SUM", histogram=True, report="ts").count() == 2
+
+
+def test_yaml_bodies_keep_what_is_nested(spark):
+    import json
+
+    from lookout.operators import logs as G
+
+    body = "a: 1\nb:\n  c: two words\n  d:\n    - x\n    - y: 1\n      z: 'q'\nlist:\n- p\n- q\nurl: http://h:1/x\ne:\n# note\nf: \"g: h\"\na: 2\n"
+    got = G.yaml_fields(body)
+    assert got["a"] == "2" and got["url"] == "http://h:1/x" and got["e"] == "" and got["f"] == "g: h"
+    assert json.loads(got["b"]) == {"c": "two words", "d": ["x", {"y": "1", "z": "q"}]} and json.loads(got["list"]) == ["p", "q"]
+    assert G.yaml_fields("no map") is None and G.yaml_fields(None) is None and G.yaml_fields("") is None
+
+
+def test_retention_by_granularity(spark):
+    from lookout.sinks import writers
+
+    assert writers.ttl_of("metrics", "hour") == 7 and writers.ttl_of("metrics", "hour", {"metrics.hour": 30}) == 30
+    assert writers.ttl_of("metrics", "day", {"metrics": 9, "metrics.hour": 30}) == 9
+    got = rows(writers.retention_frame(spark, {"metrics.day": 90}))
+    assert got == rows(spark.createDataFrame([("records", None, 3), ("metrics", "minute", 7), ("metrics", "hour", 7), ("metrics", "day", 90)], "category string, granularity string, days int"))

@@ -70,7 +70,7 @@ KEYED = RULES + [Rule("pct", "service", "percentile2", "latency", (), {"precisio
 
 
 def few_days(spark):
-    return service_rows(spark).filter("time_bucket div 100 between 20240103 and 20240106")
+    return service_rows(spark).filter("time_bucket div 100 between 20240104 and 20240105")
 
 
 def test_keyed_rules_stream_as_in_batch(spark, tmp_path):
@@ -148,12 +148,26 @@ def test_alarm_states_across_batches(spark, tmp_path):
     rule = alarms.AlarmRule("r", dict, lambda: F.lit(True), 1, silence=2, recovery=1)
     matches = [1, 1, 0, 0, 1, 0, 0, 0, 1, 1, 1, 1, 0, 1]
     df = spark.createDataFrame([(e, m, bool(x) if e == "a" else not x) for e in "ab" for m, x in enumerate(matches)], "entity_id string, m bigint, match boolean")
-    df = df.withColumn("minute", F.timestamp_seconds(F.col("m") * 60))
-    folder = parts(spark, tmp_path, df, n=3, order="m")
+    df = df.withColumn("minute", F.timestamp_seconds(F.col("m") * 60 + 86400)).withColumn("turn", F.expr("m div 5 * 5 + (m * 3) % 5"))
+    # files out of order: the ticks of five minutes are shuffled and the parts overlap
+    folder = parts(spark, tmp_path, df, n=3, order="turn")
     src = tables.read_stream(spark, folder, df.schema, files_per_trigger=1)
     out = str(tmp_path / "out")
-    run(stateful.alarm_states(src, rule).writeStream.outputMode("append").format("parquet").option("path", out), str(tmp_path / "cp"))
-    assert rows(spark.read.parquet(out), "entity_id", "minute", "state") == rows(alarms.states(df, rule), "entity_id", "minute", "state")
+    run(stateful.alarm_states(src, rule, "6 minutes").writeStream.outputMode("append").format("parquet").option("path", out), str(tmp_path / "cp"))
+    passed = F.col("minute") <= F.timestamp_seconds(F.lit((len(matches) - 1 - 6) * 60 + 86400))
+    assert rows(spark.read.parquet(out), "entity_id", "minute", "state") == rows(alarms.states(df, rule).filter(passed), "entity_id", "minute", "state")
+
+
+def test_quiet_entities_leave_no_alarm_state(spark, tmp_path):
+    rule = alarms.AlarmRule("r", dict, lambda: F.lit(True), 1, silence=2, recovery=1)
+    df = spark.createDataFrame([("gone", m, True) for m in range(3)] + [("stays", m, True) for m in range(30)], "entity_id string, m bigint, match boolean")
+    df = df.withColumn("minute", F.timestamp_seconds(F.col("m") * 60 + 86400))
+    folder = parts(spark, tmp_path, df, n=3, order="m")
+    src = tables.read_stream(spark, folder, df.schema, files_per_trigger=1)
+    cp = str(tmp_path / "cp")
+    run(stateful.alarm_states(src, rule).writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")), cp)
+    state = spark.read.format("statestore").option("stateVarName", "machine").load(cp)
+    assert rows(state.select("key.entity_id")) == [("stays",)]
 
 
 @pytest.mark.parametrize("window", [None, 3_000_000])
@@ -164,8 +178,9 @@ def test_counters_across_batches(spark, tmp_path, window):
     src = tables.read_stream(spark, folder, df.withColumn("labels", L.key_of(F.col("labels"))).schema, files_per_trigger=1)
     src = src.withColumn("labels", L.from_key(F.col("labels")))
     out = str(tmp_path / "out")
-    run(stateful.rates(src, window).withColumn("labels", L.encode(F.col("labels"))).writeStream.outputMode("append").format("parquet").option("path", out), str(tmp_path / "cp"))
-    want = counters.rate(df, f"{window}ms") if window else counters.irate(df)
+    run(stateful.rates(src, window, "1 second", 10 ** 12).withColumn("labels", L.encode(F.col("labels"))).writeStream.outputMode("append").format("parquet").option("path", out), str(tmp_path / "cp"))
+    newest = df.agg(F.max("ts")).first()[0]
+    want = (counters.rate(df, f"{window}ms") if window else counters.irate(df)).filter(F.col("ts") < newest - 1000)
     assert rows(spark.read.parquet(out), "name", "labels", "ts", "value") == rows(want.withColumn("labels", L.encode(F.col("labels"))), "name", "labels", "ts", "value")
 
 
