@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
+from ..operators import aggregates as A
 from ..operators import genai
 from ..operators import rules as R
 from ..sources import clients, flows, mesh, meters, otlp, records, runtimes, tables
 from . import catalog
 from . import frames as fr
+from .q_rules import percentile_sql
 from .registry import query
 
 V = f"WITH {fr.SVC}"
@@ -337,16 +339,29 @@ def _cil(metric, expr, cond):
     return f"SELECT 'cilium_service_{metric}' AS metric, base64(encode(own)) || '.1' AS entity_id, {MIN}, CAST({expr} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS label FROM fo WHERE {cond} GROUP BY own, minute"
 
 
+_FORWARDED = "NOT dropped AND seen = 'SERVER' AND "
+_HTTP, _DNS, _KAFKA = _FORWARDED + "k % 4 = 1", _FORWARDED + "k % 4 = 2", _FORWARDED + "k % 4 = 3"
+_FLOW_OK = "CASE k % 4 WHEN 1 THEN http_status < 500 WHEN 2 THEN k % 3 = 0 WHEN 3 THEN status ELSE TRUE END"
+
+
+def _cil_labels(metric, label, cond):
+    return f"SELECT 'cilium_service_{metric}', base64(encode(own)) || '.1', {MIN}, CAST(count(*) AS DOUBLE), {label} FROM fo WHERE {cond} GROUP BY ALL"
+
+
 @query("src_cilium", f"{V}, {_FLOW} " + " UNION ALL ".join([
-    _cil("l4_read_pkg_cpm", "count(*)", "NOT dropped AND k % 4 = 0 AND ingress"), _cil("l4_write_pkg_drop_cpm", "count(*)", "dropped AND k % 4 = 0 AND NOT ingress"),
-    _cil("protocol_cpm", "count(*)", "NOT dropped AND k % 4 > 0 AND seen = 'SERVER'"), _cil("protocol_http_call_duration", "sum(latency)", "NOT dropped AND k % 4 = 1 AND seen = 'SERVER'"),
-    _cil("protocol_dns_call_success_count", "count(*)", "NOT dropped AND k % 4 = 2 AND seen = 'SERVER' AND k % 3 = 0"),
-    _cil("protocol_http_status_4xx_cpm", "count(*)", "NOT dropped AND k % 4 = 1 AND seen = 'SERVER' AND http_status = 404"),
-    f"SELECT 'cilium_service_l4_drop_reason_count', base64(encode(own)) || '.1', {MIN}, CAST(count(*) AS DOUBLE), 'reason_' || (k % 2) FROM fo WHERE dropped AND k % 4 = 0 GROUP BY own, minute, k % 2"]))
+    *[_cil(f"l4_{side}_pkg_{'drop_' if drop else ''}cpm", "count(*)", f"{'' if drop else 'NOT '}dropped AND k % 4 = 0 AND {'' if side == 'read' else 'NOT '}ingress") for side in ("read", "write") for drop in (False, True)],
+    _cil("protocol_cpm", "count(*)", _FORWARDED + "k % 4 > 0"), _cil("protocol_call_duration", "sum(latency)", _FORWARDED + "k % 4 > 0"),
+    _cil("protocol_call_success_count", "count(*)", f"{_FORWARDED} k % 4 > 0 AND {_FLOW_OK}"),
+    *[_cil(f"protocol_{p}_call_cpm", "count(*)", c) for p, c in (("http", _HTTP), ("dns", _DNS), ("kafka", _KAFKA))],
+    *[_cil(f"protocol_{p}_call_duration", "sum(latency)", c) for p, c in (("http", _HTTP), ("dns", _DNS), ("kafka", _KAFKA))],
+    *[_cil(f"protocol_{p}_call_success_count", "count(*)", f"{c} AND {_FLOW_OK}") for p, c in (("http", _HTTP), ("dns", _DNS), ("kafka", _KAFKA))],
+    *[_cil(f"protocol_http_status_{h}xx_cpm", "count(*)", f"{_HTTP} AND http_status // 100 = {h}") for h in range(1, 6)],
+    _cil_labels("protocol_dns_error_count", "'Code'", f"{_DNS} AND NOT {_FLOW_OK}"), _cil_labels("protocol_kafka_call_error_count", "'LEADER'", f"{_KAFKA} AND NOT {_FLOW_OK}"),
+    _cil_labels("l4_drop_reason_count", "'reason_' || (k % 2)", "dropped AND k % 4 = 0")]))
 def src_cilium(spark, sf):
+    """Flows through the adapter and all shipped rules of a service."""
     rows = flows.flows(_flows(spark, sf))["flow_service"]
-    wanted = {f"cilium_service_{m}" for m in ("l4_read_pkg_cpm", "l4_write_pkg_drop_cpm", "protocol_cpm", "protocol_http_call_duration", "protocol_dns_call_success_count", "protocol_http_status_4xx_cpm", "l4_drop_reason_count")}
-    return R.run(rows, [r for r in catalog.by_source("flow_service") if r.name in wanted]).select("metric", "entity_id", "time_bucket", "value", "label")
+    return R.run(rows, catalog.by_source("flow_service")).select("metric", "entity_id", "time_bucket", "value", "label")
 
 
 # ---- clients ----
@@ -435,14 +450,21 @@ def src_genai(spark, sf):
 _GA = "base64(encode(provider)) || '.0' AS entity_id, time_bucket"
 
 
-@query("tr_virtual_genai", f"""{U} SELECT 'gen_ai_provider_total_estimated_cost' AS metric, {_GA}, CAST(sum(cost) AS DOUBLE) AS value FROM co GROUP BY provider, time_bucket
-UNION ALL SELECT 'gen_ai_provider_sla', {_GA}, CAST(count(*) FILTER (status) * 10000 // count(*) AS DOUBLE) FROM co GROUP BY provider, time_bucket
-UNION ALL SELECT 'gen_ai_provider_resp_time', {_GA}, CAST(sum(latency) // count(*) AS DOUBLE) FROM co GROUP BY provider, time_bucket""")
+def _provider(metric, expr):
+    return f"SELECT 'gen_ai_provider_{metric}' AS metric, {_GA}, CAST({expr} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS label FROM co GROUP BY provider, time_bucket HAVING {expr} IS NOT NULL"
+
+
+_MINUTES = "CASE length(CAST(time_bucket AS VARCHAR)) WHEN 12 THEN 1 WHEN 10 THEN 60 ELSE 1440 END"
+
+
+@query("tr_virtual_genai", f"""{U}, pct AS (WITH {percentile_sql('co', 'provider, time_bucket', 'latency // 10', A.RANKS, 10)}) """ + " UNION ALL ".join([
+    _provider("total_estimated_cost", "sum(cost)"), _provider("avg_estimated_cost", "sum(cost) // count(*)"), _provider("sla", "count(*) FILTER (status) * 10000 // count(*)"),
+    _provider("resp_time", "sum(latency) // count(*)"), _provider("cpm", f"count(*) // ({_MINUTES})"),
+    *[_provider(f"{d}_tokens_sum", f"sum({d}_tokens)") for d in ("input", "output")], *[_provider(f"{d}_tokens_avg", f"sum({d}_tokens) // count(*)") for d in ("input", "output")],
+    f"SELECT 'gen_ai_provider_latency_percentile', {_GA}, CAST(value AS DOUBLE), CAST(p AS VARCHAR) FROM pct"]))
 def tr_virtual_genai(spark, sf):
-    """Provider rows under the shipped rules."""
-    wanted = ("gen_ai_provider_total_estimated_cost", "gen_ai_provider_sla", "gen_ai_provider_resp_time")
-    rules = [r for r in catalog.by_source("genai_provider") if r.name in wanted]
-    return R.run(genai.access_rows(_matched(spark, sf))["provider"], rules).drop("label")
+    """Provider rows under all shipped rules."""
+    return R.run(genai.access_rows(_matched(spark, sf))["provider"], catalog.by_source("genai_provider")).select("metric", "entity_id", "time_bucket", "value", "label")
 
 
 @query("src_genai_spans", f"{V} SELECT 'gpt-4o' AS model, CASE WHEN status THEN name END AS named_provider, CASE WHEN k % 2 = 0 THEN k ELSE 0 END AS input_tokens, latency AS output_tokens, status, {MIN} FROM svc")
