@@ -34,6 +34,8 @@ class Tree:
                 break
             at = members.pop(node)
             label, centres = self._means(sample[at], branch, rng)
+            if len(np.unique(label)) < 2:
+                continue  # equal rows stay one leaf
             for c in range(len(centres)):
                 child = len(self.centres)
                 self.centres.append(centres[c])
@@ -50,7 +52,8 @@ class Tree:
 
     @staticmethod
     def _means(x: np.ndarray, k: int, rng, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
-        centres = x[rng.choice(len(x), k, replace=False)]
+        distinct = np.sort(np.unique(x, axis=0, return_index=True)[1])
+        centres = x[distinct[rng.choice(len(distinct), min(k, len(distinct)), replace=False)]]
         for _ in range(rounds):
             label = ((centres * centres).sum(1) - 2 * x @ centres.T).argmin(axis=1)
             counts = np.bincount(label, minlength=len(centres))

@@ -353,3 +353,14 @@ def test_pipeline(spark):
     out = P.pack_sequences(spark, step, SF)
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
     assert P.run(spark, SF).agg(F.sum("length")).first()[0] == out.agg(F.sum("length")).first()[0]
+
+
+def test_tree_of_equal_rows():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 8))
+    copies = rng.choice(3000, 1000, replace=False)
+    x[copies] = x[copies[0]]
+    tree = ann.Tree(x, 78)  # without a final leaf for the copies it never ended
+    leaf = tree.assign(x)
+    assert 64 <= tree.leaves <= 78 and len(set(leaf[copies])) == 1 and np.bincount(leaf).max() < 1100
+    assert ann.Tree(np.ones((100, 8)), 78).leaves == 1
