@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +44,25 @@ software in a product, an acknowledgment in the product documentation would be a
     "notice-MIT": "Released under the MIT License.",
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: a line that names the owner or reserves rights
+#: title lines that stand before texts without one
+TITLES = {"MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"), "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+          "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"), "Zlib": ("zlib License", "The zlib License", "The zlib/libpng License"),
+          "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License"),
+          "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "BSD License", "New BSD License"),
+          "Unlicense": ("The Unlicense", "Unlicense")}
+#: whole texts in ``license_texts``, and how many lines of each are its title
+FILES = {"Apache-2.0": 3, "BSD-2-Clause": 0, "BSD-3-Clause": 0, "CC0-1.0": 2, "GPL-2.0": 2, "GPL-3.0": 2, "LGPL-2.1": 2, "LGPL-3.0": 2, "MPL-2.0": 1, "Unlicense": 0}
+#: other published wordings of the same license: (license, pattern, replacement)
+WORDINGS = (("ISC", "and/or distribute", "and distribute"), ("BSD-2-Clause", r"(?m)^ *[0-9]\. ", "* "), ("BSD-3-Clause", r"(?m)^ *[0-9]\. ", "* "),
+            ("GPL-2.0", "51 Franklin Street, Fifth Floor, Boston, MA +02110-1301 +USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA"),
+            ("LGPL-2.1", "51 Franklin Street, Fifth Floor, Boston, MA +02110-1301 +USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA"),
+            ("Unlicense", "http://unlicense.org/?", "https://unlicense.org"))
+#: what follows this line tells how to use the license
+END = "END OF TERMS AND CONDITIONS"
+#: a line that names the owner or reserves rights, as the SQL has it
 OWNER_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: one after comment signs; the words "copyright notice" or "copyright holders" at the start of a line name nobody
+OWNED = (r"(^|\n)[ \t/*#;%!<>|-]*+(copyright[ \t:]*+(\(c\)|©|[0-9]{4}|[\[{<])|\(c\)[ \t]*+([0-9]{4}|copyright)|©|all rights reserved)[^\n]*")
 #: runs of white space and signs other than line feeds
 SIGNS = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{a0}“”‘’–—…©®™]+"
 SPELLINGS = (("licenc", "licens"), ("favour", "favor"), ("behaviour", "behavior"), ("organis", "organiz"), ("authoris", "authoriz"),
@@ -53,7 +73,7 @@ SPELLINGS = (("licenc", "licens"), ("favour", "favor"), ("behaviour", "behavior"
 def canonical_lines(text: Column) -> Column:
     """Lower case, without owner lines, signs as single spaces, one spelling; line feeds stay."""
     x = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    x = F.regexp_replace(x, OWNER_LINE, "\n")
+    x = F.regexp_replace(x, OWNED, "\n")
     x = F.regexp_replace(x, SIGNS, " ")
     for old, new in SPELLINGS:
         x = F.replace(x, F.lit(old), F.lit(new))
@@ -61,12 +81,31 @@ def canonical_lines(text: Column) -> Column:
 
 
 def canonical(lines: Column) -> Column:
-    """The canonical form of an entire text from its ``canonical_lines``."""
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    """The canonical form of an entire text from its ``canonical_lines``; spellings of two words may have stood on two lines."""
+    x = F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    for old, new in SPELLINGS:
+        if " " in old:
+            x = F.replace(x, F.lit(old), F.lit(new))
+    return x
+
+
+def published() -> list[tuple[str, str]]:
+    """Names and texts: ``KNOWN`` and the files, each with and without its title, what follows the terms, and in other wordings."""
+    folder = resources.files(__package__) / "license_texts"
+    files = {n: (folder / f"{n}.txt").read_text(encoding="utf-8") for n in FILES}
+    out = set()
+    for name, text in [*KNOWN.items(), *files.items()]:
+        texts = {text} | {re.sub(old, new, text) for n, old, new in WORDINGS if n == name}
+        if END in text:
+            texts |= {t[:t.index(END) + at] for t in texts for at in (0, len(END))}
+        for t in texts:
+            lines = [x for x in t.split("\n") if x.strip()]
+            out |= {(name, t), (name, "\n".join(lines[FILES.get(name, 0):]))} | {(name, f"{title}\n{t}") for title in TITLES.get(name, ())}
+    return sorted(out)
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN.items()), "license_id string, text string")
+    return spark.createDataFrame(published(), "license_id string, text string")
 
 
 def digests(known: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Corpus operators against brute force on small fixtures: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import hashlib
+import pathlib
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -243,6 +245,35 @@ def test_license(spark, docs, empty):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(empty).count() == 0
 
 
+def test_license_as_published(spark):
+    def wrapped(text, width, sign=""):
+        parts = [textwrap.fill(p, width, break_on_hyphens=False, break_long_words=False) for p in re.split(r"\n\s*\n", text)]
+        return "\n".join((sign + line).rstrip() for line in "\n\n".join(parts).split("\n"))
+
+    folder = pathlib.Path(licenses.__file__).parent / "license_texts"
+    files = {n: (folder / f"{n}.txt").read_text() for n in licenses.FILES}
+    bodies = {n: licenses.KNOWN[n] for n in ("MIT", "ISC", "0BSD", "Zlib")} | {n: files[n] for n in ("BSD-2-Clause", "BSD-3-Clause", "Unlicense")}
+    isc = """ISC License
+
+Copyright (c) 2011-2022, Someone <a@b.c>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+""" + wrapped(licenses.KNOWN["ISC"][licenses.KNOWN["ISC"].index("THE SOFTWARE IS"):], 72)
+    want = [(n, t) for n, t in files.items()] + [("ISC", isc), ("Apache-2.0", files["Apache-2.0"].split(licenses.END)[0])]
+    want += [(n, title + "\n\nCopyright 2020 Me. All rights reserved.\n\n" + wrapped(t, 70)) for n, t in bodies.items() for title in licenses.TITLES[n]]
+    want += [(n, wrapped(t, width, sign)) for n, t in bodies.items() for width in range(40, 90, 3) for sign in ("", " * ", "# ")]
+    mit = licenses.KNOWN["MIT"].replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT\nHOLDERS")
+    want += [("MIT", "/*\n * Copyright (c) 2020 Me\n * All rights reserved.\n */\n" + mit)]
+    want += [(None, files["Apache-2.0"] + "\nand more"), (None, licenses.KNOWN["MIT"] + "\ncopyright notice"), (None, "MIT License")]
+    rows = [(i, t) for i, (_, t) in enumerate(want)]
+    got = {r.doc_id: r.license_id for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wrong = [(want[i][0], got[i], want[i][1][:80]) for i in range(len(want)) if got[i] != want[i][0]]
+    assert not wrong, (len(wrong), wrong[:5])
+
+
 def test_language(spark, docs, empty):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identified(d).join(d.select("doc_id", "lang"), "doc_id").collect()
