@@ -80,16 +80,20 @@ class Tree:
             active = active[[bool(self.children[n]) for n in node[active]]]
         return np.array(self.leaf)[node]
 
-    def visit(self, x: np.ndarray, most: int) -> list[list[int]]:
-        """Leaves of each query in best-bin-first order, ``most`` of them: the nearest waiting node is opened first."""
+    def visit(self, x: np.ndarray, most: int, filled: np.ndarray | None = None, least: np.ndarray | None = None) -> list[list[int]]:
+        """Leaves of each query in best-bin-first order, ``most`` of them: the nearest waiting node is opened first.
+
+        With ``filled``, the rows of each leaf, more are opened until they hold ``least`` rows.
+        """
         out = []
-        for d in self.distances(x):
-            queue, seen = [(0.0, 0)], []
-            while queue and len(seen) < most:
+        for i, d in enumerate(self.distances(x)):
+            queue, seen, held = [(0.0, 0)], [], 0
+            while queue and (len(seen) < most or (filled is not None and held < least[i])):
                 _, node = heapq.heappop(queue)
                 kids = self.children[node]
                 if not kids:
                     seen.append(self.leaf[node])
+                    held += 0 if filled is None else filled[self.leaf[node]]
                 for k in kids:
                     heapq.heappush(queue, (d[k], k))
             out.append(seen)
@@ -160,8 +164,8 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
        makes them equally long, which turns the largest inner product into the smallest distance.
     2. Every vector goes to its leaf. ``calibration`` queries are compared with all vectors, and the number of leaves
        to visit is the smallest at which best-bin-first order reaches ``recall`` of their true neighbours.
-    3. Each query visits its first leaves, which gives a floor for its ``k``-th score; the other leaves give only what
-       reaches the floor. Large leaves are dealt over chunks of ``CHUNK`` rows, which a query visits all.
+    3. Each query visits these leaves, and more while they hold fewer than ``k`` rows of other keys. Its first ones
+       give a floor for its ``k``-th score; the other leaves give only what reaches the floor. Large leaves are dealt over chunks of ``CHUNK`` rows, which a query visits all.
 
     Scores are inner products of the given vectors in double precision; ties go to the smaller key. Vectors that are
     null, empty, zero, hold null or non-finite components or are not of the most frequent length, and rows without a
@@ -220,14 +224,22 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     visits = int(ranks[min(int(np.ceil(recall * len(ranks))), len(ranks)) - 1]) + 1
     first = max(1, -(-visits // 16))
 
+    counts = data.groupBy("leaf").agg(F.count("*").alias("n"))
+    held = np.zeros(tree.leaves, dtype=np.int64)
+    for leaf, n in counts.collect():  # most_leaves rows
+        held[leaf] = n
+    again = queries.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")  # rows that a query leaves out
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaves = shared.value.visit(_query(matrix(batch.column("v"))), visits)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], [*batch.schema.names, "leaves"])
+                leaves = shared.value.visit(_query(matrix(batch.column("v"))), visits, held, k + batch.column("own").to_numpy())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(leaves, pa.list_(pa.int32()))], ["id", "row", "v", "leaves"])
 
-    routed, _ = table(queries.select("id", "row", "v").mapInArrow(route, "id long, row long, v array<double>, leaves array<int>"))
-    chunks = data.groupBy("leaf").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("n"))
+    asking = queries.join(again, "id", "left").select("id", "row", "v", F.coalesce("own", F.lit(1)).alias("own"))
+    routed, _ = table(asking.mapInArrow(route, "id long, row long, v array<double>, leaves array<int>"))
+    longest_way = routed.agg(F.max(F.size("leaves"))).first()[0]
+    chunks = counts.select("leaf", F.ceil(F.col("n") / CHUNK).cast("int").alias("n"))
     dealt = data.join(F.broadcast(chunks), "leaf").select(  # most_leaves rows
         F.xxhash64("leaf", F.pmod(F.xxhash64("row"), F.col("n")).cast("int")).alias("tile"), F.lit(0).alias("side"), "id", "row", "v", F.lit(0.0).alias("floor"))
 
@@ -243,8 +255,8 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     near, _ = table(near)
     floors = near.groupBy(F.col("row").alias("r")).agg(F.when(F.count("*") >= k, F.min("score")).alias("f"))
     rest = routed.join(floors, F.col("row") == F.col("r"), "left").select(
-        "id", "row", "v", F.explode(F.slice("leaves", first + 1, max(visits - first, 1))).alias("leaf"), F.coalesce("f", F.lit(float("-inf"))).alias("floor"))
-    found = near.unionByName(search(rest)) if visits > first else near
+        "id", "row", "v", F.explode(F.slice("leaves", first + 1, tree.leaves)).alias("leaf"), F.coalesce("f", F.lit(float("-inf"))).alias("floor"))
+    found = near.unionByName(search(rest)) if longest_way > first else near
     out = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return out.select(F.col("query_id").cast(kind).alias("query_id"), "rank", F.col("vec_id").cast(kind).alias("vec_id"), "score")
 

@@ -395,3 +395,16 @@ def test_tree_of_equal_rows():
     leaf = tree.assign(x)
     assert 64 <= tree.leaves <= 78 and len(set(leaf[copies])) == 1 and np.bincount(leaf).max() < 1100
     assert ann.Tree(np.ones((100, 8)), 78).leaves == 1
+
+
+def test_nearest_among_small_leaves(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1200, 8)) * 0.1
+    x[:, 0] += 5
+    x[::40] = -np.eye(8)[1] * 50 + rng.normal(size=(30, 8))  # 30 outliers, alone in their leaves
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(0, [float(c) for c in x[0]])] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    counts = {}
+    for r in ann.nearest(df, k=40, leaf_rows=16, recall=0.05).select("query_id").collect():
+        counts[r.query_id] = counts.get(r.query_id, 0) + 1
+    assert set(counts) == set(range(0, 1200, 20)) and all(n == (160 if q == 0 else 40) for q, n in counts.items()), counts
