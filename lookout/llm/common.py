@@ -117,12 +117,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word: a longest run of bytes other than space, tab to carriage return."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word: a longest run of bytes other than those ``outside``; by default space, tab to carriage return."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~_SPACE[data]
+    inside = ~outside[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

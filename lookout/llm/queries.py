@@ -155,3 +155,74 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import nearest
 
     return nearest(read(spark, sf_dir, "embeddings"))
+
+
+def _centroid_sql(rounds: int = 10) -> str:
+    """One pair of assignment and means for each round."""
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+      SELECT r, c, dist FROM (SELECT p.r, c.c, sum((p.x - c.y) * (p.x - c.y)) AS dist FROM p JOIN c{i} c ON p.d = c.d GROUP BY p.r, c.c)
+      QUALIFY row_number() OVER (PARTITION BY r ORDER BY dist, c) = 1)"""
+
+    def means(i: int) -> str:
+        return f"""c{i + 1} AS MATERIALIZED (
+      SELECT c.c, c.d, coalesce(m.y, c.y) AS y FROM c{i} c LEFT JOIN (
+        SELECT a.c, p.d, CAST(floor(sum(p.x) / count(*)) AS BIGINT) AS y FROM a{i} a JOIN p ON a.r = p.r GROUP BY a.c, p.d) m ON m.c = c.c AND m.d = c.d)"""
+
+    steps = ",\n    ".join(f"{assigned(i)},\n    {means(i)}" for i in range(rounds))
+    return f"""
+    WITH kept AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    p AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM kept),
+    f AS (SELECT v, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), v) - 1 AS c FROM kept QUALIFY c < 8),
+    c0 AS MATERIALIZED (SELECT c, unnest(v) AS y, generate_subscripts(v, 1) AS d FROM f),
+    {steps},
+    {assigned(rounds)},
+    s AS (SELECT c, CAST(sum(dist) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY c),
+    h AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+    SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.dist AS BIGINT) AS distance, s.cluster_inertia,
+           (SELECT CAST(sum(cluster_inertia) AS BIGINT) FROM s) AS inertia, h.centroid_sha256
+    FROM a{rounds} a JOIN kept k ON k.r = a.r JOIN s ON s.c = a.c JOIN h ON h.c = a.c"""
+
+
+@query("op11_centroids", _centroid_sql())
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import clustered
+
+    return clustered(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_lexical", r"""
+    WITH w AS (
+      SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+      FROM documents WHERE text IS NOT NULL),
+    d AS (SELECT r, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM w WHERE len(terms) > 0),
+    t AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+    o AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+    f AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(t.docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM o, t GROUP BY term),
+    i AS (
+      SELECT item, item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+      FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)),
+    s AS (
+      SELECT i.item, i.item_id, d.r, d.doc_id,
+             CAST(sum(f.weight * ((1000000000 * o.tf) // (1000 * o.tf + 8 * (100 - 90 + (90 * d.n * t.docs) // t.total)))) AS BIGINT) AS score
+      FROM i JOIN f ON f.term = i.term JOIN o ON o.term = i.term JOIN d ON d.r = o.r, t
+      GROUP BY i.item, i.item_id, d.r, d.doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0
+    QUALIFY rank <= 10
+""")
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical import ranked
+
+    return ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op13_bestfit")
+def op13_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bestfit import packed
+
+    return packed(read(spark, sf_dir, "documents"), tokenizer_path())
