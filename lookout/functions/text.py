@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,6 +69,17 @@ def searchable_tags(tags: Column, keys, max_length: int = 256) -> Column:
     return F.array_distinct(F.filter(pairs, lambda p: F.length(p) <= max_length))
 
 
+def json_fields(body: Column, kinds: Mapping[str, str]) -> Column:
+    """Struct of the named fields of a JSON object, cast to their kinds; null where absent, of another kind or no JSON."""
+    field = lambda name: F.get_json_object(body, f"$['{name}']")
+    return F.struct(*[field(n).try_cast(k).alias(n) for n, k in kinds.items()])
+
+
+def json_object(**fields: Column) -> Column:
+    """JSON text of the fields that are not null, in this order, as event parameters and properties are kept."""
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+
 def uri_path(url: Column) -> Column:
     """Path of a URL without scheme, host, query and fragment."""
     return F.regexp_extract(url, r"^(?:[a-z]+://[^/?#]*)?(/[^?#]*)", 1)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
+from ..plans.runtime import lookup_join
 
 UNKNOWN = "unknown"
 
@@ -14,18 +15,19 @@ def match_models(usage: DataFrame, providers: DataFrame, prices: DataFrame, mode
     """Adds provider, input_price and output_price.
 
     ``providers``: prefix, provider. ``prices``: prefix, input_price, output_price. Every prefix of a distinct model
-    name is looked up by equality and the longest hit counts, so usage rows are only joined with one row per model.
+    name is looked up by equality in one table of both, and the longest hit counts, so usage rows are only joined with
+    one row per model.
     A provider named by the span itself wins over the looked-up one.
     """
     names = usage.select(F.col(model).alias("_m")).distinct().filter(F.coalesce("_m", F.lit("")) != "")
     tries = names.select("_m", F.explode(F.transform(F.sequence(F.lit(1), F.length("_m")), lambda i: F.substring("_m", F.lit(1), i))).alias("prefix"))
-    longest = lambda table, *cols: (tries.join(table, "prefix").groupBy("_m")
-                                    .agg(*[F.max_by(c, F.length("prefix")).alias(c) for c in cols]))
-    resolved = (names.join(longest(providers, "provider"), "_m", "left")
-                .join(longest(prices, "input_price", "output_price"), "_m", "left"))
+    rules = (providers.select("prefix", "provider", F.lit(True).alias("_names"))
+             .unionByName(prices.select("prefix", "input_price", "output_price", F.lit(True).alias("_prices")), allowMissingColumns=True))
+    longest = lambda c, flag: F.max_by(c, F.when(F.col(flag), F.length("prefix"))).alias(c)
+    resolved = tries.join(rules, "prefix").groupBy(F.col("_m").alias(model)).agg(
+        longest("provider", "_names"), longest("input_price", "_prices"), longest("output_price", "_prices"))
     known = F.coalesce("named_provider", "provider") if "named_provider" in usage.columns else F.col("provider")
-    return (usage.join(resolved.withColumnRenamed("_m", model), model, "left")
-            .withColumn("provider", F.coalesce(known, F.lit(UNKNOWN))))
+    return lookup_join(usage, resolved, [model]).withColumn("provider", F.coalesce(known, F.lit(UNKNOWN)))
 
 
 def cost(input_tokens: Column, output_tokens: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..plans.runtime import durable
+from ..plans.runtime import stored
 
 # Upper layer -> lower layer -> rule.
 DEFINITION = {
@@ -113,25 +113,29 @@ def reduce_relations(relations: DataFrame, definition: Mapping[str, Mapping[str,
 
 
 def around_service(relations: DataFrame, name: str, layer: str, max_depth: int = 10) -> DataFrame:
-    """Relations found from one service, going up and down at every step. Rounds end when nothing new is reached."""
-    both = (relations.select("upper", "upper_layer", "lower", "lower_layer", F.col("upper").alias("_from"), F.col("upper_layer").alias("_fl"),
-                             F.col("lower").alias("_to"), F.col("lower_layer").alias("_tl"))
-            .unionByName(relations.select("upper", "upper_layer", "lower", "lower_layer", F.col("lower").alias("_from"),
-                                          F.col("lower_layer").alias("_fl"), F.col("upper").alias("_to"), F.col("upper_layer").alias("_tl"))))
-    reached = relations.sparkSession.createDataFrame([(name, layer)], "_from string, _fl string")
-    size = 1
+    """Relations found from one service, going up and down at every step.
+
+    The relations are written once, in both directions. A round joins them with the services that the round before
+    reached anew, and with nothing else; rounds end when there are none.
+    """
+    r = relations.select(*REL)
+    down = r.select("*", F.col("upper").alias("_from"), F.col("upper_layer").alias("_fl"), F.col("lower").alias("_to"), F.col("lower_layer").alias("_tl"))
+    up = r.select("*", F.col("lower").alias("_from"), F.col("lower_layer").alias("_fl"), F.col("upper").alias("_to"), F.col("upper_layer").alias("_tl"))
+    edges, _ = stored(down.unionByName(up))
+    seen = frontier = relations.sparkSession.createDataFrame([(name, layer)], "_from string, _fl string")
     for _ in range(max_depth - 1):
-        near = both.join(reached, ["_from", "_fl"], "left_semi").select(F.col("_to").alias("_from"), F.col("_tl").alias("_fl"))
-        reached = durable(reached.unionByName(near).distinct())
-        grown = reached.count()
-        if grown == size:
+        near = edges.join(frontier, ["_from", "_fl"], "left_semi").select(F.col("_to").alias("_from"), F.col("_tl").alias("_fl"))
+        frontier, _ = stored(near.join(seen, ["_from", "_fl"], "left_anti").distinct())
+        if frontier.isEmpty():
             break
-        size = grown
-    return both.join(reached, ["_from", "_fl"], "left_semi").select(*REL).distinct()
+        seen = seen.unionByName(frontier)
+    return edges.join(seen, ["_from", "_fl"], "left_semi").select(*REL).distinct()
 
 
 def service_hierarchy(relations: DataFrame, name: str, layer: str, max_depth: int = 10,
                       definition: Mapping[str, Mapping[str, str]] = DEFINITION) -> DataFrame:
+    """The reduced relations around one service; the services are read and matched once."""
+    relations, _ = stored(relations.select(*REL).distinct())
     return reduce_relations(relations, definition).join(around_service(relations, name, layer, max_depth), list(REL), "left_semi")
 
 

@@ -68,52 +68,171 @@ def _yaml_scalar(text: str):
     return re.sub(r"(^|\s)#.*$", "", text).strip()
 
 
-def _yaml_block(lines: list[tuple[int, str]], at: int, indent: int):
-    """The map, list or scalar that starts at line ``at``, and the line after it."""
-    if lines[at][1] == "-" or lines[at][1].startswith("- "):
-        items = []
-        while at < len(lines) and lines[at][0] == indent and (lines[at][1] == "-" or lines[at][1].startswith("- ")):
-            rest = lines[at][1][1:].lstrip()
-            inner = indent + len(lines[at][1]) - len(rest)
-            if rest and (_YAML_KEY.match(rest) or rest.startswith("- ")):
-                lines[at] = (inner, rest)
-                item, at = _yaml_block(lines, at, inner)
-            elif rest:
-                item, at = _yaml_scalar(rest), at + 1
-            elif at + 1 < len(lines) and lines[at + 1][0] > indent:
-                item, at = _yaml_block(lines, at + 1, lines[at + 1][0])
+_YAML_KEY = re.compile(r"^((?:\"[^\"]*\"|'[^']*'|[^:#\s][^:]*?))\s*:(?=\s|$)(.*)$")
+_YAML_BLOCK = re.compile(r"^([|>])([1-9]?)([+-]?)([1-9]?)\s*(?:#.*)?$")
+_YAML_TOKEN = re.compile(r"\s*(?:(\"[^\"]*\"|'[^']*')|([\[\]{},])|(:)(?=[\s,\]}]|$)|((?:[^\s\[\]{},:\"']|:(?![\s,\]}]|$))(?:[^\[\]{},:]|:(?![\s,\]}]|$))*))")
+
+
+class _Yaml:
+    """Reads a map in block style. Entries are (indent, text, line): blank lines and comments are no entries, but the
+    body of a block scalar is taken from the lines themselves."""
+
+    def __init__(self, body: str):
+        self.raw = body.split("\n")
+        self.lines = [(len(x) - len(x.lstrip(" ")), x.strip(), i) for i, x in enumerate(self.raw) if x.strip() and not x.lstrip().startswith("#") and x.strip() not in ("---", "...")]
+
+    def after(self, at: int, line: int) -> int:
+        """The first entry from ``at`` on that stands on ``line`` or below."""
+        while at < len(self.lines) and self.lines[at][2] < line:
+            at += 1
+        return at
+
+    def block_scalar(self, header: re.Match, indent: int, line: int) -> tuple[str, int]:
+        """The text of a literal (``|``) or folded (``>``) scalar below ``line``, and the line after it."""
+        end, found = line + 1, []
+        while end < len(self.raw) and (not self.raw[end].strip() or len(self.raw[end]) - len(self.raw[end].lstrip(" ")) > indent):
+            found.append(self.raw[end])
+            end += 1
+        given = header[2] or header[4]
+        depth = indent + int(given) if given else min((len(x) - len(x.lstrip(" ")) for x in found if x.strip()), default=0)
+        found = [x[depth:] if x.strip() else "" for x in found]
+        kept = len(found)
+        while kept and not found[kept - 1]:
+            kept -= 1
+        if header[1] == "|":
+            text = "\n".join(found[:kept])
+        else:
+            text, blank = "", 0
+            for i, x in enumerate(found[:kept]):
+                if not x:
+                    blank += 1
+                    continue
+                deep = x.startswith(" ") or (i > 0 and found[i - 1 - blank].startswith(" ") if i - 1 - blank >= 0 else False)
+                text += ("\n" * (blank + deep) if blank or deep else " ") + x if text else "\n" * blank + x
+                blank = 0
+        if header[3] == "-":
+            return text, end
+        return text + "\n" * (1 + len(found) - kept if header[3] == "+" else bool(kept)), end
+
+    def flow(self, text: str, line: int, indent: int):
+        """A list or map in brackets, over deeper lines where it does not end on its own; None if it never does."""
+        while True:
+            value, rest = _yaml_flow(text)
+            if rest is not None or line + 1 >= len(self.raw):
+                break
+            line += 1
+            if self.raw[line].strip() and len(self.raw[line]) - len(self.raw[line].lstrip(" ")) <= indent and self.raw[line].strip()[0] not in "]}":
+                return None, line
+            text += " " + re.sub(r"(^|\s)#.*$", "", self.raw[line])
+        return (value if rest is not None and not _yaml_scalar(rest) else None), line + 1
+
+    def value(self, text: str, at: int, indent: int):
+        """The value that ``text``, the rest of entry ``at - 1``, starts, and the entry after it."""
+        line = self.lines[at - 1][2]
+        header = _YAML_BLOCK.match(text)
+        if header:
+            found, line = self.block_scalar(header, indent, line)
+            return found, self.after(at, line)
+        if text[:1] in ("[", "{"):
+            found, line = self.flow(text, line, indent)
+            if found is not None:
+                return found, self.after(at, line)
+        return _yaml_scalar(text), at
+
+    def block(self, at: int, indent: int):
+        """The map or list that starts at entry ``at``, and the entry after it."""
+        lines, item_of = self.lines, lambda x: x == "-" or x.startswith("- ")
+        if item_of(lines[at][1]):
+            items = []
+            while at < len(lines) and lines[at][0] == indent and item_of(lines[at][1]):
+                rest = lines[at][1][1:].lstrip()
+                inner = indent + len(lines[at][1]) - len(rest)
+                if rest and (_YAML_KEY.match(rest) and rest[0] not in "[{" or rest.startswith("- ")):
+                    lines[at] = (inner, rest, lines[at][2])
+                    item, at = self.block(at, inner)
+                elif rest:
+                    item, at = self.value(rest, at + 1, indent)
+                elif at + 1 < len(lines) and lines[at + 1][0] > indent:
+                    item, at = self.block(at + 1, lines[at + 1][0])
+                else:
+                    item, at = "", at + 1
+                items.append(item)
+            return items, at
+        fields = {}
+        while at < len(lines) and lines[at][0] == indent:
+            found = _YAML_KEY.match(lines[at][1])
+            if not found:
+                break
+            key, rest = _yaml_scalar(found[1]), found[2].strip()
+            at += 1
+            deeper = at < len(lines) and (lines[at][0] > indent or (lines[at][0] == indent and lines[at][1].startswith("- ")))
+            if (not rest or rest.startswith("#")) and deeper:
+                fields[key], at = self.block(at, lines[at][0])
             else:
-                item, at = "", at + 1
-            items.append(item)
-        return items, at
-    fields = {}
-    while at < len(lines) and lines[at][0] == indent:
-        found = _YAML_KEY.match(lines[at][1])
-        if not found:
-            break
-        key, rest = _yaml_scalar(found[1]), found[2].strip()
-        at += 1
-        deeper = at < len(lines) and (lines[at][0] > indent or (lines[at][0] == indent and lines[at][1].startswith("- ")))
-        if (not rest or rest.startswith("#")) and deeper:
-            fields[key], at = _yaml_block(lines, at, lines[at][0])
+                fields[key], at = self.value(rest, at, indent)
+                while at < len(lines) and lines[at][0] > indent:  # below a scalar nothing can nest
+                    at += 1
+        return fields, at
+
+
+def _yaml_flow(text: str):
+    """The list or map that ``text`` begins with and the text after it, which is None while brackets are open."""
+    stack: list = []
+    at, key = 0, None
+    while True:
+        token = _YAML_TOKEN.match(text, at)
+        if not token:
+            return None, None
+        at = token.end()
+        quoted, sign, colon, plain = token.groups()
+        if sign in ("[", "{"):
+            stack.append([sign, [] if sign == "[" else {}, None])
+            continue
+        if not stack:
+            return None, None
+        top = stack[-1]
+        if colon:
+            top[2], key = key, None
+            continue
+        if sign is None:
+            value = quoted[1:-1] if quoted is not None else plain.strip()
+        elif sign == ",":
+            _yaml_put(top, key)
+            key = None
+            continue
         else:
-            fields[key] = _yaml_scalar(rest)
-            while at < len(lines) and lines[at][0] > indent:  # below a scalar nothing can nest
-                at += 1
-    return fields, at
-
-
-_YAML_KEY = re.compile(r"^((?:\"[^\"]*\"|'[^']*'|[^:#\s][^:]*?))\s*:(?=\s|$)(.*)$")
+            _yaml_put(top, key)
+            key = None
+            stack.pop()
+            if not stack:
+                return top[1], text[at:]
+            value = top[1]
+            top = stack[-1]
+        key = value
+
+
+def _yaml_put(top: list, value) -> None:
+    """End an entry of an open list or map; a key without a value has the empty text."""
+    if isinstance(top[1], list):
+        if top[2] is not None:
+            top[1].append({str(top[2]): "" if value is None else value})
+        elif value is not None:
+            top[1].append(value)
+    elif top[2] is not None:
+        top[1][str(top[2])] = "" if value is None else value
+    elif value is not None:
+        top[1][str(value)] = ""
+    top[2] = None
 
 
 def yaml_fields(body: str | None) -> dict[str, str] | None:
-    """Top-level fields of a YAML map in block style; maps and lists below them as JSON text. Scalars stay text, a
-    repeated key keeps its last value, and lines that are no entries of a map end it. None where there is no map."""
-    lines = [(len(x) - len(x.lstrip(" ")), x.strip()) for x in (body or "").split("\n") if x.strip() and not x.lstrip().startswith("#")]
-    lines = [x for x in lines if x[1] not in ("---", "...")]
-    if not lines or not _YAML_KEY.match(lines[0][1]):
+    """Top-level fields of a YAML map in block style; maps and lists below them, also in brackets, as JSON text. Scalars
+    stay text, block scalars with their lines or folded, a repeated key keeps its last value, and lines that are no
+    entries of a map end it. None where there is no map."""
+    reader = _Yaml(body or "")
+    if not reader.lines or not _YAML_KEY.match(reader.lines[0][1]):
         return None
-    fields, _ = _yaml_block(lines, 0, lines[0][0])
+    fields, _ = reader.block(0, reader.lines[0][0])
     return {k: v if isinstance(v, str) else json.dumps(v) for k, v in fields.items()}
 
 
@@ -125,10 +244,11 @@ def _nested_yaml(bodies: pd.Series) -> pd.Series:
 def parse_yaml(df: DataFrame, abort_on_failure: bool = True) -> DataFrame:
     """``key: value`` bodies. Maps and lists below a key become JSON text, for :func:`path`, as with JSON bodies.
 
-    Flat bodies are read by column functions; only bodies with an indented line or a list go to Python.
+    Flat bodies are read by column functions; only bodies with an indented line, a list, brackets or a block scalar go
+    to Python.
     """
     text = F.coalesce("body", F.lit(""))
-    nested = text.rlike(r"(?m)^(?:[ ]+|-[ \n]|-$)") & text.rlike(r"(?m)^[^\s#-][^:]*:")
+    nested = (text.rlike(r"(?m)^(?:[ ]+|-[ \n]|-$)") | text.rlike(r"(?m)^[^\s#-][^:]*:\s+[\[{|>]")) & text.rlike(r"(?m)^[^\s#-][^:]*:")
     lines = F.filter(F.split(text, "\n"), lambda l: l.rlike(r"^[^\s#][^:]*:"))
     entry = lambda l: F.struct(F.trim(F.regexp_extract(l, r"^([^:]*):", 1)).alias("key"),
                                F.regexp_replace(F.trim(F.regexp_extract(l, r"^[^:]*:(.*)$", 1)), r"""^(["'])(.*)\1$""", "$2").alias("value"))
@@ -152,6 +272,30 @@ def path(name: str, json_path: str) -> Column:
     return F.get_json_object(field(name), json_path)
 
 
+class _Defined:
+    """The variables defined so far, as attributes."""
+
+    def __getattr__(self, name: str) -> Column:
+        return defined(name)
+
+
+def defined(name: str) -> Column:
+    """A variable of :func:`define`."""
+    return F.col(f"_def.{name}")
+
+
+def define(df: DataFrame, **variables: Callable[[_Defined], Column]) -> DataFrame:
+    """Variables of a rule, each from the parsed body and the variables before it; a repeated name hides the earlier one.
+
+    They ride along in one struct column ``_def`` until the outputs have been set; rows that were aborted have none.
+    """
+    for name, value in variables.items():
+        old = [f.name for f in df.schema["_def"].dataType if f.name != name] if "_def" in df.columns else []
+        new = F.when(~F.col("aborted"), value(_Defined()))
+        df = df.withColumn("_def", F.struct(*[F.col(f"_def.{n}").alias(n) for n in old], new.alias(name)))
+    return df
+
+
 def extract(df: DataFrame, when: Column | None = None, **fields: Column) -> DataFrame:
     """Set service, instance, endpoint, layer, trace_id, ts or any output field of rows that are still alive."""
     alive = ~F.col("aborted") if when is None else ~F.col("aborted") & F.coalesce(when, F.lit(False))

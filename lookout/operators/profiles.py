@@ -138,6 +138,11 @@ def select_snapshots(snapshots: DataFrame, queries: DataFrame, limit: int) -> Da
     return picked.drop("_lo", "_end").distinct()
 
 
+def analyse(snapshots: DataFrame, queries: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Flame graphs of the chosen segments, and the tip of :func:`over_limit` (no row where all snapshots were analysed)."""
+    return flame_from_snapshots(select_snapshots(snapshots, queries, limit)), over_limit(snapshots, queries, limit)
+
+
 def over_limit(snapshots: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
     """One row (found, tip) when the queries cover more snapshots than are analysed."""
     q = queries.select("segment_id", F.col("start").alias("_s"), F.col("end").alias("_e"))

@@ -15,6 +15,7 @@ from ..functions import ids, predicates, text
 from ..functions import labels as L
 from ..functions.arith import COMPARATORS, safe_div, to_metric_long
 from ..functions.timebucket import bucket_of_millis
+from ..plans.runtime import lookup_join
 
 AT = ("ts",)
 LK = "_lk"
@@ -60,11 +61,11 @@ def for_each(df: DataFrame, elements: Sequence[str], closure: Callable[[str, Col
 def retag_by_pod(df: DataFrame, new_label: str, pod_label: str, namespace_label: str, pods: DataFrame) -> DataFrame:
     """Add the service of a pod; blank when unknown. Samples without pod or namespace are unchanged.
 
-    ``pods`` (namespace, pod, service) is an inventory; Spark decides by its size whether it is broadcast.
+    ``pods`` (namespace, pod, service) is an inventory.
     """
     p, n = L.get(F.col("labels"), pod_label), L.get(F.col("labels"), namespace_label)
     right = pods.groupBy(F.col("namespace").alias("_ns"), F.col("pod").alias("_pod")).agg(F.min("service").alias("_svc"))
-    joined = df.withColumn("_pod", p).withColumn("_ns", n).join(right, ["_pod", "_ns"], "left")
+    joined = lookup_join(df.withColumn("_pod", p).withColumn("_ns", n), right, ["_pod", "_ns"])
     known = (F.col("_pod") != "") & (F.col("_ns") != "")
     return joined.withColumn("labels", F.when(known, L.put(F.col("labels"), new_label, F.coalesce("_svc", F.lit(""))))
                              .otherwise(F.col("labels"))).drop("_pod", "_ns", "_svc")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +75,27 @@ def either(a: DataFrame, b: DataFrame) -> DataFrame:
     return trace_ids(a).union(trace_ids(b)).distinct()
 
 
+def traces_where(spans: DataFrame, sets: Mapping[str, Column], algebra: Callable[..., Column]) -> DataFrame:
+    """Trace ids by set algebra over named spansets, in one pass over the spans.
+
+    ``sets`` has the condition of each spanset, at most 63; ``algebra`` combines them, given by name as columns that say
+    whether the trace has a span of the set: ``lambda a, b, c: (a & b) | c``. A span is marked with one bit per set that it
+    is in and a trace with those of all its spans, so what is shuffled is one number per task and trace. Traces
+    without a span in any set are not found, whatever the algebra says of them.
+    """
+    if len(sets) > 63:
+        raise ValueError("at most 63 spansets in one search")
+    bits = reduce(Column.bitwiseOR, [F.when(c, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, c in enumerate(sets.values())])
+    marked = spans.select("trace_id", bits.alias("_in")).filter(F.col("_in") != 0).groupBy("trace_id").agg(F.bit_or("_in").alias("_in"))
+    has = {name: F.col("_in").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0 for i, name in enumerate(sets)}
+    return marked.filter(algebra(**has)).select("trace_id")
+
+
+def all_of(*conditions: Column) -> Column:
+    """A spanset's condition from several."""
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def search(spans: DataFrame, ids: DataFrame, limit: int = 20) -> DataFrame:
     """Newest matching traces with start, duration in ms and span count."""
     return (spans.join(ids, "trace_id", "left_semi").groupBy("trace_id")

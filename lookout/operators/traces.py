@@ -7,14 +7,15 @@ skip_analysis, tags (array of key/value) and refs (array of parent references).
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
 from ..functions.timebucket import bucket_of_millis
-from ..plans.runtime import durable, lookup
+from ..plans.runtime import delete, lookup, lookup_join, stored
 
 TAGS_TYPE = "array<struct<key:string,value:string>>"
 REFS_TYPE = ("array<struct<ref_type:string,trace_id:string,parent_segment_id:string,parent_span_id:int,"
@@ -93,6 +94,35 @@ def segment_rows(segments: DataFrame, searchable: Sequence[str] = ("http.method"
         text.searchable_tags(fitting, searchable, max_tag).alias("tags"))
 
 
+def segment_rows_of(spans: DataFrame, searchable: Sequence[str] = ("http.method", "http.status_code", "rpc.status_code", "db.type",
+                                                                  "db.instance", "mq.queue", "mq.topic", "mq.broker"),
+                    error_mode: str = "any", max_tag: int = 256) -> DataFrame:
+    """:func:`segment_rows` from span rows: one aggregation of plain values, in which no span is collected.
+
+    Task by task a segment shrinks to its bounds, its error, the operation that names it and its distinct searchable
+    tags, which come in order here.
+    """
+    head = ["trace_id", "segment_id", "service", "instance"]
+    entry = F.col("span_type") == "Entry"
+    failed = {"any": F.col("is_error"), "first": (F.col("span_id") == 0) & F.col("is_error"), "entry": entry & F.col("is_error")}[error_mode]
+    fitting = F.filter("tags", lambda t: F.length(t["value"]) <= max_tag)
+    whole = spans.select(*head, "span_id", "start_time", "end_time", "operation", entry.alias("_entry"), failed.alias("_failed"),
+                         text.searchable_tags(fitting, searchable, max_tag).alias("_tags")).groupBy(*head).agg(
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("_end"), F.bool_or("_failed").alias("_failed"),
+        F.bool_or("_entry").alias("_entered"), F.max_by("operation", F.when(F.col("_entry"), F.col("span_id"))).alias("_by_entry"),
+        F.max(F.when(F.col("span_id") == 0, F.col("operation"))).alias("_by_first"), F.collect_set("_tags").alias("_tags"))
+    service = text.service_name(F.col("service"))
+    sid = ids.service_id(service)
+    op = F.when(F.col("_entered"), F.col("_by_entry")).otherwise(F.col("_by_first"))
+    return whole.select(
+        "trace_id", "segment_id", sid.alias("service_id"),
+        ids.instance_id(sid, text.instance_name(F.col("instance"))).alias("instance_id"),
+        ids.endpoint_id(sid, text.endpoint_name(op)).alias("endpoint_id"), text.endpoint_name(op).alias("endpoint"),
+        "start_time", F.least(F.col("_end") - F.col("start_time"), F.lit(INT_MAX)).cast("int").alias("latency"),
+        F.coalesce("_failed", F.lit(False)).alias("is_error"), bucket_of_millis(F.col("start_time"), "second").alias("time_bucket"),
+        F.sort_array(F.array_distinct(F.flatten("_tags"))).alias("tags"))
+
+
 def java_hash(s: Column) -> Column:
     """The 32-bit polynomial text hash with base 31, as signed long. Exact for characters of the basic plane."""
     codes = F.transform(F.filter(F.split(s, ""), lambda ch: ch != ""), lambda ch: F.ascii(ch).cast("bigint"))
@@ -113,7 +143,7 @@ def sample_segments(rows: DataFrame, rate: int = 10000, slow_ms: int = -1, polic
     bucket = sample_bucket(F.col("trace_id"))
     if policies is not None:
         right = policies.groupBy("service").agg(F.max("rate").alias("_rate"), F.max("duration").alias("_dur"))
-        rows = rows.join(right, "service", "left")
+        rows = lookup_join(rows, right, ["service"])
         r, d = F.coalesce("_rate", F.lit(rate)), F.coalesce("_dur", F.lit(slow_ms))
     else:
         r, d = F.lit(rate), F.lit(slow_ms)
@@ -212,7 +242,7 @@ def exit_calls(spans: DataFrame, aliases: DataFrame | None = None, gateways: Seq
     rows = spans.filter((F.col("span_type") == "Exit") & ~F.col("skip_analysis") & (F.coalesce("peer", F.lit("")) != ""))
     if aliases is not None:
         right = aliases.select(F.col("address").alias("peer"), "alias_service", "alias_instance")
-        rows = rows.join(right, "peer", "left")
+        rows = lookup_join(rows, right, ["peer"])
     else:
         rows = rows.withColumn("alias_service", F.lit(None).cast("string")).withColumn("alias_instance", F.lit(None).cast("string"))
     known = F.col("alias_service").isNotNull()
@@ -410,30 +440,49 @@ def roots(keyed: DataFrame) -> DataFrame:
     return keyed.join(present, ["trace_id", "parent_key"], "left_anti")
 
 
-def order_tree(keyed: DataFrame) -> DataFrame:
-    """Adds ``path`` and ``depth``: ordering by (trace_id, path) lists roots by start time and children depth first.
+def order_tree(keyed: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
+    """Adds ``position`` (from 1 in its trace: roots by start time, children depth first by start time) and ``depth``;
+    of all traces, or of those whose ids the page ``chosen`` has.
 
-    Every round doubles the distance to the ancestor a span points at, so a tree of depth d takes log2(d) rounds of
-    one join on (trace_id, span_key); a trace with many spans is spread over the cluster by span. Rounds end when all
-    spans have reached a root; spans caught in a reference cycle hang under no root and are left out. The small state
-    (keys and paths) is stored durably between rounds.
+    The walk around each tree is a list: a span is entered, then its children in order, then it is left; a span without
+    children is one element. Every round doubles the distance to the element that each one points at and adds up what
+    lies between, so a trace of n spans takes log2(2n) rounds of one join on the element's number, whatever its depth.
+    An element is four numbers, in a round as in the last, and the elements of a large trace are spread over the cluster. Rounds end
+    when all elements have seen the end of their list; spans caught in a reference cycle hang under no root and are
+    left out. Of spans that share a key one gives its place to all. The children of one span are put in order by one sort.
     """
-    step = F.struct(F.col("start_time").alias("t"), F.col("segment_id").alias("g"), F.col("span_id").alias("s"))
-    linked = (keyed.join(keyed.select("trace_id", F.col("span_key").alias("parent_key"), F.lit(True).alias("_has")),
-                         ["trace_id", "parent_key"], "left")
-              .select("trace_id", "span_key", F.when(F.col("_has"), F.col("parent_key")).alias("_up"), F.array(step).alias("path")))
-    state = durable(linked)
-    waiting = state.filter(F.col("_up").isNotNull()).count()
+    if chosen is not None:
+        keyed = full_spans(keyed, chosen)
+    spark = keyed.sparkSession
+    nodes, node_path = stored(keyed.groupBy("trace_id", "span_key").agg(F.min_by(F.struct("parent_key", "start_time", "segment_id", "span_id"), F.struct("start_time", "parent_key")).alias("s"))
+                              .select("trace_id", "span_key", "s.*").withColumn("id", F.monotonically_increasing_id()))
+    parents = nodes.select("trace_id", F.col("span_key").alias("parent_key"), F.col("id").alias("up"))
+    order = Window.partitionBy("trace_id", "up").orderBy("start_time", "segment_id", "span_id")
+    linked, linked_path = stored(nodes.join(parents, ["trace_id", "parent_key"], "left").select(
+        "id", "up", F.lead("id").over(order).alias("after"), F.row_number().over(order).alias("nth")))
+    first = linked.filter((F.col("nth") == 1) & F.col("up").isNotNull()).select(F.col("up").alias("id"), F.col("id").alias("child"))
+    following = F.coalesce(F.col("after") * 2, F.col("up") * 2 + 1)
+    element = lambda at, then, spans, levels: F.struct(at.alias("at"), then.alias("then"), F.lit(spans).cast("bigint").alias("spans"), F.lit(levels).cast("bigint").alias("levels"))
+    walk = F.when(F.col("child").isNull(), F.array(element(F.col("id") * 2, following, 1, 0))).otherwise(
+        F.array(element(F.col("id") * 2, F.col("child") * 2, 1, 1), element(F.col("id") * 2 + 1, following, 0, -1)))
+    state, path = stored(linked.join(first, "id", "left").select(F.inline(walk)))
+    delete(spark, linked_path)
+    waiting = state.filter(F.col("then").isNotNull()).count()
     while waiting:
-        above = state.select("trace_id", F.col("span_key").alias("_up"), F.col("_up").alias("_next"), F.col("path").alias("_above"))
-        state = durable(state.join(above, ["trace_id", "_up"], "left").select(
-            "trace_id", "span_key", F.when(F.col("_up").isNotNull(), F.col("_next")).alias("_up"),
-            F.when(F.col("_above").isNotNull(), F.concat("_above", "path")).otherwise(F.col("path")).alias("path")))
-        left = state.filter(F.col("_up").isNotNull()).count()
+        ahead = state.select(F.col("at").alias("then"), F.col("then").alias("_then"), F.col("spans").alias("_spans"), F.col("levels").alias("_levels"))
+        further, further_path = stored(state.join(ahead, "then", "left").select(
+            "at", F.col("_then").alias("then"), *[(F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c) for c in ("spans", "levels")]))
+        delete(spark, path)
+        state, path = further, further_path
+        left = state.filter(F.col("then").isNotNull()).count()
         if left == waiting:
             break
         waiting = left
-    placed = state.filter(F.col("_up").isNull()).select("trace_id", "span_key", "path", F.size("path").alias("depth"))
+    entered = state.filter(F.col("then").isNull() & (F.col("at") % 2 == 0)).select(
+        F.expr("at div 2").alias("id"), "spans", (1 - F.col("levels")).cast("int").alias("depth"))
+    placed = nodes.join(entered, "id").select("trace_id", "span_key", "spans", "depth")
+    whole = placed.groupBy("trace_id").agg(F.max("spans").alias("_whole"))
+    placed = placed.join(whole, "trace_id").select("trace_id", "span_key", (F.col("_whole") - F.col("spans") + 1).alias("position"), "depth")
     return keyed.join(placed, ["trace_id", "span_key"])
 
 
@@ -483,8 +532,23 @@ def by_tag_table(rows: DataFrame, tag_rows: DataFrame, tags: Sequence[str], key:
     wanted = list(dict.fromkeys(tags))
     if not wanted:
         return rows
-    hits = tag_rows.filter(F.col("tag").isin(wanted)).groupBy(key).agg(F.count_distinct("tag").alias("_n"))
-    return rows.join(hits.filter(F.col("_n") == len(wanted)).select(key), key, "left_semi")
+    bit = reduce(lambda found, i: F.when(F.col("tag") == wanted[i], F.lit(1 << i).cast("bigint")).otherwise(found), range(len(wanted)), F.lit(0).cast("bigint"))
+    hits = tag_rows.filter(F.col("tag").isin(wanted)).groupBy(key).agg(F.bit_or(bit).alias("_tags"))
+    return rows.join(hits.filter(F.col("_tags") == (1 << len(wanted)) - 1).select(key), key, "left_semi")
+
+
+def with_tags(rows: DataFrame, column: str, tags: Sequence[str], key: str | None = None) -> DataFrame:
+    """Rows whose own array ``column`` has all the tags; with ``key``, the keys whose rows have them between them.
+
+    Keys take one pass and one aggregation: a row is marked with one bit for each tag, a key with those of its rows.
+    """
+    wanted = list(dict.fromkeys(tags))
+    has = [F.array_contains(column, t) for t in wanted]
+    if key is None:
+        return reduce(DataFrame.filter, has, rows)
+    bits = reduce(Column.bitwiseOR, [F.when(c, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, c in enumerate(has)])
+    marked = rows.select(key, bits.alias("_tags")).filter(F.col("_tags") != 0).groupBy(key).agg(F.bit_or("_tags").alias("_tags"))
+    return marked.filter(F.col("_tags") == (1 << len(wanted)) - 1).select(key)
 
 
 def sorted_traces(rows: DataFrame, by: str = "start_time") -> DataFrame:

@@ -20,9 +20,11 @@ def _ms(c: str):
     return F.unix_millis(F.col(c).cast("timestamp"))
 
 
-def service_rows(spark, sf) -> DataFrame:
-    """One row per event: a call of ``endpoint`` on ``instance`` of service ``name``. ``time_bucket`` is the hour."""
-    e = table(spark, sf, "events")
+def service_rows(spark, sf, events: DataFrame | None = None) -> DataFrame:
+    """One row per event: a call of ``endpoint`` on ``instance`` of service ``name``. ``time_bucket`` is the hour.
+
+    ``events``: the same table as a stream."""
+    e = table(spark, sf, "events") if events is None else events
     k = F.regexp_extract("props", r"(\d+)", 1).cast("bigint")
     d = k % 10
     kind = F.when(d == 0, "MQ").when(d < 4, "HTTP").otherwise("RPC")

@@ -42,13 +42,17 @@ def lal_json_abort(spark, sf):
     return df.select("doc_id", "aborted", G.field("service").alias("service"))
 
 
-@query("lal_yaml", f"{V} SELECT event_id, endpoint AS kind, CAST(latency AS VARCHAR) AS cost, 'two words' AS note, name AS service FROM svc")
+@query("lal_yaml", f"""{V} SELECT event_id, endpoint AS kind, CAST(latency AS VARCHAR) AS cost, 'two words' AS note, name AS service, 'cost ' || latency || chr(10) || chr(10) || '# k ' || k || chr(10) AS lines,
+'k is ' || k AS folded, '["a", "' || k || '", "c, d"]' AS list, CAST(latency AS VARCHAR) AS inner FROM svc""")
 def lal_yaml(spark, sf):
     rows = fr.service_rows(spark, sf)
-    body = F.concat(F.lit("# made from the event\nkind: "), F.col("endpoint"), F.lit("\ncost: "), F.col("latency").cast("string"), F.lit("\nnote: \"two words\"\n  nested: 1\n"))
+    k, cost = F.col("k").cast("string"), F.col("latency").cast("string")
+    body = F.concat(F.lit("# made from the event\nkind: "), F.col("endpoint"), F.lit("\ncost: "), cost, F.lit("\nnote: \"two words\"\n  nested: 1\n"),
+                    F.lit("lines: |\n  cost "), cost, F.lit("\n\n  # k "), k, F.lit("\nfolded: >-\n  k is\n  "), k, F.lit("\nlist: [a, "), k, F.lit(", 'c, d']\nmap: {k: "), k, F.lit(",\n  in: [x: "), cost, F.lit("]}\n"))
     logs = fr.json_logs(spark, sf).drop("body").join(rows.select("event_id", body.alias("body")), "event_id")
     df = G.parse_yaml(G.prepare(logs))
-    return df.select("event_id", G.field("kind").alias("kind"), G.field("cost").alias("cost"), G.field("note").alias("note"), G.field("service").alias("service"))
+    return df.select("event_id", G.field("kind").alias("kind"), G.field("cost").alias("cost"), G.field("note").alias("note"), G.field("service").alias("service"),
+                     G.field("lines").alias("lines"), G.field("folded").alias("folded"), G.field("list").alias("list"), G.path("map", "$.in[0].x").alias("inner"))
 
 
 def _extracted(spark, sf):
@@ -72,9 +76,8 @@ def lal_timestamp(spark, sf):
 @query("lal_def", f"{V} SELECT event_id, k * k - k AS v FROM svc")
 def lal_def(spark, sf):
     df = G.parse_json(G.prepare(fr.json_logs(spark, sf)))
-    k = G.field("k").try_cast("bigint")
-    square = k * k
-    return df.select("event_id", (square - k).alias("v"))
+    df = G.define(df, k=lambda v: G.field("k").try_cast("bigint"), square=lambda v: v.k * v.k, v=lambda v: v.square - v.k)
+    return G.extract(df, out=G.defined("v").cast("string")).select("event_id", F.col("out").cast("bigint").alias("v"))
 
 
 @query("lal_if", f"{V} SELECT event_id, CASE WHEN k > 80 AND endpoint <> 'error' THEN 'high' WHEN k > 80 OR k = 7 THEN 'odd' ELSE 'low' END AS level FROM svc")
@@ -316,4 +319,4 @@ def fn_json_props(spark, sf):
 
 @query("fn_json_events", f"""{V} SELECT event_id, '{{"endpoint":"' || endpoint || '"}}' AS parameters FROM svc""")
 def fn_json_events(spark, sf):
-    return fr.service_rows(spark, sf).select("event_id", F.to_json(F.create_map(F.lit("endpoint"), F.col("endpoint"))).alias("parameters"))
+    return fr.service_rows(spark, sf).select("event_id", text.json_object(endpoint=F.col("endpoint")).alias("parameters"))

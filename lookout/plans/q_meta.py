@@ -227,7 +227,7 @@ def q_browser_errors(spark, sf):
 
 @query("sink_upsert", f"{V} SELECT {G}, {_WIDE.format(minutes=60)} FROM svc GROUP BY {G}")
 def sink_upsert(spark, sf):
-    """Three deliveries appended to the state table and merged when read."""
+    """Three deliveries appended to the state table, folded and cleared on the way, and merged when read."""
     from ..sinks import state_table
     from .runtime import checkpoint_dir
     from uuid import uuid4
@@ -236,8 +236,12 @@ def sink_upsert(spark, sf):
     rows = fr.service_rows(spark, sf)
     for batch in range(3):
         state_table.append(R.states(rows.filter(F.col("event_id") % 3 == batch), SERVICE_RULES), path, batch)
-    # a repeated delivery replaces itself
-    state_table.append(R.states(rows.filter(F.col("event_id") % 3 == 1), SERVICE_RULES), path, 1)
+        # a repeated delivery replaces itself, also one that a fold holds
+        state_table.append(R.states(rows.filter(F.col("event_id") % 3 == batch), SERVICE_RULES), path, batch)
+        if batch == 1:
+            state_table.compact(spark, path, SERVICE_RULES)
+            state_table.vacuum(spark, path, keep_ms=0)
+            state_table.append(R.states(rows.filter(F.col("event_id") % 3 == batch), SERVICE_RULES), path, batch)
     return R.values(state_table.merged(spark, path, SERVICE_RULES), SERVICE_RULES)
 
 
@@ -253,10 +257,21 @@ def st_late(spark, sf):
 
 @query("st_state_cache", f"{V} SELECT {G}, CAST(sum(latency) // count(*) AS BIGINT) AS value FROM svc GROUP BY {G}")
 def st_state_cache(spark, sf):
-    """States kept from earlier batches are merged, not read again from the rows."""
-    rows = fr.service_rows(spark, sf)
-    fold = lambda cond: A.fold(rows.filter(cond), "long_avg", F.col("latency"))
-    return A.finalise(A.merge(fold("event_id % 2 = 0").unionByName(fold("event_id % 2 = 1")), "long_avg"), "long_avg")
+    """The events as a stream whose states are merged in the state store and written when they are flushed."""
+    from uuid import uuid4
+
+    from ..sinks import state_table
+    from ..streaming import cache
+    from .runtime import checkpoint_dir
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/cache-{uuid4().hex}"
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    rows = fr.service_rows(spark, sf, spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet"))  # streams read a single file as a pattern
+    rule = [R.Rule("value", "service", "long_avg", "latency")]
+    # events arrive when they happen; without a delay the last of them is flushed as well
+    for query in cache.stream_cached(rows, f"{base}/t", rule, f"{base}/checkpoint", arrival=F.col("ts"), flush="0 seconds", trigger={"availableNow": True}):
+        query.awaitTermination()
+    return R.values(state_table.merged(spark, f"{base}/t", rule), rule)
 
 
 @query("st_tumbling", "SELECT CAST(strftime(date_trunc('minute', ts), '%Y%m%d%H%M') AS BIGINT) AS time_bucket, event_type AS entity_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL")
@@ -325,8 +340,22 @@ def sink_metric_export(spark, sf):
 
 @query("sink_ttl", f"{V} SELECT DISTINCT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS day FROM svc WHERE ts < TIMESTAMP '2024-01-24'")
 def sink_ttl(spark, sf):
-    days = fr.service_rows(spark, sf).select(F.expr("time_bucket div 100").alias("day")).distinct()
-    return writers.expired_days(days, 20240131, writers.TTL_DAYS["metrics"])
+    """Days that retention takes from a state table with batches, keyed states and folds."""
+    from uuid import uuid4
+
+    from ..sinks import state_table
+    from .runtime import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ttl-{uuid4().hex}"
+    rules = [R.Rule("n", "service", "count"), R.Rule("types", "service", "label_count", None, (), {"label": "type", "ts": "ts"})]
+    rows = fr.service_rows(spark, sf)
+    state_table.append(R.states(rows, rules[:1]), path, 0)
+    state_table.append(R.keyed_states(rows, rules[1:]), state_table.keyed_path(path), 0)
+    state_table.compact(spark, path, rules)
+    state_table.append(R.states(rows, rules[:1]), path, 1)
+    state_table.expire_all(spark, {path: ("metrics", "hour")}, 20240131)
+    kept = state_table.read(spark, path).select("day").unionByName(state_table.read(spark, state_table.keyed_path(path)).select("day")).distinct()
+    return rows.select(F.expr("time_bucket div 100").alias("day")).distinct().join(kept, "day", "left_anti")
 
 
 @query("q_ttl", f"{V} SELECT 'records' AS category, 3 AS days, CAST(count(DISTINCT strftime(ts, '%Y%m%d')) AS BIGINT) AS kept FROM svc WHERE ts >= TIMESTAMP '2024-01-28' UNION ALL SELECT 'metrics', 7, CAST(count(DISTINCT strftime(ts, '%Y%m%d')) AS BIGINT) FROM svc WHERE ts >= TIMESTAMP '2024-01-24'")

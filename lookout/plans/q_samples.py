@@ -115,10 +115,10 @@ def mal_round_emit(spark, sf):
     return fr.samples(spark, sf).select("seq", to_metric_long(F.col("value") / 300.0 - F.lit(0.1)).alias("v"))
 
 
-@query("join_k8s_retag", f"""{W}, pods AS (SELECT 'ns' AS ns, 'i_' || n_nationkey AS pod, 'pod_' || n_name AS service FROM nation WHERE n_nationkey < 20)
+@query("join_k8s_retag", f"""{W}, pods AS (SELECT 'ns' AS ns, 'i_' || n_nationkey AS pod, 'pod_' || n_name AS service FROM nation)
 SELECT seq, '{{inst=' || inst || ',ns=ns,service=' || coalesce(service, '') || ',svc=' || svc || '}}' AS labels FROM samples LEFT JOIN pods ON inst = pod""")
 def join_k8s_retag(spark, sf):
-    n = fr.table(spark, sf, "nation").filter("n_nationkey < 20")
+    n = fr.table(spark, sf, "nation")
     pods = n.select(F.lit("ns").alias("namespace"), F.concat(F.lit("i_"), F.col("n_nationkey").cast("string")).alias("pod"), F.concat(F.lit("pod_"), "n_name").alias("service"))
     s = fr.samples(spark, sf).withColumn("labels", L.put(F.col("labels"), "ns", F.lit("ns")))
     return _out(M.retag_by_pod(s, "service", "inst", "ns", pods), "seq", "labels")
@@ -416,12 +416,23 @@ def st_alarm_state(spark, sf):
     return alarms.states(ticks, RULE).select("entity_id", _hour(), "match", "state")
 
 
-@query("st_alarm_message", f"""{_REC_V}, {_MACHINE} SELECT entity_id, h, state, 'service_slow' AS rule, entity_id || ' of ' || entity_id || ' is slow' AS message, state = 'RECOVERED' AS recovered, 'level=WARN' AS tags, 6 AS period
-FROM s WHERE state IN ('FIRING', 'RECOVERED') AND entity_id <> 'svc_9'""")
+_FIRED = """x AS (SELECT *, max(h) FILTER (state = 'FIRING') OVER (PARTITION BY entity_id ORDER BY h) AS start FROM s WHERE state IN ('FIRING', 'RECOVERED')),
+w AS (SELECT x.entity_id, x.start, string_agg(m.h || '=' || m.resp_time, ',' ORDER BY m.h) AS snapshot FROM (SELECT DISTINCT entity_id, start FROM x) x
+  JOIN m ON m.entity_id = x.entity_id AND m.h BETWEEN x.start - 5 AND x.start GROUP BY ALL)"""
+
+
+@query("st_alarm_message", f"""{_REC_V}, {_MACHINE}, {_FIRED}
+SELECT x.entity_id, h, state, 'service_slow' AS rule, 'Service' AS scope, x.entity_id || ' of ' || x.entity_id || ' is slow' AS message, state = 'RECOVERED' AS recovered, 'level=WARN' AS tags, 6 AS period,
+  'sum(resp_time > 600) >= 2' AS expression, 'webhook.default,slack.ops' AS hooks, 'GENERAL' AS layers, x.start, 'service_slow@' || x.entity_id || '@' || (x.start * 60) AS firing_id, snapshot
+FROM x LEFT JOIN w ON w.entity_id = x.entity_id AND w.start = x.start WHERE x.entity_id <> 'svc_9'""")
 def st_alarm_message(spark, sf):
-    rule = alarms.AlarmRule(**{**RULE.__dict__, "exclude": ("svc_9",)})
-    out = alarms.evaluate(_minutes(spark, sf).withColumn("name", F.col("entity_id")), rule, name="name")
-    return out.select("entity_id", _hour(), "state", "rule", "message", "recovered", F.array_join("tags", ",").alias("tags"), "period")
+    """Firing and recovery messages; a recovery names the firing it ends and shows the values that firing saw."""
+    rule = alarms.AlarmRule(**{**RULE.__dict__, "exclude": ("svc_9",), "expression": "sum(resp_time > 600) >= 2", "hooks": ("webhook.default", "slack.ops"), "layers": ("GENERAL",)})
+    out = alarms.evaluate(_minutes(spark, sf).withColumn("name", F.col("entity_id")), rule, name="name", values=("resp_time",))
+    text = lambda c: F.array_join(c, ",").alias(c)
+    seen = F.transform("snapshot", lambda x: F.concat_ws("=", (F.unix_seconds(x["minute"].cast("timestamp")) / 60).cast("bigint").cast("string"), x["resp_time"].cast("string")))
+    return out.select("entity_id", _hour(), "state", "rule", "scope", "message", "recovered", text("tags"), "period", "expression", text("hooks"), text("layers"),
+                      _hour("start_minute").alias("start"), "firing_id", F.array_join(seen, ",").alias("snapshot"))
 
 
 @query("sink_alarm", f"{_REC_V}, {_MACHINE} SELECT CASE state WHEN 'FIRING' THEN 'firing' ELSE 'recovery' END AS kind, CAST(count(*) AS BIGINT) AS n FROM s WHERE state IN ('FIRING', 'RECOVERED') GROUP BY 1")
@@ -455,9 +466,15 @@ def st_alarm_scopes(spark, sf):
     return t.groupBy("scope").agg(F.count_if("match").alias("matches"))
 
 
-@query("st_late_alarm", f"{V}, {_MIN} SELECT entity_id, h FROM m WHERE h > (SELECT max(h) FROM m) - 6")
+@query("st_late_alarm", f"""{V}, {_MIN}, a AS (SELECT entity_id, h, resp_time, CASE WHEN h % 50 = 0 THEN (h // 50 + 1) * 50 ELSE h END AS seen FROM m),
+n AS (SELECT *, max(h) OVER (ORDER BY seen RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS newest FROM a)
+SELECT entity_id, h, resp_time, h <= newest - 6 AS late FROM n""")
 def st_late_alarm(spark, sf):
-    """Values older than the window that ends with the newest minute do not reach the alarm."""
+    """Every fiftieth hour arrives fifty hours after its turn: behind the window that then ends with the newest value, it does
+    not reach the alarm and is kept apart."""
     m = _minutes(spark, sf)
-    newest = m.agg(F.max("minute")).scalar()
-    return m.filter(F.col("minute") > newest - F.expr("INTERVAL 6 MINUTES")).select("entity_id", _hour())
+    h = F.expr("unix_seconds(cast(minute as timestamp)) div 60")
+    seen = F.when(h % 50 == 0, (F.call_function("div", h, F.lit(50).cast("bigint")) + 1) * 50).otherwise(h)
+    fresh, late = alarms.split_late(m.withColumn("seen", seen), RULE, arrival="seen")
+    both = fresh.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return both.select("entity_id", _hour(), "resp_time", "late")

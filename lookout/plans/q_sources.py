@@ -11,8 +11,9 @@ from ..operators import rules as R
 from ..sources import clients, flows, mesh, meters, otlp, records, runtimes, tables
 from . import catalog
 from . import frames as fr
-from .q_rules import percentile_sql
+from .q_rules import THRESHOLDS, percentile_sql
 from .registry import query
+from .runtime import lookup
 
 V = f"WITH {fr.SVC}"
 MIN = "minute AS time_bucket"
@@ -192,15 +193,16 @@ _JVM += [(f"instance_jvm_thread_{n}", f"sum(k + {i}) // count(*)") for i, n in e
 def _all_rules(frames):
     out = None
     for source, df in frames.items():
-        part = R.run(df, catalog.by_source(source)).filter("label is null").drop("label")
+        part = R.run(df, catalog.by_source(source)).drop("label")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 @query("src_jvm", f"{V} {_metric_rows(_JVM)}")
 def src_jvm(spark, sf):
-    """Snapshots through the adapter and all shipped rules of its six frames."""
-    return _all_rules(runtimes.jvm(_jvm(spark, sf)))
+    """Snapshots through the adapter and all shipped rules of its six frames, in one pass."""
+    rules = [r for s in ("jvm_cpu", "jvm_memory", "jvm_memory_pool", "jvm_gc", "jvm_thread", "jvm_class") for r in catalog.by_source(s)]
+    return R.run_tagged(runtimes.jvm_tagged(_jvm(spark, sf)), rules)
 
 
 _CLR = [("instance_clr_cpu", "CAST(sum(k) AS DOUBLE) / count(*)"), ("instance_clr_gen0_collect_count", "sum(k)"), ("instance_clr_gen1_collect_count", "sum(k + 1)"), ("instance_clr_gen2_collect_count", "sum(k + 2)"),
@@ -285,28 +287,45 @@ def _kernel(spark, sf):
     empty = lambda x: F.when(F.lit(False), x)
     op = lambda kind: F.struct(F.lit(kind).alias("type"), F.col("ms").alias("start_time"),
                                (F.struct(n.alias("duration"), F.col("status").alias("success")) if kind == "connect" else empty(F.struct(n.alias("duration"), F.col("status").alias("success")))).alias("connect"),
-                               empty(F.struct(n.alias("duration"))).alias("accept"), empty(F.struct(n.alias("duration"), F.col("status").alias("success"))).alias("close"),
+                               (F.struct((n + 2).alias("duration")) if kind == "accept" else empty(F.struct((n + 2).alias("duration")))).alias("accept"),
+                               (F.struct((n + 3).alias("duration"), F.col("status").alias("success")) if kind == "close" else empty(F.struct((n + 3).alias("duration"), F.col("status").alias("success")))).alias("close"),
                                (read if kind == "read" else empty(read)).alias("read"), (write if kind == "write" else empty(write)).alias("write"))
     http = F.struct(F.col("ms").alias("start_time"), (n * 1_000_000).alias("end_nanos"), F.lit(0).cast("bigint").alias("start_nanos"), F.concat(F.lit("/"), "endpoint").alias("path"), F.lit("GET").alias("method"),
                     F.col("http_status").alias("status_code"), k.alias("size_of_request_header"), k.alias("size_of_request_body"), k.alias("size_of_response_header"), k.alias("size_of_response_body"))
     return s.select(F.when(k % 2 == 0, "client").otherwise("server").alias("role"), end(F.col("name"), F.col("instance")).alias("local"), end(F.col("endpoint"), F.lit("r")).alias("remote"),
-                    F.lit(49).alias("component_id"), F.lit("TLS").alias("tls_mode"), F.array(op("connect"), op("write"), op("read")).alias("kernel"), F.array(http).alias("http"))
+                    F.lit(49).alias("component_id"), F.lit("TLS").alias("tls_mode"), F.array(*[op(kind) for kind in ("connect", "accept", "close", "write", "read")]).alias("kernel"), F.array(http).alias("http"))
 
 
 def _k8s(metric, expr, cond="TRUE"):
-    return f"SELECT 'kubernetes_service_{metric}' AS metric, base64(encode(name)) || '.1' AS entity_id, {MIN}, CAST({expr} AS DOUBLE) AS value FROM svc WHERE {cond} GROUP BY name, minute"
-
-
-@query("src_ebpf_access", f"{V} " + " UNION ALL ".join([
-    _k8s("connect_cpm", "count(*)"), _k8s("connect_time", "sum(latency) // count(*)"), _k8s("connect_success_cpm", "count(*)", "status"), _k8s("write_package_size", "sum(latency * 2)"),
-    _k8s("write_l4_time", "sum(latency + 1) // count(*)"), _k8s("read_package_cpm", "sum(k)"), _k8s("http_call_cpm", "count(*)", "k % 2 = 1"),
-    _k8s("http_call_successful_rate", "count(*) FILTER (http_status < 500) * 10000 // count(*)", "k % 2 = 1"), _k8s("http_status_4xx_cpm", "count(*)", "k % 2 = 1 AND http_status = 404")]))
+    return f"SELECT 'kubernetes_service_{metric}' AS metric, base64(encode(name)) || '.1' AS entity_id, {MIN}, CAST({expr} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS label FROM svc WHERE {cond} GROUP BY name, minute"
+
+
+_WEB = "k % 2 = 1"
+_AVG = "sum({}) // count(*)".format
+_K8S = [_k8s("connect_cpm", "count(*)"), _k8s("connect_time", _AVG("latency")), _k8s("connect_success_cpm", "count(*)", "status")]
+_K8S += [_k8s(f"{o}_cpm", "count(*)") for o in ("accept", "close", "write", "read")]
+_K8S += [_k8s(f"{o}_time", _AVG(v)) for o, v in (("accept", "latency + 2"), ("close", "latency + 3"), ("write", "latency"), ("read", "latency"))]
+_K8S += [_k8s(m, f"sum({v})") for m, v in (
+    ("write_package_cpm", "k"), ("write_retrains_package_cpm", "k % 3"), ("write_package_size", "latency * 2"), ("write_netfilter_cpm", "k"), ("write_netfilter_duration", "k"),
+    ("read_package_cpm", "k"), ("read_package_size", "latency * 3"), ("read_netfilter_cpm", "k"), ("read_netfilter_duration", "k"), ("resolve_mac_cpm", "k"), ("resolve_mac_duration", "k"))]
+_K8S += [_k8s(m, _AVG(v)) for m, v in (
+    ("write_l4_time", "latency + 1"), *[(f"write_{x}_time", "latency") for x in ("l3", "l3_local", "l3_output", "l2")], *[(f"read_{x}_time", "latency") for x in ("l4", "l3", "l3_rcv", "l3_local")],
+    ("write_l2_enter_avg_queue_count", "k"), ("write_l2_ready_avg_send_duration", "latency"), ("write_l2_net_device_avg_send_duration", "latency"),
+    ("read_package_to_queue_time", "latency"), ("read_rcv_package_from_queue_time", "latency"))]
+_K8S += [_k8s("http_call_cpm", "count(*)", _WEB), _k8s("http_call_time", _AVG("latency"), _WEB), _k8s("http_call_successful_rate", "count(*) FILTER (http_status < 500) * 10000 // count(*)", _WEB)]
+_K8S += [_k8s(f"http_avg_{x}_size", _AVG("k"), _WEB) for x in ("req_header", "req_body", "resp_header", "resp_body")]
+_K8S += [_k8s(f"http_status_{n}xx_cpm", "count(*)", f"{_WEB} AND http_status // 100 = {n}") for n in range(1, 6)]
+_THR = "(CASE WHEN user_id % 10 < 5 THEN (user_id % 10 + 1) * 100 ELSE 500 END)"
+_K8S += [_k8s("apdex", f"(count(*) FILTER (http_status < 500 AND latency <= {_THR}) * 10000 + (count(*) FILTER (http_status < 500 AND latency > {_THR} AND latency <= 4 * {_THR}) * 10000) // 2) // count(*)", _WEB),
+         "SELECT 'kubernetes_service_percentile', entity_id, time_bucket, CAST(value AS DOUBLE), CAST(p AS VARCHAR) FROM pct"]
+
+
+@query("src_ebpf_access", f"""{V}, served AS (SELECT base64(encode(name)) || '.1' AS entity_id, {MIN}, latency FROM svc WHERE {_WEB}),
+pct AS (WITH {percentile_sql('served', 'entity_id, time_bucket', 'latency // 10', A.RANKS, 10)}) """ + " UNION ALL ".join(_K8S))
 def src_ebpf_access(spark, sf):
-    """Kernel and protocol logs through the adapter and some of the shipped rules."""
-    rows = mesh.kernel_logs(_kernel(spark, sf))["k8s_service"]
-    wanted = {f"kubernetes_service_{m}" for m in ("connect_cpm", "connect_time", "connect_success_cpm", "write_package_size", "write_l4_time", "read_package_cpm", "http_call_cpm", "http_call_successful_rate", "http_status_4xx_cpm")}
-    rules = [r for r in catalog.by_source("k8s_service") if r.name in wanted]
-    return R.run(rows, rules).drop("label")
+    """Kernel and protocol logs through the adapter and all shipped rules of a service."""
+    rows = lookup(mesh.kernel_logs(_kernel(spark, sf))["k8s_service"], F.col("name"), THRESHOLDS, "apdex_threshold", 500)
+    return R.run(rows, catalog.by_source("k8s_service")).select("metric", "entity_id", "time_bucket", "value", "label")
 
 
 @query("src_ebpf_tcp", f"""{V} SELECT CASE WHEN k % 2 = 0 THEN name ELSE endpoint END AS source_service, CASE WHEN k % 2 = 0 THEN endpoint ELSE name END AS dest_service, CAST(sum(latency * 2) AS BIGINT) AS sent, CAST(sum(latency * 3) AS BIGINT) AS received FROM svc GROUP BY 1, 2""")
@@ -379,15 +398,21 @@ def src_browser(spark, sf):
     return _all_rules({"browser_app_traffic": clients.browser_traffic(perf, errors)["browser_app_traffic"]})
 
 
-@query("src_browser_perf", f"""{V}, r AS (SELECT base64(encode(name)) || '.1' AS entity_id, minute, endpoint, latency, ts FROM svc)
-SELECT 'browser_app_resource_duration_avg' AS metric, entity_id, {MIN}, CAST(CASE WHEN sum(latency) // count(*) = 0 AND sum(latency) > 0 THEN 1 ELSE sum(latency) // count(*) END AS DOUBLE) AS value, endpoint AS label FROM r GROUP BY entity_id, minute, endpoint
-UNION ALL SELECT 'browser_app_resource_type_count', entity_id, {MIN}, CAST(count(*) AS DOUBLE), 'css' FROM r GROUP BY entity_id, minute""")
+def _resources(metric, expr, label):
+    return f"SELECT 'browser_app_resource_{metric}' AS metric, entity_id, {MIN}, CAST({expr} AS DOUBLE) AS value, {label} AS label FROM r GROUP BY entity_id, minute, {label}"
+
+
+_UP = "CASE WHEN sum({0}) // count(*) = 0 AND sum({0}) > 0 THEN 1 ELSE sum({0}) // count(*) END".format
+
+
+@query("src_browser_perf", f"""{V}, r AS (SELECT base64(encode(name)) || '.1' AS entity_id, minute, endpoint, latency, k, 'h' || (k % 3 + 1) AS protocol, CASE WHEN k % 2 = 0 THEN 'css' ELSE 'img' END AS kind FROM svc) """ + " UNION ALL ".join([
+    _resources("duration_avg", _UP("latency"), "endpoint"), _resources("size_avg", _UP("k"), "endpoint"), _resources("protocol_count", "count(*)", "protocol"), _resources("type_count", "count(*)", "kind")]))
 def src_browser_perf(spark, sf):
     s = _s(spark, sf)
-    rows = s.select(F.col("name").alias("service"), F.col("ms").alias("ts"), F.col("endpoint").alias("name"), F.col("latency").alias("duration"), F.col("k").alias("size"), F.lit("h2").alias("protocol"), F.lit("css").alias("type"))
+    rows = s.select(F.col("name").alias("service"), F.col("ms").alias("ts"), F.col("endpoint").alias("name"), F.col("latency").alias("duration"), F.col("k").alias("size"),
+                    F.concat(F.lit("h"), (F.col("k") % 3 + 1).cast("string")).alias("protocol"), F.when(F.col("k") % 2 == 0, "css").otherwise("img").alias("type"))
     frame = clients.browser_app_perf(rows, ["name", "duration", "size", "protocol", "type"])
-    wanted = ("browser_app_resource_duration_avg", "browser_app_resource_type_count")
-    return R.run(frame, [r for r in catalog.by_source("browser_resource_perf") if r.name in wanted]).select("metric", "entity_id", "time_bucket", "value", "label")
+    return R.run(frame, catalog.by_source("browser_resource_perf")).select("metric", "entity_id", "time_bucket", "value", "label")
 
 
 def _mobile(spark, sf):

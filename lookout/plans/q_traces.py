@@ -43,7 +43,9 @@ _SEG = f"""seg AS (SELECT trace_id, segment_id, min(start_time) AS start_time, C
 
 @query("tr_segment", f"""{W}, {_SEG} SELECT trace_id, segment_id, start_time, latency, is_error, endpoint, {SID.format("'gateway'")} || '_' || base64(encode(endpoint)) AS endpoint_id, {_SEC} FROM seg""")
 def tr_segment(spark, sf):
-    return T.segment_rows(_segments(spark, sf)).select("trace_id", "segment_id", "start_time", "latency", "is_error", "endpoint", "endpoint_id", "time_bucket")
+    """Segment rows straight from spans: no span is gathered."""
+    s = fr.spans(spark, sf).withColumn("service", F.lit("gateway")).withColumn("instance", F.lit("g-1"))
+    return T.segment_rows_of(s).select("trace_id", "segment_id", "start_time", "latency", "is_error", "endpoint", "endpoint_id", "time_bucket")
 
 
 @query("fn_tags_search", f"""{W} SELECT DISTINCT segment_id, tag FROM (SELECT segment_id, unnest(['http.status_code=' || CASE WHEN is_error THEN '500' ELSE '200' END, 'db.type=' || CASE WHEN part % 2 = 0 THEN 'MySQL' ELSE 'mongodb' END, 'mq.topic=topic_' || (part % 4)]) AS tag FROM spans)""")
@@ -68,11 +70,11 @@ def tr_sampling(spark, sf):
     return T.sample_segments(rows, 3000, 6900).select("segment_id", T.sample_bucket(F.col("trace_id")).alias("bucket"))
 
 
-@query("join_sampling_policy", f"""{W}, s AS (SELECT trace_id, span_id, service, CAST(end_time - start_time AS BIGINT) AS latency, is_error FROM spans), p AS (SELECT 'cust_' || n_nationkey AS service, n_nationkey * 400 AS rate, CASE WHEN n_nationkey % 2 = 0 THEN 40 END AS duration FROM nation WHERE n_nationkey < 12),
+@query("join_sampling_policy", f"""{W}, s AS (SELECT trace_id, span_id, service, CAST(end_time - start_time AS BIGINT) AS latency, is_error FROM spans), p AS (SELECT 'cust_' || n_nationkey AS service, n_nationkey * 400 AS rate, CASE WHEN n_nationkey % 2 = 0 THEN 40 END AS duration FROM nation),
 j AS (SELECT s.*, coalesce(p.rate, 1000) AS r, coalesce(p.duration, 48) AS d, {_HASH} AS h FROM s LEFT JOIN p USING (service))
 SELECT trace_id, span_id FROM j WHERE {_BUCKET} < r OR latency >= d""")
 def join_sampling_policy(spark, sf):
-    policies = fr.table(spark, sf, "nation").filter("n_nationkey < 12").select(
+    policies = fr.table(spark, sf, "nation").select(
         F.concat(F.lit("cust_"), F.col("n_nationkey").cast("string")).alias("service"), (F.col("n_nationkey") * 400).alias("rate"),
         F.when(F.col("n_nationkey") % 2 == 0, 40).alias("duration"))
     rows = fr.spans(spark, sf).select("trace_id", "span_id", "service", (F.col("end_time") - F.col("start_time")).alias("latency"), "is_error")
@@ -129,28 +131,28 @@ def join_alias(spark, sf):
 
 @query("tr_logic_ep", f"""{W} SELECT trace_id, CASE WHEN part % 2 = 0 AND span_type = 'Local' THEN operation ELSE 'job-' || part END AS endpoint,
 CAST(CASE WHEN part % 2 = 0 AND span_type = 'Local' THEN end_time - start_time ELSE span_id END AS INTEGER) AS latency, CASE WHEN part % 2 = 0 AND span_type = 'Local' THEN NOT is_error ELSE true END AS status
-FROM spans WHERE span_type IN ('Local', 'Entry') AND (part % 2 = 1 OR span_type = 'Local') AND span_id > 0""")
+FROM spans WHERE span_type IN ('Local', 'Entry') AND (part % 2 = 1 OR span_type = 'Local')""")
 def tr_logic_ep(spark, sf):
     """Local spans that mark themselves and spans that name an endpoint."""
     return T.logic_endpoints(_logic(spark, sf)).select("trace_id", "endpoint", "latency", "status")
 
 
 def _logic(spark, sf):
-    s = fr.spans(spark, sf).filter("span_id > 0")
+    s = fr.spans(spark, sf)
     part = F.regexp_extract(F.filter("tags", lambda t: t["key"] == "db.statement")[0]["value"], r"(\d+)", 1)
     value = F.when(part.cast("bigint") % 2 == 0, F.lit('{"logic-span": true}')).otherwise(
         F.concat(F.lit('{"name": "job-'), part, F.lit('", "latency": '), F.col("span_id").cast("string"), F.lit(', "status": true}')))
     return s.withColumn("tags", F.array(F.struct(F.lit(T.TAG_LOGIC_ENDPOINT).alias("key"), value.alias("value"))))
 
 
-@query("fn_json_tag", f"""{W} SELECT trace_id, span_id, CASE WHEN part % 2 = 0 THEN NULL ELSE 'job-' || part END AS name, CASE WHEN part % 2 = 0 THEN true END AS marked FROM spans WHERE span_id > 0""")
+@query("fn_json_tag", f"""{W} SELECT trace_id, span_id, CASE WHEN part % 2 = 0 THEN NULL ELSE 'job-' || part END AS name, CASE WHEN part % 2 = 0 THEN true END AS marked FROM spans""")
 def fn_json_tag(spark, sf):
-    v = F.col("tags")[0]["value"]
-    return _logic(spark, sf).select("trace_id", "span_id", F.get_json_object(v, "$.name").alias("name"), F.get_json_object(v, "$.logic-span").cast("boolean").alias("marked"))
+    found = text.json_fields(F.col("tags")[0]["value"], {"name": "string", "logic-span": "boolean"})
+    return _logic(spark, sf).select("trace_id", "span_id", found["name"].alias("name"), found["logic-span"].alias("marked"))
 
 
 @query("tr_cross_thread", f"""{W} SELECT trace_id, span_id, CASE WHEN span_layer = 'MQ' THEN peer ELSE 'cust_' || (part % 20) END AS source_service, '/order/' || (part % 5) AS source_endpoint, service AS dest_service, operation AS dest_endpoint
-FROM spans WHERE span_type IN ('Exit', 'Local') AND span_id > 0""")
+FROM spans WHERE span_type IN ('Exit', 'Local')""")
 def tr_cross_thread(spark, sf):
     s = fr.spans(spark, sf)
     # the tables hold references of entry spans only: give the same reference to exit and local spans
@@ -158,7 +160,7 @@ def tr_cross_thread(spark, sf):
     ref = F.struct(F.lit("CrossThread").alias("ref_type"), F.col("trace_id"), F.col("segment_id").alias("parent_segment_id"), F.col("parent_span_id"),
                    F.concat(F.lit("cust_"), (part % 20).cast("string")).alias("parent_service"), F.concat(F.lit("i_"), (part % 30).cast("string")).alias("parent_instance"),
                    F.concat(F.lit("/order/"), (part % 5).cast("string")).alias("parent_endpoint"), F.col("peer").alias("network_address"))
-    return T.cross_thread_calls(s.filter("span_id > 0").withColumn("refs", F.array(ref))).select("trace_id", "span_id", "source_service", "source_endpoint", "dest_service", "dest_endpoint")
+    return T.cross_thread_calls(s.withColumn("refs", F.array(ref))).select("trace_id", "span_id", "source_service", "source_endpoint", "dest_service", "dest_endpoint")
 
 
 # ---- virtual services ----
@@ -248,27 +250,35 @@ def join_span_parent(spark, sf):
     return T.roots(T.with_keys(fr.spans(spark, sf))).select("trace_id", "span_id")
 
 
-@query("q_trace_detail", f"""WITH RECURSIVE {fr.SPANS}, tree AS (
-  SELECT trace_id, span_id, 1 AS depth, CAST(start_time AS VARCHAR) || ':' || span_id AS path FROM (SELECT s.* FROM spans s LEFT JOIN (SELECT DISTINCT trace_id, span_id FROM spans) p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id WHERE p.span_id IS NULL) s
-  UNION ALL SELECT s.trace_id, s.span_id, t.depth + 1, t.path || '/' || s.start_time || ':' || s.span_id FROM spans s JOIN tree t ON s.trace_id = t.trace_id AND s.parent_span_id = t.span_id)
-SELECT trace_id, span_id, CAST(depth AS INTEGER) AS depth, path FROM tree""")
+_TREE = f"""WITH RECURSIVE {fr.SPANS}, tree AS (
+  SELECT trace_id, span_id, 1 AS depth, [(start_time, segment_id, span_id)] AS path FROM (SELECT s.* FROM spans s LEFT JOIN (SELECT DISTINCT trace_id, span_id FROM spans) p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id WHERE p.span_id IS NULL) s
+  UNION ALL SELECT s.trace_id, s.span_id, t.depth + 1, list_append(t.path, (s.start_time, s.segment_id, s.span_id)) FROM spans s JOIN tree t ON s.trace_id = t.trace_id AND s.parent_span_id = t.span_id)"""
+
+
+@query("q_trace_detail", f"""{_TREE} SELECT trace_id, span_id, CAST(depth AS INTEGER) AS depth, row_number() OVER (PARTITION BY trace_id ORDER BY path) AS position FROM tree""")
 def q_trace_detail(spark, sf):
-    """Every trace of the tables as an ordered tree: ordering by (trace_id, path) lists it."""
-    tree = T.order_tree(T.with_keys(fr.spans(spark, sf)))
-    path = F.array_join(F.transform("path", lambda p: F.concat_ws(":", p["t"].cast("string"), p["s"].cast("string"))), "/")
-    return tree.select("trace_id", "span_id", "depth", path.alias("path"))
+    """Every trace of the tables as an ordered tree: ordering by (trace_id, position) lists it."""
+    return T.order_tree(T.with_keys(fr.spans(spark, sf))).select("trace_id", "span_id", "depth", "position")
+
+
+@query("q_trace_page", f"""{_TREE}, {_SEG}, pick AS (SELECT trace_id FROM seg ORDER BY latency DESC, segment_id LIMIT 10)
+SELECT trace_id, span_id, CAST(depth AS INTEGER) AS depth, row_number() OVER (PARTITION BY trace_id ORDER BY path) AS position FROM tree WHERE trace_id IN (SELECT trace_id FROM pick)""")
+def q_trace_page(spark, sf):
+    """The trees of a page of the slowest traces: only the page's spans are walked."""
+    page = T.sorted_traces(T.segment_rows(_segments(spark, sf)), "duration").limit(10)
+    return T.order_tree(T.with_keys(fr.spans(spark, sf)), page).select("trace_id", "span_id", "depth", "position")
 
 
 def _events(spark, sf):
-    """Two kernel events per span of every third line number."""
-    s = fr.spans(spark, sf).filter("span_id % 3 = 1")
+    """Two kernel events per span."""
+    s = fr.spans(spark, sf)
     kinds = F.array(F.struct(F.lit("request").alias("data_type"), F.lit("inbound").alias("data_direction")),
                     F.struct(F.lit("request").alias("data_type"), F.lit("outbound").alias("data_direction")))
     return s.select("trace_id", "segment_id", F.col("span_id").cast("string").alias("span_id"), F.expr("start_time div 1000").alias("start_seconds"),
                     (F.col("end_time") % 1000).alias("start_nanos"), F.explode(kinds).alias("k")).select("*", "k.*").withColumn("event", F.concat_ws("-", "span_id", "data_direction"))
 
 
-_EV = "ev AS (SELECT trace_id, segment_id, span_id, start_time // 1000 AS start_seconds, end_time % 1000 AS start_nanos, dir AS data_direction, span_id || '-' || dir AS event FROM spans, (VALUES ('inbound'), ('outbound')) d(dir) WHERE span_id % 3 = 1)"
+_EV = "ev AS (SELECT trace_id, segment_id, span_id, start_time // 1000 AS start_seconds, end_time % 1000 AS start_nanos, dir AS data_direction, span_id || '-' || dir AS event FROM spans, (VALUES ('inbound'), ('outbound')) d(dir))"
 
 
 @query("join_span_events", f"""{W}, {_EV}, en AS (SELECT trace_id, parent_span_id, arg_min(span_id, (start_time, segment_id || 'S' || span_id)) AS child FROM spans WHERE span_type = 'Entry' AND span_id > 0 GROUP BY ALL)
@@ -312,8 +322,9 @@ def traceql_ops(spark, sf):
 (SELECT trace_id FROM a INTERSECT SELECT trace_id FROM b) UNION SELECT trace_id FROM c""")
 def set_spanset(spark, sf):
     s, q = fr.spans(spark, sf), traceql
-    by = lambda name, *more: q.spanset(s, q.field("service", "=", name), *more)
-    return q.either(q.both(by("supp_1"), by("supp_2")), by("supp_3", q.status("=", "error")))
+    of = lambda name: q.field("service", "=", name)
+    return q.traces_where(s, {"one": of("supp_1"), "two": of("supp_2"), "failed": q.all_of(of("supp_3"), q.status("=", "error"))},
+                          lambda one, two, failed: (one & two) | failed)
 
 
 @query("q_traceql_search", f"""{W}, m AS (SELECT DISTINCT trace_id FROM spans WHERE service = 'supp_7' AND is_error)
@@ -366,9 +377,13 @@ def zipkin_filter(spark, sf):
 
 @query("join_tags_zipkin", f"{W}, {_ZK} SELECT trace_id, CAST(span_id AS VARCHAR) AS span_id FROM zk WHERE method = 'POST' AND NOT is_error")
 def join_tags_zipkin(spark, sf):
-    rows = zipkin.span_rows(_zipkin(spark, sf)).withColumn("key", F.concat_ws("-", "trace_id", "span_id"))
-    tags = rows.select("key", F.explode("query").alias("tag"))
-    return T.by_tag_table(rows, tags, ["http.method=POST", "long=y"], "key").select("trace_id", "span_id")
+    return T.with_tags(zipkin.span_rows(_zipkin(spark, sf)), "query", ["http.method=POST", "long=y"]).select("trace_id", "span_id")
+
+
+@query("join_tags_zipkin_trace", f"{W}, {_ZK} SELECT trace_id FROM zk GROUP BY 1 HAVING bool_or(method = 'POST') AND bool_or(note = 'boom')")
+def join_tags_zipkin_trace(spark, sf):
+    """Traces whose spans have both tags among them, wherever each stands."""
+    return T.with_tags(zipkin.span_rows(_zipkin(spark, sf)), "query", ["http.method=POST", "boom"], "trace_id")
 
 
 @query("agg_zipkin_dict", f"""{W}, {_ZK} SELECT DISTINCT 'service' AS kind, local_service AS a, '' AS b FROM zk UNION SELECT DISTINCT 'span', local_service, name FROM zk UNION SELECT DISTINCT 'remote', local_service, remote_service FROM zk WHERE remote_service IS NOT NULL""")
@@ -611,12 +626,13 @@ def join_profile_segment(spark, sf):
     return profiles.select_snapshots(_snapshots(spark, sf), _profile_queries(spark, sf), 100000).select("segment_id", "sequence", "dump_time")
 
 
-@query("q_profile", f"{S}, {_SNAP}, {_PICK.format(limit=100)}, {_FLAME.format(t='picked')}")
+@query("q_profile", f"""{S}, {_SNAP}, {_PICK.format(limit=100)}, covered AS (SELECT CAST(sum(n) AS BIGINT) AS found FROM (SELECT max(sequence) + 1 - min(sequence) AS n FROM snap JOIN q ON q.segment_id = snap.segment_id AND dump_time BETWEEN s AND e GROUP BY snap.segment_id, s, e)),
+flame AS (WITH {_FLAME.format(t='picked')}) SELECT *, NULL AS tip FROM flame UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'The tree covers 100 of ' || found || ' snapshots.' FROM covered WHERE found > 100""")
 def q_profile(spark, sf):
-    """Flame graphs of chosen segments; at most 100 snapshots of each are analysed."""
-    picked = profiles.select_snapshots(_snapshots(spark, sf), _profile_queries(spark, sf), 100)
-    out = profiles.flame_from_snapshots(picked)
-    return out.select("segment_id", F.array_join("path", ">").alias("path"), "count", "duration", "self_duration")
+    """Flame graphs of chosen segments; at most 100 snapshots of each are analysed, and a tip says how many there are."""
+    trees, tip = profiles.analyse(_snapshots(spark, sf), _profile_queries(spark, sf), 100)
+    trees = trees.select("segment_id", F.array_join("path", ">").alias("path"), "count", "duration", "self_duration")
+    return trees.unionByName(tip.select("tip"), allowMissingColumns=True)
 
 
 @query("agg_flame_merge", f"""{S}, n AS (SELECT segment_id, p, sum(weight) AS total FROM (SELECT segment_id, unnest({_PATHS}) AS p, weight FROM stacks) GROUP BY ALL), own AS (SELECT segment_id, stack AS p, sum(weight) AS self FROM stacks GROUP BY ALL)

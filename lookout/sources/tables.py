@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +54,26 @@ def parse_kind(routed: DataFrame, kind: str, schema: str | T.StructType) -> Data
     return routed.filter(F.col("kind") == kind).select(body.alias("_b")).filter(F.col("_b").isNotNull()).select("_b.*")
 
 
+def read_range(spark: SparkSession, base: str, start_day: int, end_day: int) -> DataFrame:
+    """One frame over the tables below ``base`` that a range of days touches; columns that a table lacks are null.
+
+    Each table is a folder whose name ends with its year, month or day (``records_202401``, ``day=20240115``), with
+    columns of its own. Tables with equal columns are read together, so the plan has one scan for each set of
+    columns, not for each table. Rows outside the range that share a table with it are not filtered here.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    same: dict[str, list[str]] = {}
+    for folder in sorted(str(f.getPath()) for f in found or ()):
+        digits = re.search(r"(\d{4}(?:\d\d){0,2})$", folder)
+        if digits and int(digits[1].ljust(8, "0")) <= end_day and int(digits[1].ljust(8, "9")) >= start_day:
+            same.setdefault(spark.read.parquet(folder).schema.json(), []).append(folder)
+    if not same:
+        raise ValueError(f"no table below {base} between {start_day} and {end_day}")
+    frames = [spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*folders) for schema, folders in same.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_metrics(spark: SparkSession, path: str, metric: str, start_day: int | None = None, end_day: int | None = None) -> DataFrame:
     """The metric table, partitioned by metric and day: both filters prune directories."""
     out = spark.read.parquet(path).filter(F.col("metric") == metric)

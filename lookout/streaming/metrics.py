@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timebucket import bucket_of
 from ..operators import rules as R
+from ..operators.alarms import AlarmRule
 from ..operators.topk import first_per_group
 from ..sinks import state_table
 
@@ -73,6 +74,36 @@ def late_rows(source: DataFrame, watermark: Column, ts: str = "ts") -> DataFrame
     return source.filter(F.col(ts) < watermark)
 
 
+def late_batch(path: str, rule: AlarmRule) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that writes the values an alarm rule may see to ``path/fresh`` and those that come too
+    late for its window to ``path/late``, by batch, as :func:`lookout.operators.alarms.split_late` does for arrivals.
+
+    Each batch leaves its newest minute under ``path/newest``; the window ends with the newest of this and all earlier batches. A
+    repeated batch looks at earlier ones only and replaces its own rows.
+    """
+    kind = "newest long, batch long"
+
+    def write(rows: DataFrame, name: str, batch_id: int) -> None:
+        (rows.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(f"{path}/{name}"))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumn("_tick", F.expr("unix_seconds(cast(minute as timestamp)) div 60")).persist()
+        try:
+            newest = rows.agg(F.max("_tick")).first()[0]
+            if newest is None:
+                return
+            write(spark.createDataFrame([(newest,)], "newest long"), "newest", batch_id)
+            newest = spark.read.schema(kind).parquet(f"{path}/newest").filter(F.col("batch") <= batch_id).agg(F.max("newest")).first()[0]
+            late = F.col("_tick") <= newest - rule.period
+            write(rows.filter(~late).drop("_tick"), "fresh", batch_id)
+            write(rows.filter(late).drop("_tick"), "late", batch_id)
+        finally:
+            rows.unpersist()
+    return run
+
+
 def top_batch(path: str, n: int = 50, value: str = "latency", tie: str = "statement") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that appends the largest records of each entity and minute of the batch; reading takes
     the largest of all batches again, which gives the same rows as one pass."""

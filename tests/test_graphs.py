@@ -81,7 +81,7 @@ def tree(spark, data):
 
 
 def listing(df):
-    return [r["span_key"] for r in T.order_tree(df).orderBy("trace_id", "path").collect()]
+    return [r["span_key"] for r in T.order_tree(df).orderBy("trace_id", "position").collect()]
 
 
 def test_tree_is_listed_depth_first(spark):
@@ -95,6 +95,99 @@ def test_deep_chain_and_cycle(spark):
     assert listing(tree(spark, chain + cycle)) == [f"aS{i}" for i in range(70)]
 
 
+def test_deep_and_wide_trees_and_pages(spark):
+    from pyspark.sql import Window
+
+    n = 10_000
+    i = F.col("id").cast("int")
+    chain = spark.range(n).select(F.lit("deep").alias("trace_id"), F.lit("a").alias("segment_id"), i.alias("span_id"), (i - 1).alias("parent_span_id"), F.lit(0).cast("bigint").alias("start_time"))
+    wide = spark.range(n).select(F.lit("wide").alias("trace_id"), F.lit("a").alias("segment_id"), i.alias("span_id"), F.when(i == 0, -1).otherwise(0).alias("parent_span_id"), (n - F.col("id")).alias("start_time"))
+    df = T.with_keys(chain.unionByName(wide).withColumn("refs", F.from_json(F.lit("[]"), REFS)))
+    got = T.order_tree(df)
+    assert got.count() == 2 * n
+    assert got.filter("trace_id = 'deep' and (position <> span_id + 1 or depth <> span_id + 1)").count() == 0
+    assert got.filter(f"trace_id = 'wide' and (position <> if(span_id = 0, 1, {n} - span_id + 1) or depth <> if(span_id = 0, 1, 2))").count() == 0
+    page = T.order_tree(df, spark.createDataFrame([("wide",), ("none",)], "trace_id string"))
+    assert page.count() == n and rows(page.select("trace_id").distinct()) == [("wide",)]
+    assert rows(page.filter("span_id in (0, 1)"), "span_id", "position", "depth") == [(0, 1, 1), (1, n, 2)]
+
+
+def test_random_forests_equal_a_walk(spark):
+    import random
+
+    rng = random.Random(4)
+    data = [(f"t{rng.randint(0, 3)}", f"s{rng.randint(0, 2)}", i, rng.randint(-1, i + 2), rng.randint(0, 9)) for i in range(120)]
+    data = [(t, s, i, -1 if p >= i else p, st) for t, s, i, p, st in data]
+    df = spark.createDataFrame(data, "trace_id string, segment_id string, span_id int, parent_span_id int, start_time bigint")
+    keyed = T.with_keys(df.withColumn("refs", F.from_json(F.lit("[]"), REFS)))
+    want = {}
+    for t in {d[0] for d in data}:
+        spans = {(s, i): (st, s, i, p) for tt, s, i, p, st in data if tt == t}
+        kids = {}
+        for (s, i), (st, _, _, p) in spans.items():
+            kids.setdefault((s, p) if (s, p) in spans else None, []).append((st, s, i))
+        count = [0]
+
+        def walk(node, depth):
+            for st, s, i in sorted(kids.get(node, [])):
+                count[0] += 1
+                want[t, s, i] = (count[0], depth)
+                walk((s, i), depth + 1)
+        walk(None, 1)
+    got = {(r.trace_id, r.segment_id, r.span_id): (r.position, r.depth) for r in T.order_tree(keyed).collect()}
+    assert got == want
+
+
+def test_set_algebra_reads_spans_once(spark):
+    from lookout.operators import traceql as q
+
+    df = spark.createDataFrame([("x", "a", False), ("x", "b", True), ("y", "a", True), ("z", "c", True), ("w", "d", False)], "trace_id string, service string, is_error boolean")
+    got = q.traces_where(df, {"a": q.field("service", "=", "a"), "b": q.field("service", "=", "b"), "bad": q.all_of(q.field("service", "=", "c"), q.status("=", "error"))},
+                         lambda a, b, bad: (a & b) | bad)
+    assert rows(got) == [("x",), ("z",)]
+    assert rows(q.traces_where(df, {"a": q.field("service", "=", "a"), "b": q.field("service", "=", "b")}, lambda a, b: a & ~b)) == [("y",)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + got._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1
+    tagged = spark.createDataFrame([("k", ["a", "b"]), ("k", ["c"]), ("l", ["a"])], "key string, tags array<string>")
+    assert rows(T.with_tags(tagged, "tags", ["a", "c", "a"], "key")) == [("k",)] and T.with_tags(tagged, "tags", ["a", "b"]).count() == 1
+
+
+def test_segment_rows_from_spans_equal_those_from_segments(spark):
+    from lookout.plans import frames as fr
+
+    s = fr.spans(spark, "/root/testdata/sf0.001").withColumn("service", F.lit("g")).withColumn("instance", F.lit("i"))
+    for mode in ("any", "first", "entry"):
+        one, other = T.segment_rows_of(s, error_mode=mode), T.segment_rows(T.gather_segments(s), error_mode=mode)
+        assert one.columns == other.columns
+        assert rows(one) == rows(other.withColumn("tags", F.sort_array("tags")).withColumn("is_error", F.coalesce("is_error", F.lit(False))))
+
+
+# ---- lookups with uneven keys ----
+
+def test_heavy_keys_are_dealt_over_tasks(spark):
+    from lookout.plans.runtime import lookup_join
+
+    rows_ = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"), "id")
+    table = spark.range(997).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("v")).unionByName(spark.createDataFrame([("hot", -1)], "k string, v bigint"))
+    want = rows(rows_.join(table, "k", "left"))
+    assert rows(lookup_join(rows_, table, ["k"])) == want  # broadcast
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(before, ("false", "16", "-1")):
+            spark.conf.set(c, v)
+        salted = lookup_join(rows_, table, ["k"], broadcast_rows=10, fraction=0.5)
+        per = sorted(r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect())
+        assert len(per) == 16 and per[-1] < 3 * 40_000 / 16
+        plain = sorted(r["count"] for r in rows_.join(table, "k", "left").groupBy(F.spark_partition_id()).count().collect())
+        assert plain[-1] > 20_000
+        assert rows(salted) == want
+        assert rows(lookup_join(rows_, table, ["k"], "inner", broadcast_rows=0, fraction=0.5)) == rows(rows_.join(table, "k"))
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    with pytest.raises(ValueError):
+        lookup_join(rows_, table, ["k"], "full")
+
+
 # ---- topologies ----
 
 def sid(name, normal=True):

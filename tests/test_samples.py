@@ -10,7 +10,7 @@ from lookout.functions import labels as L
 from lookout.operators import alarms, counters
 from lookout.operators import samples as M
 
-from conftest import rows
+from conftest import SF, rows
 
 SCHEMA = "name string, labels map<string,string>, ts bigint, value double, seq bigint"
 
@@ -180,6 +180,9 @@ def test_yaml_bodies_keep_what_is_nested(spark):
     got = G.yaml_fields(body)
     assert got["a"] == "2" and got["url"] == "http://h:1/x" and got["e"] == "" and got["f"] == "g: h"
     assert json.loads(got["b"]) == {"c": "two words", "d": ["x", {"y": "1", "z": "q"}]} and json.loads(got["list"]) == ["p", "q"]
+    deep = "a: |\n  one\n\n  # two\nb: >\n  x\n  y\n\n  z\nkeep: |+\n  k\n\nstrip: >-\n  s\n    t\n  u\nc: [1, 'p, q', {k: v}]\nd: {a: [b, c],\n  e: f}\ng:\n  - h: |-\n      in\n  - [u, w]\nq: a: b\nr: [unclosed\n"
+    assert G.yaml_fields(deep) == {"a": "one\n\n# two\n", "b": "x y\nz\n", "keep": "k\n\n", "strip": "s\n  t\nu", "c": '["1", "p, q", {"k": "v"}]', "d": '{"a": ["b", "c"], "e": "f"}',
+                                   "g": '[{"h": "in"}, ["u", "w"]]', "q": "a: b", "r": "[unclosed"}
     assert G.yaml_fields("no map") is None and G.yaml_fields(None) is None and G.yaml_fields("") is None
 
 
@@ -190,3 +193,84 @@ def test_retention_by_granularity(spark):
     assert writers.ttl_of("metrics", "day", {"metrics": 9, "metrics.hour": 30}) == 9
     got = rows(writers.retention_frame(spark, {"metrics.day": 90}))
     assert got == rows(spark.createDataFrame([("records", None, 3), ("metrics", "minute", 7), ("metrics", "hour", 7), ("metrics", "day", 90)], "category string, granularity string, days int"))
+
+
+# ---- alarms ----
+
+@pytest.mark.parametrize("silence,recovery,chunk", [(5, 0, 7), (2, 3, 4), (0, 0, 1), (1, 2, 1440)])
+def test_chunks_of_an_alarm_series_equal_one_run(spark, silence, recovery, chunk):
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(silence * 10 + recovery)
+    rule = alarms.AlarmRule("r", dict, lambda: F.lit(True), 1, silence=silence, recovery=recovery)
+    data = [(e, t, rng.random() < p) for e, p in (("a", 0.5), ("b", 0.9), ("c", 0.15)) for t in range(1000, 1090) if e != "b" or rng.random() < 0.95]
+    df = spark.createDataFrame(data, "entity_id string, tick bigint, match boolean").withColumn("minute", F.timestamp_seconds(F.col("tick") * 60))
+    got = {(r.entity_id, r.tick): r.state for r in alarms.states(df, rule, chunk=chunk).withColumn("tick", F.expr("unix_seconds(minute) div 60")).collect()}
+    want = {}
+    for e in "abc":
+        mine = sorted((t, m) for ee, t, m in data if ee == e)
+        found, _ = alarms.run_machine(pd.DataFrame(mine, columns=["tick", "match"]), silence, recovery)
+        want |= {(e, t): s for (t, _), s in zip(mine, found)}
+    assert got == want
+
+
+def test_recovery_names_its_firing_and_shows_its_values(spark):
+    rule = alarms.AlarmRule("slow", lambda: {"hits": F.sum((F.col("v") > 5).cast("int"))}, lambda: F.col("hits") >= 1, 2, silence=1, recovery=0, message="{name} is slow",
+                            expression="sum(v > 5) >= 1", hooks=("h",), layers=("GENERAL",))
+    data = [("s", m, v) for m, v in enumerate([9, 1, 1, 1, 1, 8, 1, 1, 1, 1])]
+    df = spark.createDataFrame(data, "entity_id string, m bigint, v int").withColumn("minute", F.timestamp_seconds(F.col("m") * 60))
+    out = alarms.evaluate(df, rule, values=("v",)).withColumn("m", F.expr("unix_seconds(minute) div 60"))
+    found = {r.m: r for r in out.collect()}
+    assert {m: r.state for m, r in found.items()} == {0: "FIRING", 2: "RECOVERED", 5: "FIRING", 7: "RECOVERED"}
+    assert [found[m].firing_id for m in (0, 2, 5, 7)] == ["slow@s@0", "slow@s@0", "slow@s@300", "slow@s@300"]
+    assert [[x.v for x in found[m].snapshot] for m in (0, 2, 5, 7)] == [[9], [9], [1, 8], [1, 8]]
+    assert found[2].hooks == ["h"] and found[2].expression == "sum(v > 5) >= 1" and found[2].layers == ["GENERAL"] and found[2].recovered
+
+
+def test_values_behind_the_window_are_late(spark):
+    rule = alarms.AlarmRule("r", dict, lambda: F.lit(True), 3)
+    # (minute, arrival)
+    data = [(10, 1), (11, 2), (8, 2), (9, 2), (20, 3), (17, 3), (18, 3), (12, 1500), (19, 1500), (16, 4)]
+    df = spark.createDataFrame(data, "m bigint, arrival bigint").withColumn("minute", F.timestamp_seconds(F.col("m") * 60))
+    fresh, late = alarms.split_late(df, rule)
+    assert rows(late, "m", "arrival") == sorted([(8, 2), (17, 3), (12, 1500), (16, 4)], key=lambda r: tuple(map(str, r)))
+    assert fresh.count() == 6 and alarms.split_late(df.filter("false"), rule)[1].count() == 0
+
+
+def test_rules_of_tagged_frames_in_one_pass(spark):
+    from lookout.operators import rules as R
+    from lookout.plans import catalog
+    from lookout.plans.q_sources import _jvm
+    from lookout.sources import runtimes
+
+    snapshots = _jvm(spark, SF).withColumn("gc", F.when(F.col("cpu") > 1, F.col("gc")))
+    frames = runtimes.jvm(snapshots)
+    got = R.run_tagged(runtimes.jvm_tagged(snapshots), [r for s in frames for r in catalog.by_source(s)])
+    want = None
+    for source, df in frames.items():
+        part = R.run(df, catalog.by_source(source)).drop("label")
+        want = part if want is None else want.unionByName(part)
+    assert rows(got, "metric", "entity_id", "time_bucket", "value") == rows(want, "metric", "entity_id", "time_bucket", "value")
+
+
+def test_tables_of_a_range_with_different_columns(spark, tmp_path):
+    from lookout.sources.tables import read_range
+
+    base = str(tmp_path / "t")
+    for name, columns in (("r_202401", "1 as a"), ("r_202402", "2 as a, 'x' as b"), ("r_202403", "3 as a, 'y' as b"), ("r_202404", "4 as a"), ("other", "9 as a")):
+        spark.sql(f"select {columns}").write.parquet(f"{base}/{name}")
+    got = read_range(spark, base, 20240131, 20240315)
+    assert rows(got, "a", "b") == [(1, None), (2, "x"), (3, "y")]
+    with pytest.raises(ValueError):
+        read_range(spark, base, 20250101, 20250102)
+
+
+def test_variables_of_a_rule(spark):
+    from lookout.operators import logs as G
+
+    df = spark.createDataFrame([("7", False), ("2", False), ("5", True)], "x string, aborted boolean")
+    out = G.define(df, n=lambda v: F.col("x").cast("int"), twice=lambda v: v.n * 2)
+    out = G.define(out, n=lambda v: v.twice + 1)
+    assert rows(out.select("x", G.defined("n").alias("n"), G.defined("twice").alias("t"))) == [("2", 5, 4), ("5", None, None), ("7", 15, 14)]

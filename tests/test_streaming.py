@@ -119,6 +119,100 @@ def test_late_rows_of_a_folded_day_count_once(spark, tmp_path):
     assert state_table.read(spark, path).count() == R.states(df, RULES).count()
 
 
+def folders(df):
+    """Folders of the files that a scan reads, below the table's path."""
+    return sorted({r[0].rsplit("/", 1)[0].split("rea0/t", 1)[1] for r in df.select(F.input_file_name()).distinct().collect()})
+
+
+def test_a_fold_is_all_that_is_read_and_old_files_go_later(spark, tmp_path):
+    df = few_days(spark)
+    path = str(tmp_path / "t")
+    write = metrics.upsert_batch(path, KEYED)
+    cols = ("metric", "entity_id", "time_bucket", "value", "label")
+    for b in range(3):
+        write(df.filter(f"event_id % 4 = {b}"), b)
+    early = state_table.read(spark, path)
+    before = rows(early.select("entity_id", "time_bucket", "batch"))
+    state_table.compact(spark, path, KEYED)
+    after = state_table.read(spark, path)
+    assert folders(after) == ["_folded/day=20240104/upto=2", "_folded/day=20240105/upto=2"]
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "upto" in plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    # within the time to keep, a reader that started before the fold still answers
+    assert state_table.vacuum(spark, path) == 0 and rows(early.select("entity_id", "time_bucket", "batch")) == before
+    write(df.filter("event_id % 4 = 3"), 3)
+    want = rows(R.run(df, KEYED), *cols)
+    assert rows(state_table.values(spark, path, KEYED), *cols) == want
+    assert state_table.vacuum(spark, path, keep_ms=0) == 12  # three batches of two days, plain and keyed
+    assert rows(state_table.values(spark, path, KEYED), *cols) == want
+    write(df.filter("event_id % 4 = 1"), 1)  # a repeated batch that a fold holds
+    assert rows(state_table.values(spark, path, KEYED), *cols) == want
+    state_table.compact(spark, path, KEYED)
+    state_table.vacuum(spark, path, keep_ms=0)
+    assert folders(state_table.read(spark, path)) == ["_folded/day=20240104/upto=3", "_folded/day=20240105/upto=3"]
+    assert rows(state_table.values(spark, path, KEYED), *cols) == want
+    assert state_table.expire(spark, path, 20240108, 3) == [20240104]
+    assert rows(state_table.values(spark, path, KEYED), *cols) == rows(R.run(df.filter("time_bucket div 100 = 20240105"), KEYED), *cols)
+    assert state_table.expire_all(spark, {path: ("metrics", "hour")}, 20240120, {"metrics.hour": 1}) == {path: [20240105]}
+
+
+def files_in(path):
+    import pathlib
+
+    return sorted(str(p.parent.relative_to(path)) for p in pathlib.Path(path).rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("flush", ["1 hour"])
+def test_cached_states_are_written_once_per_flush(spark, tmp_path, flush):
+    from lookout.streaming import cache
+
+    df = few_days(spark).withColumn("time_bucket", F.col("minute")).filter("entity_id in ('svc_1', 'svc_2')")
+    hours = F.col("event_id") % 5  # rows of any time arrive in any of five hours, a late one too
+    df = df.withColumn("arrived", F.timestamp_seconds(F.when(F.col("event_id") % 50 == 7, 40).otherwise(hours) * 60 + 1_000_000))
+    last = df.limit(1).withColumn("entity_id", F.lit("last")).withColumn("arrived", F.timestamp_seconds(F.lit(1_900_000)))
+    cols = ("metric", "entity_id", "time_bucket", "value", "label")
+    want = rows(R.run(df, KEYED), *cols)
+    written = []
+    for n in (2, 5):
+        base = tmp_path / str(n)
+        base.mkdir()
+        folder = parts(spark, base, df, n=n, order="arrived")
+        src = tables.read_stream(spark, folder, df.schema, files_per_trigger=1)
+        path, hour = str(base / "t"), str(base / "hour")
+
+        def drain():
+            for q in cache.stream_cached(src, path, KEYED, str(base / "cp"), hour, arrival=F.col("arrived"), flush=flush, trigger={"availableNow": True}):
+                q.awaitTermination(180)
+                assert q.exception() is None
+
+        drain()
+        last.coalesce(1).write.mode("append").parquet(folder)
+        drain()
+        got = rows(state_table.values(spark, path, KEYED).filter("entity_id <> 'last'"), *cols)
+        assert got == want
+        hourly = R.values(state_table.merged(spark, hour, RULES), RULES).filter("entity_id <> 'last'")
+        assert rows(hourly) == rows(R.values(R.rollup(R.states(df, RULES), RULES), RULES))
+        written.append((files_in(path), len(files_in(path + "_keyed"))))
+        held = spark.read.format("statestore").option("stateVarName", "held").load(str(base / "cp" / "plain"))
+        assert rows(held.select("key.entity_id")) == [("last",)]
+    assert len(set(written[0][0])) == len(set(written[1][0])) == 2  # one partition a day, however many batches
+    assert len(written[0][0]) == len(written[1][0]) and written[0][1] == written[1][1]
+
+
+def test_late_rows_of_an_alarm_stream_go_to_a_side_table(spark, tmp_path):
+    rule = alarms.AlarmRule("r", dict, lambda: F.lit(True), 3)
+    data = [(10, 0), (11, 0), (9, 1), (8, 1), (20, 1), (17, 2), (18, 2), (19, 2), (25, 3), (22, 3)]
+    df = spark.createDataFrame(data, "m bigint, arrival bigint").withColumn("minute", F.timestamp_seconds(F.col("m") * 60))
+    path = str(tmp_path / "t")
+    write = metrics.late_batch(path, rule)
+    for b in (0, 1, 2, 2, 1, 3):  # repeated batches see what they saw at first
+        write(df.filter(F.col("arrival") == b), b)
+    write(df.filter("false"), 4)
+    fresh, late = alarms.split_late(df, rule)
+    assert rows(spark.read.parquet(f"{path}/late"), "m", "arrival") == rows(late, "m", "arrival") and late.count() == 4
+    assert rows(spark.read.parquet(f"{path}/fresh"), "m", "arrival") == rows(fresh, "m", "arrival")
+
+
 def test_metric_table_is_pruned_by_metric_and_day(spark, tmp_path):
     path = str(tmp_path / "m")
     table = R.run(few_days(spark), KEYED)
