@@ -8,6 +8,8 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import table
+
 # License texts and notices as their authors publish them.
 KNOWN = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -59,22 +61,30 @@ WORDINGS = (("ISC", "and/or distribute", "and distribute"), ("BSD-2-Clause", r"(
             ("Unlicense", "http://unlicense.org/?", "https://unlicense.org"))
 #: what follows this line tells how to use the license
 END = "END OF TERMS AND CONDITIONS"
-#: a line that names the owner or reserves rights, as the SQL has it
-OWNER_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
-#: one after comment signs; the words "copyright notice" or "copyright holders" at the start of a line name nobody
-OWNED = (r"(^|\n)[ \t/*#;%!<>|-]*+(copyright[ \t:]*+(\(c\)|©|[0-9]{4}|[\[{<])|\(c\)[ \t]*+([0-9]{4}|copyright)|©|all rights reserved)[^\n]*")
-#: runs of white space and signs other than line feeds
-SIGNS = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{a0}“”‘’–—…©®™]+"
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+#: a line that names the owner or reserves rights, after comment signs; the words "copyright notice" or "copyright holders" at the start
+#: of a line name nobody
+OWNED = (rf"(^|\n)[ \t/*#;%!<>|-]*({_any_case('copyright')}[ \t:]*(\([Cc]\)|©|[0-9]{{4}}|[\[{{<])|\([Cc]\)[ \t]*([0-9]{{4}}|{_any_case('copyright')})|©|"
+         rf"{_any_case('all rights reserved')})[^\n]*")
+#: white space and signs other than line feeds, of which a run counts as one space
+SIGNS = ("".join(chr(i) for r in ((0x00, 0x09), (0x0B, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)) for i in range(r[0], r[1] + 1))
+         + "\u00a0\u201c\u201d\u2018\u2019\u2013\u2014\u2026\u00a9\u00ae\u2122")
 SPELLINGS = (("licenc", "licens"), ("favour", "favor"), ("behaviour", "behavior"), ("organis", "organiz"), ("authoris", "authoriz"),
              ("recognis", "recogniz"), ("acknowledgement", "acknowledgment"), ("judgement", "judgment"), ("whilst", "while"),
              ("per cent", "percent"), ("copyright holder", "copyright owner"), ("https", "http"))
 
 
 def canonical_lines(text: Column) -> Column:
-    """Lower case, without owner lines, signs as single spaces, one spelling; line feeds stay."""
-    x = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    x = F.regexp_replace(x, OWNED, "\n")
-    x = F.regexp_replace(x, SIGNS, " ")
+    """Without owner lines, lower case, signs as single spaces, one spelling; line feeds stay. Letters and signs are
+    exchanged in one walk over the characters, so the expressions only meet what is longer than one space."""
+    x = F.regexp_replace(F.coalesce(text, F.lit("")), OWNED, "\n")
+    x = F.translate(x, UPPER + SIGNS, LOWER + " " * len(SIGNS))
+    x = F.regexp_replace(x, " {2,}", " ")
     for old, new in SPELLINGS:
         x = F.replace(x, F.lit(old), F.lit(new))
     return x
@@ -82,13 +92,24 @@ def canonical_lines(text: Column) -> Column:
 
 def canonical(lines: Column) -> Column:
     """The canonical form of an entire text from its ``canonical_lines``; spellings of two words may have stood on two lines."""
-    x = F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    x = F.trim(F.regexp_replace(F.translate(lines, "\n", " "), " {2,}", " "))
     for old, new in SPELLINGS:
         if " " in old:
             x = F.replace(x, F.lit(old), F.lit(new))
     return x
 
 
+def canonical_text(text: str) -> str:
+    """:func:`canonical` in plain Python, for the SQL and the tests."""
+    x = re.sub(OWNED, "\n", text).translate(str.maketrans(UPPER + SIGNS, LOWER + " " * len(SIGNS)))
+    for old, new in SPELLINGS if (x := re.sub(" {2,}", " ", x)) else ():
+        x = x.replace(old, new)
+    x = re.sub("[ \n]+", " ", x).strip(" ")
+    for old, new in SPELLINGS:
+        x = x.replace(old, new) if " " in old else x
+    return x
+
+
 def published() -> list[tuple[str, str]]:
     """Names and texts: ``KNOWN`` and the files, each with and without its title, what follows the terms, and in other wordings."""
     folder = resources.files(__package__) / "license_texts"
@@ -109,31 +130,46 @@ def known_texts(spark: SparkSession) -> DataFrame:
 
 
 def digests(known: DataFrame) -> DataFrame:
-    """``digest, license_id`` of license texts; equal canonical texts count as the one with the smallest name."""
-    digest = F.sha2(canonical(canonical_lines(F.col("text"))), 256)
-    return known.where("text is not null").groupBy(digest.alias("digest")).agg(F.min("license_id").alias("license_id"))
+    """``digest, n_canonical, license_id`` of license texts; equal canonical texts count as the one with the smallest name."""
+    texts = known.where("text is not null").select("license_id", canonical(canonical_lines(F.col("text"))).alias("c")).where("c <> ''")
+    return texts.groupBy(F.sha2("c", 256).alias("digest"), F.length("c").alias("n_canonical")).agg(F.min("license_id").alias("license_id"))
 
 
-def scan(docs: DataFrame, known: DataFrame | None = None, key: str = "doc_id", text: str = "text", broadcast_rows: int = 100_000) -> DataFrame:
+def scan(docs: DataFrame, known: DataFrame | None = None, key: str = "doc_id", text: str = "text", literal_rows: int = 1000, broadcast_rows: int = 100_000) -> DataFrame:
     """One row per document: ``key``, long ``n_canonical`` (length of the canonical text), its ``digest``, ``license_id``
     (null: no known license), long ``n_notices`` and ``notices``: lines that are in their entirety a known text.
 
-    Nothing but equal canonical digests counts as a match. ``known`` (license_id, text) is broadcast if it has at most
-    ``broadcast_rows`` rows of 64 characters, otherwise both sides are shuffled. Null and empty texts have the
-    empty canonical text, which is no license; null keys and repeated rows stay rows of their own (their lines count
-    once); an empty table gives an empty result. Other columns are not read.
+    Nothing but equal canonical digests counts as a match. Texts are made canonical once. A line is only hashed if its length
+    is that of a known text, which leaves out no match. Up to ``literal_rows`` texts of ``known`` (license_id, text) become a
+    map of digests in the plan, so nothing is joined or shuffled; more are joined by digest with the documents and with
+    their lines of such lengths, broadcast up to ``broadcast_rows`` rows of 64 characters, otherwise with both sides shuffled.
+
+    Null and empty texts have the empty canonical text, which is no license; null keys and repeated rows stay rows of
+    their own; an empty table gives an empty result. Other columns are not read.
     """
-    known = known_texts(docs.sparkSession) if known is None else known
-    names = digests(known.select("license_id", "text")).where(F.col("digest") != F.sha2(F.lit(""), 256))
-    few = known.count() <= broadcast_rows
-    names = F.broadcast(names) if few else names
+    names = digests((known_texts(docs.sparkSession) if known is None else known).select("license_id", "text"))
+    names, _ = table(names)
+    count = names.count()
     lines = docs.select(F.col(key).alias("key"), canonical_lines(F.col(text)).alias("lines"))
-    rows = lines.select("key", "lines", canonical(F.col("lines")).alias("whole")).select(
-        "key", "lines", F.length("whole").cast("long").alias("n_canonical"), F.sha2("whole", 256).alias("digest"))
-    each = rows.select("key", "digest", F.posexplode(F.split("lines", "\n")).alias("i", "line")).withColumn("line", F.trim("line")).where("line <> ''")
-    hits = each.withColumn("d", F.sha2("line", 256)).join(names.withColumnsRenamed({"digest": "d", "license_id": "l"}), "d")
-    hits = hits.groupBy(F.col("key").alias("_k"), F.col("digest").alias("_d")).agg(
-        F.count_distinct("i").alias("n"), F.array_join(F.sort_array(F.collect_set("l")), ",").alias("notices"))
-    out = rows.drop("lines").join(names, "digest", "left")
-    out = out.join(hits, F.col("key").eqNullSafe(F.col("_k")) & (F.col("digest") == F.col("_d")), "left")
-    return out.select(F.col("key").alias(key), "n_canonical", "digest", "license_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"), "notices")
+    rows = lines.select("key", "lines", canonical(F.col("lines")).alias("whole"))
+    length = F.length("whole").cast("long").alias("n_canonical")
+    each = F.transform(F.split("lines", "\n"), lambda x: F.trim(x))
+    if count <= literal_rows:
+        found = names.collect()
+        lengths = sorted({r.n_canonical for r in found})
+        license_of = F.create_map(*[F.lit(x) for r in found for x in (r.digest, r.license_id)]) if found else F.lit(None).cast("map<string,string>")
+        rows = rows.select("key", length, F.sha2("whole", 256).alias("digest"), F.filter(each, lambda x: F.length(x).isin(lengths)).alias("near"))
+        hits = F.filter(F.transform("near", lambda x: F.try_element_at(license_of, F.sha2(x, 256))), lambda x: x.isNotNull())
+        rows = rows.select("key", "n_canonical", "digest", F.try_element_at(license_of, F.col("digest")).alias("license_id"), hits.alias("hits"))
+    else:
+        few = count <= broadcast_rows
+        # one number for each length that a known text has
+        lengths = [r.n_canonical for r in names.select("n_canonical").distinct().collect()]
+        rows, _ = table(rows.select("key", length, F.sha2("whole", 256).alias("digest"), F.monotonically_increasing_id().alias("row"),
+                                    F.transform(F.filter(each, lambda x: F.length(x).isin(lengths)), lambda x: F.sha2(x, 256)).alias("near")))
+        names = names.select("digest", "license_id")
+        names = F.broadcast(names) if few else names
+        lines = rows.select("row", F.explode("near").alias("digest")).join(names, "digest").groupBy("row").agg(F.collect_list("license_id").alias("hits"))
+        rows = rows.drop("near").join(names, "digest", "left").join(lines, "row", "left")
+    notices = F.when(F.size("hits") > 0, F.array_join(F.sort_array(F.array_distinct("hits")), ","))
+    return rows.select(F.col("key").alias(key), "n_canonical", "digest", "license_id", F.coalesce(F.size("hits"), F.lit(0)).cast("long").alias("n_notices"), notices.alias("notices"))

@@ -67,30 +67,37 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
+    """The same texts, patterns and spellings; digests of the known texts are made in plain Python."""
+    import hashlib
+
     from . import licenses as L
 
-    def lines(x: str) -> str:
-        x = f"translate(coalesce({x}, ''), '{L.UPPER}', '{L.LOWER}')"
-        x = f"regexp_replace({x}, '{L.OWNER_LINE}', chr(10), 'g')"
-        x = f"regexp_replace({x}, '{L.SIGNS}', ' ', 'g')"
-        for old, new in L.SPELLINGS:
+    def replaced(x: str, spellings) -> str:
+        for old, new in spellings:
             x = f"replace({x}, '{old}', '{new}')"
         return x
 
-    def whole(x: str) -> str:
-        return f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'))"
-
-    texts = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in L.KNOWN.items())
+    names: dict[str, str] = {}
+    for name, text in L.published():
+        c = L.canonical_text(text)
+        if c:
+            digest = hashlib.sha256(c.encode()).hexdigest()
+            names[digest] = min(name, names.get(digest, name))
+    signs = r"[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f\x{a0}\x{201c}\x{201d}\x{2018}\x{2019}\x{2013}\x{2014}\x{2026}\x{a9}\x{ae}\x{2122}]+"
+    lines = f"translate(regexp_replace(coalesce(text, ''), '{L.OWNED}', chr(10), 'g'), '{L.UPPER}', '{L.LOWER}')"
+    lines = replaced(f"regexp_replace({lines}, '{signs}', ' ', 'g')", L.SPELLINGS)
+    whole = replaced("trim(regexp_replace(l, '[ \\n]+', ' ', 'g'), ' ')", [x for x in L.SPELLINGS if " " in x[0]])
+    known = ", ".join(f"('{digest}', '{name}')" for digest, name in sorted(names.items()))
     return f"""
-    WITH known AS (SELECT sha256({whole(lines("t"))}) AS digest, min(n) AS license_id FROM (VALUES {texts}) v(n, t) GROUP BY 1),
-    d AS (SELECT doc_id, {lines("text")} AS l FROM documents),
-    r AS (SELECT doc_id, l, {whole("l")} AS w FROM d),
-    e AS (SELECT doc_id, w, unnest(string_split(l, chr(10))) AS line, generate_subscripts(string_split(l, chr(10)), 1) AS i FROM r),
-    h AS (SELECT doc_id, w, count(DISTINCT i) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
-          FROM e JOIN known ON sha256(trim(e.line)) = known.digest WHERE trim(e.line) <> '' GROUP BY doc_id, w)
-    SELECT r.doc_id, CAST(length(r.w) AS BIGINT) AS n_canonical, sha256(r.w) AS digest, known.license_id,
+    WITH known(digest, license_id) AS (VALUES {known}),
+    d AS (SELECT row_number() OVER () AS r, doc_id, {lines} AS l FROM documents),
+    w AS (SELECT r, doc_id, l, {whole} AS w FROM d),
+    e AS (SELECT r, unnest(string_split(l, chr(10))) AS line FROM w),
+    h AS (SELECT r, count(*) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+          FROM e JOIN known ON sha256(trim(e.line, ' ')) = known.digest GROUP BY r)
+    SELECT w.doc_id, CAST(length(w.w) AS BIGINT) AS n_canonical, sha256(w.w) AS digest, known.license_id,
            CAST(coalesce(h.n, 0) AS BIGINT) AS n_notices, h.notices
-    FROM r LEFT JOIN known ON sha256(r.w) = known.digest LEFT JOIN h ON h.doc_id IS NOT DISTINCT FROM r.doc_id AND h.w = r.w"""
+    FROM w LEFT JOIN known ON sha256(w.w) = known.digest LEFT JOIN h ON h.r = w.r"""
 
 
 @query("op6_license", _license_sql())
