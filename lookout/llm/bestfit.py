@@ -147,12 +147,13 @@ def _pieces(path: str, end_id: int, length: int):
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for first, stop, _, _ in text_chunks(batch.column("_text"), 4 * CHUNK_BYTES):
-                texts = batch.column("_text").slice(first, stop - first).to_pylist()
+                ids, ends = words.of_column(batch.column("_text").slice(first, stop - first))
+                raw, begin = ids.tobytes(), 0
                 rows: list[tuple] = []
-                for doc, ids in enumerate(words.ids([t or "" for t in texts])):
-                    raw = ids.tobytes() + end
-                    for piece, at in enumerate(range(0, len(raw), 4 * length)):
-                        cut = raw[at:at + 4 * length]
+                for doc, last in enumerate((4 * ends).tolist()):
+                    text, begin = raw[begin:last] + end, last
+                    for piece, at in enumerate(range(0, len(text), 4 * length)):
+                        cut = text[at:at + 4 * length]
                         n = len(cut) // 4
                         rows.append((first + doc, piece, n, zlib.crc32(cut), met[n]))
                         met[n] += 1

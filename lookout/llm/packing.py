@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from itertools import chain
@@ -9,6 +10,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,15 +22,24 @@ REMEMBERED = 400_000
 #: white space other than space, tab, line feed and carriage return; left inside words, for the tokenizer to judge
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _WORD = re.compile("[^ \t\n\r]+")
-#: Latin letters, then ASCII signs without the apostrophe: letters and signs are encoded apart whatever stands next to them
-_PARTS = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:;=-@\[-`{-~]*)")
+#: words whose runs are counted apart from the tokenizer: visible ASCII characters and Latin letters
+_PLAIN = r"^[!-~\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]*$"
+#: a run of a lower-cased word, as the pre-tokenizer below cuts it
+_RUN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# How a vocabulary of lower-cased words prepares texts, as its file states it.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False}
 
 
 class Words:
-    """Ids of texts by a tokenizer that drops white space: each word is encoded once and remembered.
+    """Ids of texts by a tokenizer file; one that drops white space encodes each word once and remembers it.
 
-    White space never reaches the merges of such a vocabulary, so the ids of a text are those of its words in order.
-    Unknown words are encoded together and their ids cut apart again after the tokens that end a run (``</w>``).
+    Such a file, and no other, has the normalizer, pre-tokenizer and model settings above: white space never reaches its merges, so the
+    ids of a text are those of its words in order. Unknown words are encoded together and their ids cut apart again
+    after the tokens that end a run (``</w>``). By any other file whole texts are encoded.
     """
 
     #: one for each vocabulary in a worker process, which lives through many tasks
@@ -38,6 +49,11 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        model = {k: said["model"].get(k) for k in _MODEL}
+        added = [t for t in said["added_tokens"] if t["lstrip"] or t["rstrip"] or t["normalized"] or re.search(r"\s", t["content"])]
+        self.by_words = (said["normalizer"], said["pre_tokenizer"], model, added) == (_NORMALIZER, _PRE_TOKENIZER, _MODEL, [])
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -51,33 +67,35 @@ class Words:
         return cls.made[path]
 
     def learn(self, words: list[str]) -> None:
-        known, older, pairs = self.known, self.older, []
-        parts: dict[str, bytes | None] = {}
+        known, older = self.known, self.older
         for w in words:
             if w in older:
                 known[w] = older[w]
-                continue
-            cut = _PARTS.fullmatch(w)
-            if cut:
-                letters, signs = cut[1].lower(), cut[2]
-                pairs.append((w, letters, signs))
-                parts[letters] = None
-                if signs:
-                    parts[signs] = None
-            else:  # digits, apostrophes, other scripts, special tokens: the tokenizer judges
-                known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        # each part is one run for the merges, and ends with the only token that ends a run
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        column = pa.array([w for w in words if w not in known], pa.large_string())
+        plain = pc.and_(pc.match_substring_regex(column, _PLAIN), pc.invert(pc.match_substring(column, "<|")))
+        for w in column.filter(pc.invert(plain)).to_pylist():  # other scripts, special tokens: the tokenizer judges
+            known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        column = column.filter(plain)
+        if not len(column):
+            return
+        runs = np.cumsum(pc.count_substring_regex(pc.utf8_lower(column), _RUN).to_numpy())
+        column = column.to_numpy(zero_copy_only=False).tolist()
+        # each run of a word ends with the only token of it that ends a run
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(column)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.concatenate(([0], 4 * (np.flatnonzero(self.last[ids]) + 1)))
+        if len(ends) != runs[-1] + 1:
+            raise ValueError("the vocabulary does not end each run with a token of its own")
         raw, start = ids.tobytes(), 0
-        for p, end in zip(parts, ends, strict=True):
-            parts[p] = raw[start:end]
+        for w, end in zip(column, ends[runs].tolist()):
+            known[w] = raw[start:end]
             start = end
-        for w, letters, signs in pairs:
-            known[w] = parts[letters] + parts[signs] if signs else parts[letters]
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
+        if not self.by_words:
+            for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                yield np.array(found.ids, dtype="<u4")
+            return
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         split = [_WORD.findall(t) if _ODD.search(t) else t.split() for t in texts]
@@ -87,6 +105,31 @@ class Words:
             yield np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4")
 
 
+    def of_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where those of each text end; null counts as empty.
+
+        Arrow splits at ASCII white space and numbers the distinct words, so Python sees each word of the column once.
+        """
+        if not self.by_words:
+            each = list(self.ids([t or "" for t in texts.to_pylist()]))
+            return np.concatenate([np.zeros(0, "<u4"), *each]), np.cumsum([len(i) for i in each], dtype=np.int64)
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        numbered = lists.flatten().dictionary_encode()
+        words, known = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
+        self.learn([w for w in words if w not in known])
+        raw = [known[w] for w in words]
+        sizes = np.array([len(r) for r in raw], dtype=np.int64) // 4
+        distinct, begins = np.frombuffer(b"".join(raw), dtype="<u4"), np.cumsum(sizes) - sizes
+        number = numbered.indices.to_numpy()
+        n = sizes[number]
+        ends = np.cumsum(n)
+        ids = distinct[np.repeat(begins[number] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        counts = np.concatenate(([0], ends))
+        return ids, counts[np.cumsum(pc.list_value_length(lists).to_numpy())]
+
+
 class Piece:
     """A run of one document's ids. The last ``loss`` of its ``total`` ids bear loss."""
 
