@@ -199,6 +199,7 @@ def packed(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     total = np.zeros(length + 1, dtype=np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # one row a length
         total[r.length] = r.n
-    ranked = pieces.join(bases, ["length", "part"]).select("key", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("place")).alias("rank"))
+    # the counts grow with the tasks, so they are not broadcast
+    ranked = pieces.join(bases.hint("merge"), ["length", "part"]).select("key", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("place")).alias("rank"))
     out = ranked.mapInArrow(_placed(Places(plan(total), length)), shape + ", sequence_id long, offset long")
     return out.withColumnRenamed("key", key)

@@ -17,9 +17,13 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Only where it is unset, as in tests, one below the warehouse."""
+    """The folder that ``spark.checkpoint.dir`` names. Only where it is unset on a local master, as in tests, one below the
+    warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -101,8 +101,8 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 index.append(f.astype(np.int32))
                 value.append((c / max(c.sum(), 1)).astype(np.float32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_lang").slice(first, end - first), batch.column("_order").slice(first, end - first),
-                 pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], ["lang", "o", "f", "v"])
+                [*(batch.column(c).slice(first, end - first) for c in ("_lang", "_order", "_tie")),
+                 pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], ["lang", "o", "tie", "f", "v"])
 
 
 class Ftrl:
@@ -140,7 +140,7 @@ def train(sample: pd.DataFrame, languages: list[str], idf: np.ndarray, shares: d
     Four in five sampled rows train, in the sample's shuffled order; the temperature minimises the log loss of the rest.
     The sample has languages more evenly than the corpus, so the corpus's ``shares`` enter the intercepts at the end.
     """
-    sample = sample.sort_values("o", kind="stable")
+    sample = sample.sort_values([c for c in ("o", "tie") if c in sample], kind="stable")
     index = {c: i for i, c in enumerate(languages)}
     xs, scale = [], 20.0
     for f, v in zip(sample["f"], sample["v"]):
@@ -178,13 +178,13 @@ def held_out(key: Column, folds: int = 4, fold: int = 2) -> Column:
 
 
 def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 4, fold: int = 2,
-               sample_per_language: int = 1000, languages: int = 100) -> DataFrame:
+               sample_per_language: int = 1000) -> DataFrame:
     """``key, held_out, lang_pred, score`` for every row of ``docs``.
 
     Features are hashed character n-grams of the whole lower-cased text; term frequencies are relative, and inverse
     document frequencies count all rows outside the held-out fold. The model is fitted on a bounded sample of labelled rows
-    outside the fold: the ``sample_per_language`` first of each language by a digest of the key, for the
-    ``languages`` most frequent ones. The score is the probability of ``lang_pred`` after temperature calibration.
+    outside the fold: the ``sample_per_language`` first of each language by a digest of the key, rows of equal keys by one of
+    the text. Every language that such a row names is learned. The score is the probability of ``lang_pred`` after temperature calibration.
 
     A text that is null or has no letter is ``und`` with score 0, as is every row when no language can be learned. A
     null key is not held out; rows without a language are not learned from; repeated rows count each. Empty tables
@@ -200,19 +200,28 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     for r in counts.collect():  # BUCKETS + 1 numbers
         frequency[r["i"]] = r["n"]
     idf = inverse_frequencies(frequency)
-    shares = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(languages).collect()}
+    shares = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().collect()}  # one row a language
     names = sorted(shares)
     if not names:
         return docs.select(F.col(key), held_out(F.col(key), folds, fold).alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     # the key and language alone give each language's last digest; only the rows up to it send their texts
-    known = known.where(F.col("_lang").isin(names)).withColumn("_order", F.xxhash64(F.lit(7), "_key"))
+    known = known.withColumn("_order", F.xxhash64(F.lit(7), "_key"))
     place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order"))
-    last = known.select("_lang", "_order", place.alias("_n")).where(F.col("_n") <= sample_per_language)
+
+    def of(numbers: dict[str, int]) -> Column:
+        return F.create_map(*[F.lit(x) for kv in numbers.items() for x in kv])[F.col("_lang")]
+
+    # digests are even, so the lowest share of them holds four times the sample; only these are put in order, unless equal
+    # keys left too few
+    cut = {c: -2**63 + min(2**64 * 4 * sample_per_language // max(n, 1), 2**64 - 1) for c, n in shares.items()}
+    got = {r["_lang"]: r["count"] for r in known.where(F.col("_order") <= of(cut)).groupBy("_lang").count().collect()}
+    cut = {c: v if got.get(c, 0) >= min(sample_per_language, shares[c]) else 2**63 - 1 for c, v in cut.items()}
+    last = known.where(F.col("_order") <= of(cut)).select("_lang", "_order", place.alias("_n")).where(F.col("_n") <= sample_per_language)
     ends = {r["_lang"]: r["e"] for r in last.groupBy("_lang").agg(F.max("_order").alias("e")).collect()}
-    end = F.create_map(*[F.lit(x) for kv in ends.items() for x in kv])
-    near = known.where(F.col("_order") <= end[F.col("_lang")])
-    chosen = near.withColumn("_n", place).where(F.col("_n") <= sample_per_language).select("_text", "_lang", "_order")
-    sample = chosen.mapInArrow(_sample_features, "lang string, o long, f array<int>, v array<float>")
+    near = known.where(F.col("_order") <= of(ends)).withColumn("_tie", F.xxhash64(F.lit(8), "_text"))
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_tie", "_text"))
+    chosen = near.withColumn("_n", place).where(F.col("_n") <= sample_per_language).select("_text", "_lang", "_order", "_tie")
+    sample = chosen.mapInArrow(_sample_features, "lang string, o long, tie long, f array<int>, v array<float>")
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         w, t = train(frame, names, idf, shares)

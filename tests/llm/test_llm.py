@@ -127,15 +127,63 @@ def test_pii_base(spark, docs, empty):
         assert r.base_sha256 == hashlib.sha256(",".join(brute_pii(mixed[r.doc_id])).encode()).hexdigest(), mixed[r.doc_id]
 
 
+def brute_terms(rows, threshold=0.9, specific=0.5, support=2):
+    """Spans of disclosing terms by the definition, over all pairs of entity and term."""
+    held, words, bare = [], [], []
+    for _, t in rows:
+        base = [(b.split(":")[0], int(b.split(":")[1]), int(b.split(":")[2])) for b in brute_pii(t)]
+        held.append({(k, t[i:j].lower()) for k, i, j in base})
+        inside = [any(i <= p < j for _, i, j in base) for p in range(len(t))]
+        open_ = "".join(" " if x else c for c, x in zip(t, inside))
+        bare.append([(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W_]+", open_)])
+        words.append({m.group().lower() for m in re.finditer(r"[^\W_]+", t)})
+    out = []
+    for i, (key, _) in enumerate(rows):
+        terms = set()
+        for e in held[i]:
+            with_e = [j for j in range(len(rows)) if e in held[j]]
+            for w in {x[2] for x in bare[i]}:
+                both = [j for j in with_e if any(x[2] == w for x in bare[j])]
+                with_w = sum(w in ws for ws in words)
+                if len({rows[j][1] for j in both}) < support or len(with_e) == len(rows):
+                    continue
+                info = np.log2(len(rows) / len(with_e))
+                mutual = np.log2(len(both) * len(rows) / (with_w * len(with_e)))
+                if mutual >= threshold * info - 1e-12 and len(both) >= specific * with_w:
+                    terms.add(w)
+        out.append((key, ",".join([*brute_pii(rows[i][1]), *(f"term:{a}:{b}" for a, b, w in bare[i] if w in terms)])))
+    return sorted(out, key=str)
+
+
+def letters(rng):
+    """Notes that name people far from their addresses, in a template that all of them share."""
+    out = []
+    for who, mail, n in (("Zebediah", "zeb@corp.org", 5), ("Ada 4711", "ada@b.net", 3), ("Xi", "+1 (555) 010-9999", 4), ("Solo", "solo@one.org", 1), ("Twin", "twin@two.org", 1)):
+        out += [f"Dear {who}, {prose(rng, 25)} please write to {mail} today. Yours {who.split()[0].upper()}" for _ in range(n)]
+    out += [out[-1]] * 3  # copies of one text
+    out += [f"Dear reader, {prose(rng, 12)} please do not write today" for _ in range(20)]
+    return out + [None, "", "write 4711"]
+
+
+def test_pii_terms_equal_brute_force(spark):
+    rows = list(enumerate(letters(random.Random(8))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = pii.personal_data(df).collect()
+    assert sorted(((r.doc_id, r.spans) for r in got), key=str) == brute_terms([(k, t or "") for k, t in rows])
+    shuffled = pii.personal_data(df, broadcast_rows=0)
+    assert sorted(tuple(r) for r in shuffled.collect()) == sorted(tuple(r) for r in got)
+
+
 def test_pii_terms_and_replacement(spark):
-    rng = random.Random(8)
-    rows = [(i, "filler words here " + prose(rng, 30)) for i in range(200)]
-    rows += [(200 + i, f"contact Zebediah at z{0}@corp.org today filler words") for i in range(3)] + [(300, None)]
+    rows = list(enumerate(letters(random.Random(8))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    spans = {r.doc_id: r.spans for r in pii.personal_data(df).collect()}
-    assert "term:8:16" in spans[200] and "term" not in "".join(v for k, v in spans.items() if k < 200 or k == 300)
     new = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
-    assert new[201] == "[TERM] [TERM] at [EMAIL] [TERM] filler words" and new[5] == rows[5][1] and new[300] is None
+    # the name goes though it stands far from the address, and filler stays
+    assert new[0].startswith("Dear [TERM], ") and new[0].endswith(" please write to [EMAIL] today. Yours [TERM]")
+    assert new[5].startswith("Dear [TERM] ") and new[8].endswith(" please write to [PHONE] today. Yours [TERM]")
+    # one text, or copies of one, do not tell which words belong to the address
+    assert new[12].startswith("Dear Solo, ") and new[13].startswith("Dear Twin, ") and new[14] == new[13]
+    assert all(new[k] == t for k, t in rows if k >= 17)
 
 
 def test_quality(spark, docs, empty):
@@ -245,6 +293,32 @@ def test_license(spark, docs, empty):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(empty).count() == 0
 
 
+def test_license_in_both_languages(spark):
+    """The SQL and a join by digest give what the scan gives, also where older wordings of it parted."""
+    rng = random.Random(6)
+    isc = licenses.KNOWN["ISC"]
+    rows = [(1, "copyright notice and this permission notice appear in all copies.\nReleased under the MIT License."), (2, "one per\ncent of it"), (3, "one per cent\n  Licensed under CC BY-NC 4.0  "),
+            (4, "/* Copyright (C) 2020 Me */\n" + isc), (5, "COPYRIGHT: 2019 X\n(c) copyright\n\u00a9 Y\nAll Rights Reserved. And so on\n" + isc.replace("and/or", "and / or")), (6, None), (7, ""),
+            (8, " Released under the MIT LICENCE!!\nreleased under the mit license"), (8, "Released under the MIT License."), (None, "kopyright \u00a9 2000 here"), (9, "\u017f all rights re\u017ferved\nx")]
+    parts = ["copyright", "Copyright", " (c) ", "\u00a9", "2020", "\n", "\n", " ", "  ", "\t", "#", "*", "notice", "holder", "all rights reserved", "per cent", "per", "cent", "licence", "Favour", "x", "\u201c", "\u00e9", ".", "Released under the MIT License."]
+    rows += [(100 + i, "".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cur = con.execute(Q.ORACLE["op6_license"])
+    want = rows_of([d[0] for d in cur.description], cur.fetchall())
+    for limit in (1000, 0):
+        for few in (100_000, 0):
+            got = licenses.scan(df, literal_rows=limit, broadcast_rows=few)
+            assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == want
+    first = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert first[1].notices == "notice-MIT" and first[1].n_canonical == 95 and first[4].license_id == "ISC" and first[3].notices == "notice-CC-BY-NC-4.0"
+    for key, text in rows[:60]:
+        if key not in (8, None):
+            assert first[key].digest == hashlib.sha256(licenses.canonical_text(text or "").encode()).hexdigest()
+
+
 def test_license_as_published(spark):
     def wrapped(text, width, sign=""):
         parts = [textwrap.fill(p, width, break_on_hyphens=False, break_long_words=False) for p in re.split(r"\n\s*\n", text)]
@@ -285,6 +359,113 @@ def test_language(spark, docs, empty):
     assert langid.identified(empty).count() == 0 and langid.identified(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_every_language_is_learned_and_equal_keys_do_not_matter(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join("".join(rng.choice([chr(0x4E00 + 4 * (i % 130) + j) for j in range(4)]) for _ in range(3)) for _ in range(20)), f"l{i % 130}") for i in range(130 * 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.identified(df).select("lang_pred").distinct().count() > 100
+    many = [(7, prose(rng, 20), "a") for _ in range(40)] + [(i, prose(rng, 20).upper() + "\u00df\u00e9", "b") for i in range(40)]
+    df = spark.createDataFrame(many, "doc_id long, text string, lang string")
+    runs = [sorted(map(tuple, langid.identified(d, sample_per_language=5).collect()), key=str) for d in (df.repartition(1), df.orderBy(F.desc("text")).repartition(3))]
+    assert runs[0] == runs[1]
+
+
+def test_leader_equals_a_plain_loop():
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(40, 6, replace=False)), rng.random(6), int(rng.integers(0, 3))) for _ in range(10)]
+    model = langid.Ftrl(3, alpha=0.4, beta=0.9, l1=0.02, l2=0.05)
+    z, n = {}, {}
+
+    def weight(f, c):
+        zz, nn = z.get((f, c), 0.0), n.get((f, c), 0.0)
+        return 0.0 if abs(zz) <= 0.02 else -(zz - (1 if zz > 0 else -1) * 0.02) / ((0.9 + nn ** 0.5) / 0.4 + 0.05)
+
+    for f, v, y in rows * 3:
+        scores = [sum(weight(i, c) * x for i, x in zip(f.tolist(), v.tolist())) for c in range(3)]
+        e = [np.exp(s - max(scores)) for s in scores]
+        old = {(i, c): weight(i, c) for i in f.tolist() for c in range(3)}
+        for c in range(3):
+            for i, x in zip(f.tolist(), v.tolist()):
+                g = x * (e[c] / sum(e) - (c == y))
+                sigma = ((n.get((i, c), 0.0) + g * g) ** 0.5 - n.get((i, c), 0.0) ** 0.5) / 0.4
+                z[i, c] = z.get((i, c), 0.0) + g - sigma * old[i, c]
+                n[i, c] = n.get((i, c), 0.0) + g * g
+        model.learn(f, v, y)
+    want = np.array([[weight(i, c) for c in range(3)] for i in range(40)])
+    assert np.allclose(model.weights(slice(0, 40)), want, rtol=1e-9, atol=1e-12) and np.any(want)
+
+
+def test_quality_equals_a_plain_discriminant(spark):
+    """Scores from the definition: class moments of the labelled rows outside the fold, shrunk, by solve and determinant."""
+    d, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: (r.text or "").encode() for r in d.collect()}
+    marks = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1)}
+    x = {k: quality.statistics(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for k, t in texts.items()}
+    learn = [k for k in texts if k in marks and zlib.crc32(str(k).encode()) % 5]
+    everything = np.array([x[k] for k in learn])
+    centre, scale = everything.mean(0), everything.std(0)
+    scale[scale < 1e-6] = 1.0
+    z = {k: (v - centre) / scale for k, v in x.items()}
+    density = {}
+    for c in (0, 1):
+        mine = np.array([z[k] for k in learn if marks[k] == c])
+        cov = np.cov(mine.T, bias=True)
+        k = len(cov)
+        cov = 0.7 * cov + 0.3 * (0.5 * np.diag(np.diag(cov)) + 0.5 * np.trace(cov) / k * np.eye(k)) + 1e-3 * np.eye(k)
+        prior = np.log((len(mine) + 1) / (len(learn) + 2))
+        density[c] = {i: prior - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * (v - mine.mean(0)) @ np.linalg.solve(cov, v - mine.mean(0)) for i, v in z.items()}
+    for r in quality.scored(d, labels).collect():
+        assert abs(r.score - 1 / (1 + np.exp(-np.clip(density[1][r.doc_id] - density[0][r.doc_id], -35, 35)))) < 1e-6
+
+
+def test_another_vocabulary_encodes_whole_texts(spark, tmp_path):
+    import json
+
+    letters_ = sorted(set("HeloWrdNASA helo"))
+    vocab = {t: i for i, t in enumerate([*letters_, *(c + "</w>" for c in letters_ if c != " "), "He", "lo</w>"])}
+    said = {"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "Whitespace"}, "post_processor": None, "decoder": None,
+            "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False,
+                      "ignore_merges": False, "vocab": vocab, "merges": [["H", "e"], ["l", "o</w>"]]}}
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(said))
+    words, texts_ = packing.Words(str(path)), ["Hello World NASA", "hello", "", "NASA Hello"]
+    want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts_]
+    assert not words.by_words and [i.tolist() for i in words.ids(texts_)] == want
+    import pyarrow as pa
+
+    ids, ends = words.of_column(pa.array([*texts_, None]))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [*want, []]
+    docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    pieces = sorted((r.doc_id, r.start, list(r.ids)) for r in packing.packed(docs, str(path)).collect())
+    assert [sum((x for k, _, x in pieces if k == i), []) for i in range(4)] == [[*w, 1] for w in want]
+
+
+def test_pipeline_takes_odd_rows(spark, tmp_path):
+    import corpus_pipeline as P
+
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = [(None, "null key " + prose(random.Random(1), 40), "en", "web", 9), (10**6, None, "en", "web", None), (10**6 + 1, "", None, None, 0), (10**6 + 2, " \t\n", "en", "web", 3),
+           (10**6 + 3, "x" * 50_000, "en", "web", 1), (10**6 + 4, prose(random.Random(2), 30_000), "de", None, 1), (10**6 + 5, "mail me@you.org", "en", "q", 1), (10**6 + 5, "mail me@you.org", "en", "q", 1)]
+    rows = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long")
+    wide = d.select(rows.columns).unionByName(rows).withColumn("key", F.lit("k")).withColumn("digest", F.lit(1)).withColumn("score", F.lit("s")).withColumn("_text", F.lit(None).cast("string"))
+    for name, docs in (("odd", wide), ("none", wide.limit(0))):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels = spark.read.parquet(f"{SF}/labels.parquet")
+        labels.unionByName(spark.createDataFrame([(None, 1, 0), (10**6 + 4, None, None)], labels.schema)).write.parquet(f"{folder}/labels.parquet")
+        step = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in P.STAGES[:-1]:
+            before = step.count()
+            step = spark.createDataFrame(stage(spark, step, folder).collect(), wide.schema)
+            assert step.columns == wide.columns and (before or not step.count())
+        out = P.run(spark, folder).collect()
+        assert bool(out) == (name == "odd") and all(0 < r.length <= 2048 for r in out)
+        sums = {}
+        for r in out:
+            sums[r.sequence_id] = sums.get(r.sequence_id, 0) + r.length
+        assert all(n == 2048 or n & (n - 1) == 0 for n in sums.values())
+
+
 def test_mixing(docs, empty):
     got = mixing.queue(docs).collect()
     assert len(got) == docs.count() and all(0 <= r.taken <= 2 * r.size for r in got)
