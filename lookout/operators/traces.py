@@ -8,8 +8,11 @@ skip_analysis, tags (array of key/value) and refs (array of parent references).
 from __future__ import annotations
 
 from functools import reduce
-from typing import Mapping, Sequence
+from typing import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -440,19 +443,107 @@ def roots(keyed: DataFrame) -> DataFrame:
     return keyed.join(present, ["trace_id", "parent_key"], "left_anti")
 
 
-def order_tree(keyed: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
+TREE = ("trace_id", "segment_id", "span_id", "span_key", "parent_key", "start_time")
+
+
+def order_tree(keyed: DataFrame, chosen: DataFrame | None = None, together: int = 10_000) -> DataFrame:
     """Adds ``position`` (from 1 in its trace: roots by start time, children depth first by start time) and ``depth``;
     of all traces, or of those whose ids the page ``chosen`` has.
 
-    The walk around each tree is a list: a span is entered, then its children in order, then it is left; a span without
-    children is one element. Every round doubles the distance to the element that each one points at and adds up what
-    lies between, so a trace of n spans takes log2(2n) rounds of one join on the element's number, whatever its depth.
-    An element is four numbers, in a round as in the last, and the elements of a large trace are spread over the cluster. Rounds end
-    when all elements have seen the end of their list; spans caught in a reference cycle hang under no root and are
-    left out. Of spans that share a key one gives its place to all. The children of one span are put in order by one sort.
+    The walk around each tree is a list: a span is entered, then its children in order, then it is left. Doubling the
+    distance to the element that each one points at, and adding up what lies between, ranks a list of n elements in
+    log2(n) rounds, whatever the depth. Traces of up to ``together`` spans are brought together by one shuffle and a task
+    ranks all of its lists at once; the elements of larger ones are spread over the cluster, and a round is a join
+    (:func:`_ranked`). Spans caught in a reference cycle hang under no root and are left out. Of spans that share a key one
+    gives its place to all.
     """
     if chosen is not None:
         keyed = full_spans(keyed, chosen)
+    slim = keyed.select(*TREE)
+    large, _ = stored(slim.groupBy("trace_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > together).select("trace_id"))
+    split = not large.isEmpty()
+    small = lookup_join(slim, large, ["trace_id"], "left_anti") if split else slim
+    kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
+    out = small.repartition("trace_id").sortWithinPartitions("trace_id").mapInArrow(
+        _walked, ", ".join(f"{c} {kinds[c]}" for c in TREE) + ", position bigint, depth int")
+    if split:
+        big = lookup_join(slim, large, ["trace_id"], "left_semi")
+        out = out.unionByName(big.join(_ranked(big), ["trace_id", "span_key"]).select(*TREE, "position", "depth"))
+    if set(keyed.columns) == set(TREE):
+        return out.select(*keyed.columns, "position", "depth")
+    places = out.select("trace_id", "span_key", "position", "depth").dropDuplicates(["trace_id", "span_key"])
+    return keyed.join(places, ["trace_id", "span_key"])
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole traces, which arrive sorted, with their places; some traces are held at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows = pa.Table.from_batches(held).combine_chunks()
+        trace = rows.column("trace_id").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        whole = int(np.flatnonzero(trace != trace[-1])[-1]) + 1 if (trace != trace[-1]).any() else 0
+        if whole:
+            yield from _places(rows.slice(0, whole)).to_batches()
+        held = rows.slice(whole).combine_chunks().to_batches()
+    if held:
+        yield from _places(pa.Table.from_batches(held)).to_batches()
+
+
+def _codes(*columns: pa.ChunkedArray) -> list[np.ndarray]:
+    """Texts of some columns as numbers in the order of the texts; null comes last."""
+    joined = pa.chunked_array([c for column in columns for c in column.chunks]).combine_chunks()
+    order = pc.rank(joined, sort_keys="ascending", null_placement="at_end", tiebreaker="dense").to_numpy().astype(np.int64)
+    return np.split(order, np.cumsum([len(c) for c in columns])[:-1])
+
+
+def _places(rows: pa.Table) -> pa.Table:
+    (trace,), (segment,) = _codes(rows.column("trace_id")), _codes(rows.column("segment_id"))
+    own, parent = _codes(rows.column("span_key"), rows.column("parent_key"))
+    start, span = rows.column("start_time").to_numpy(), rows.column("span_id").to_numpy()
+    size = int(max(own.max(), parent.max())) + 1
+    # one node for each key of a trace: its earliest span
+    key = trace * size + own
+    order = np.lexsort((parent, start, key))
+    nodes, first = np.unique(key[order], return_index=True)
+    first = order[first]
+    n = len(nodes)
+    up = np.searchsorted(nodes, trace[first] * size + parent[first])
+    up = np.where((up < n) & (nodes[np.minimum(up, n - 1)] == trace[first] * size + parent[first]), up, -1)
+    below = np.where(up >= 0, up, n + trace[first])
+    order = np.lexsort((span[first], segment[first], start[first], below))
+    follows = below[order][1:] == below[order][:-1]
+    after, child = np.full(n, -1), np.full(n, -1)
+    after[order[:-1][follows]] = order[1:][follows]
+    heads = order[np.concatenate(([True], ~follows))]
+    heads = heads[up[heads] >= 0]
+    child[up[heads]] = heads
+    # element 2i enters node i, element 2i + 1 leaves it; a last element stands at the end
+    then = np.empty(2 * n + 1, dtype=np.int64)
+    then[0:-1:2] = np.where(child >= 0, 2 * child, 2 * np.arange(n) + 1)
+    then[1::2] = np.where(after >= 0, 2 * after, np.where(up >= 0, 2 * up + 1, 2 * n))
+    then[-1] = 2 * n
+    spans, levels = np.zeros(2 * n + 1, dtype=np.int64), np.zeros(2 * n + 1, dtype=np.int64)
+    spans[0:-1:2], levels[0:-1:2], levels[1::2] = 1, 1, -1
+    for _ in range(int(2 * n).bit_length() + 1):
+        spans, levels, then = spans + spans[then], levels + levels[then], then[then]
+    placed = then[0:-1:2] == 2 * n
+    most = np.zeros(int(trace.max()) + 1, dtype=np.int64)
+    np.maximum.at(most, trace[first][placed], spans[0:-1:2][placed])
+    position, depth = most[trace[first]] - spans[0:-1:2] + 1, 1 - levels[0:-1:2]
+    node = np.searchsorted(nodes, key)
+    out = rows.append_column("position", pa.array(position[node])).append_column("depth", pa.array(depth[node].astype(np.int32)))
+    return out.filter(pa.array(placed[node]))
+
+
+def _ranked(keyed: DataFrame) -> DataFrame:
+    """``trace_id, span_key, position, depth`` of large traces, in rounds of one join on the element's number.
+
+    An element is four numbers, in a round as in the last; a span without children is one element. Rounds end when all
+    elements have seen the end of their list. The children of one span are put in order by one sort.
+    """
     spark = keyed.sparkSession
     nodes, node_path = stored(keyed.groupBy("trace_id", "span_key").agg(F.min_by(F.struct("parent_key", "start_time", "segment_id", "span_id"), F.struct("start_time", "parent_key")).alias("s"))
                               .select("trace_id", "span_key", "s.*").withColumn("id", F.monotonically_increasing_id()))
@@ -482,8 +573,7 @@ def order_tree(keyed: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
         F.expr("at div 2").alias("id"), "spans", (1 - F.col("levels")).cast("int").alias("depth"))
     placed = nodes.join(entered, "id").select("trace_id", "span_key", "spans", "depth")
     whole = placed.groupBy("trace_id").agg(F.max("spans").alias("_whole"))
-    placed = placed.join(whole, "trace_id").select("trace_id", "span_key", (F.col("_whole") - F.col("spans") + 1).alias("position"), "depth")
-    return keyed.join(placed, ["trace_id", "span_key"])
+    return placed.join(whole, "trace_id").select("trace_id", "span_key", (F.col("_whole") - F.col("spans") + 1).alias("position"), "depth")
 
 
 def attach_events(keyed: DataFrame, events: DataFrame) -> DataFrame:

@@ -258,7 +258,7 @@ _TREE = f"""WITH RECURSIVE {fr.SPANS}, tree AS (
 @query("q_trace_detail", f"""{_TREE} SELECT trace_id, span_id, CAST(depth AS INTEGER) AS depth, row_number() OVER (PARTITION BY trace_id ORDER BY path) AS position FROM tree""")
 def q_trace_detail(spark, sf):
     """Every trace of the tables as an ordered tree: ordering by (trace_id, position) lists it."""
-    return T.order_tree(T.with_keys(fr.spans(spark, sf))).select("trace_id", "span_id", "depth", "position")
+    return T.order_tree(T.with_keys(fr.spans(spark, sf)).select(*T.TREE)).select("trace_id", "span_id", "depth", "position")
 
 
 @query("q_trace_page", f"""{_TREE}, {_SEG}, pick AS (SELECT trace_id FROM seg ORDER BY latency DESC, segment_id LIMIT 10)
@@ -266,7 +266,7 @@ SELECT trace_id, span_id, CAST(depth AS INTEGER) AS depth, row_number() OVER (PA
 def q_trace_page(spark, sf):
     """The trees of a page of the slowest traces: only the page's spans are walked."""
     page = T.sorted_traces(T.segment_rows(_segments(spark, sf)), "duration").limit(10)
-    return T.order_tree(T.with_keys(fr.spans(spark, sf)), page).select("trace_id", "span_id", "depth", "position")
+    return T.order_tree(T.with_keys(fr.spans(spark, sf)).select(*T.TREE), page).select("trace_id", "span_id", "depth", "position")
 
 
 def _events(spark, sf):

@@ -81,7 +81,9 @@ def tree(spark, data):
 
 
 def listing(df):
-    return [r["span_key"] for r in T.order_tree(df).orderBy("trace_id", "position").collect()]
+    found = [[r["span_key"] for r in T.order_tree(df, together=n).orderBy("trace_id", "position").collect()] for n in (10_000, 0)]
+    assert found[0] == found[1]
+    return found[0]
 
 
 def test_tree_is_listed_depth_first(spark):
@@ -95,24 +97,25 @@ def test_deep_chain_and_cycle(spark):
     assert listing(tree(spark, chain + cycle)) == [f"aS{i}" for i in range(70)]
 
 
-def test_deep_and_wide_trees_and_pages(spark):
-    from pyspark.sql import Window
-
+@pytest.mark.parametrize("together", [10_000, 2])
+def test_deep_and_wide_trees_and_pages(spark, together):
     n = 10_000
     i = F.col("id").cast("int")
     chain = spark.range(n).select(F.lit("deep").alias("trace_id"), F.lit("a").alias("segment_id"), i.alias("span_id"), (i - 1).alias("parent_span_id"), F.lit(0).cast("bigint").alias("start_time"))
     wide = spark.range(n).select(F.lit("wide").alias("trace_id"), F.lit("a").alias("segment_id"), i.alias("span_id"), F.when(i == 0, -1).otherwise(0).alias("parent_span_id"), (n - F.col("id")).alias("start_time"))
     df = T.with_keys(chain.unionByName(wide).withColumn("refs", F.from_json(F.lit("[]"), REFS)))
-    got = T.order_tree(df)
+    got = T.order_tree(df, together=together).cache()
     assert got.count() == 2 * n
     assert got.filter("trace_id = 'deep' and (position <> span_id + 1 or depth <> span_id + 1)").count() == 0
     assert got.filter(f"trace_id = 'wide' and (position <> if(span_id = 0, 1, {n} - span_id + 1) or depth <> if(span_id = 0, 1, 2))").count() == 0
+    got.unpersist()
     page = T.order_tree(df, spark.createDataFrame([("wide",), ("none",)], "trace_id string"))
     assert page.count() == n and rows(page.select("trace_id").distinct()) == [("wide",)]
     assert rows(page.filter("span_id in (0, 1)"), "span_id", "position", "depth") == [(0, 1, 1), (1, n, 2)]
 
 
-def test_random_forests_equal_a_walk(spark):
+@pytest.mark.parametrize("together", [10_000, 30, 0])
+def test_random_forests_equal_a_walk(spark, together):
     import random
 
     rng = random.Random(4)
@@ -134,7 +137,7 @@ def test_random_forests_equal_a_walk(spark):
                 want[t, s, i] = (count[0], depth)
                 walk((s, i), depth + 1)
         walk(None, 1)
-    got = {(r.trace_id, r.segment_id, r.span_id): (r.position, r.depth) for r in T.order_tree(keyed).collect()}
+    got = {(r.trace_id, r.segment_id, r.span_id): (r.position, r.depth) for r in T.order_tree(keyed, together=together).collect()}
     assert got == want
 
 
