@@ -294,55 +294,3 @@ def run_scope(df: DataFrame, scope: str, rules: Sequence[Rule], extra: Sequence[
     if out is None:
         raise ValueError(f"no rule reads a source of {scope}")
     return out
-
-
-# ---- plain rules of several sources that share one tagged frame ----
-
-def long_states(df: DataFrame, rules: Sequence[Rule], tag: str = "source") -> tuple[DataFrame, dict[str, dict[str, str]]]:
-    """States of the unkeyed rules of all sources in ``df``, whose column ``tag`` names each row's source: one row per metric
-    and group, and for each metric the column of each of its states.
-
-    A row gives one item for each rule of its source that it meets, and states of one type and fold share a column, so
-    the generated code has as many columns as there are kinds of states, not as there are rules.
-    """
-    by_source: dict[str, list[tuple[Rule, dict[str, Column]]]] = {}
-    columns: dict[str, tuple[str, str]] = {}
-    places: dict[str, dict[str, str]] = {}
-    for rule in rules:
-        if is_keyed(rule):
-            continue
-        value, args = _resolve(rule)
-        states = {"rows": (F.lit(1).cast("bigint"), "sum"), **A.REGISTRY[rule.fn].states(value, args)}
-        mine = {}
-        for s, (expr, how) in states.items():
-            kind = df.select(expr.alias("x")).schema["x"].dataType.simpleString()
-            name = f"{s}_{kind}_{how}"
-            columns[name] = (kind, how)
-            places.setdefault(rule.name, {})[s] = name
-            mine[name] = expr
-        by_source.setdefault(rule.source, []).append((rule, mine))
-    items = F.lit(None)
-    for source, found in by_source.items():
-        each = []
-        for rule, mine in found:
-            item = F.struct(F.lit(rule.name).alias("metric"), *[mine.get(c, F.lit(None)).cast(kind).alias(c) for c, (kind, _) in columns.items()])
-            each.append(F.when(_where(rule), item) if rule.where else item)
-        items = F.when(F.col(tag) == source, F.array_compact(F.array(*each))).otherwise(items)
-    rows = df.select(*A.GROUP, F.inline(items))
-    return rows.groupBy("metric", *A.GROUP).agg(*[A.FOLD[how](c).alias(c) for c, (_, how) in columns.items()]), places
-
-
-def run_tagged(df: DataFrame, rules: Sequence[Rule], tag: str = "source") -> DataFrame:
-    """All unkeyed rules of the sources in a tagged frame to the long metric table, with one aggregation."""
-    states, places = long_states(df, rules, tag)
-    minutes = minutes_in(F.col("time_bucket"))
-    classes: dict[tuple, list[Rule]] = {}
-    for rule in rules:
-        if rule.name in places:
-            classes.setdefault((_same_finish(rule), tuple(places[rule.name].items())), []).append(rule)
-    value = F.lit(None).cast("double")
-    for (_, columns), same in classes.items():
-        _, args = _resolve(same[0])
-        mine = A.REGISTRY[same[0].fn].value({s: F.col(c) for s, c in columns}, minutes, args).cast("double")
-        value = F.when(F.col("metric").isin([r.name for r in same]), mine).otherwise(value)
-    return states.select("metric", *A.GROUP, value.alias("value")).filter(F.col("value").isNotNull())

@@ -492,27 +492,35 @@ def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _places(pa.Table.from_batches(held)).to_batches()
 
 
-def _codes(*columns: pa.ChunkedArray) -> list[np.ndarray]:
-    """Texts of some columns as numbers in the order of the texts; null comes last."""
+def _numbers(*columns: pa.ChunkedArray) -> list[np.ndarray]:
+    """Texts of some columns as numbers, equal ones alike."""
     joined = pa.chunked_array([c for column in columns for c in column.chunks]).combine_chunks()
-    order = pc.rank(joined, sort_keys="ascending", null_placement="at_end", tiebreaker="dense").to_numpy().astype(np.int64)
-    return np.split(order, np.cumsum([len(c) for c in columns])[:-1])
+    numbers = joined.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.split(numbers, np.cumsum([len(c) for c in columns])[:-1])
+
+
+def _order(column: pa.ChunkedArray) -> np.ndarray:
+    """Texts as numbers in the order of the texts; null comes last."""
+    return pc.rank(column.combine_chunks(), sort_keys="ascending", null_placement="at_end", tiebreaker="dense").to_numpy().astype(np.int64)
 
 
 def _places(rows: pa.Table) -> pa.Table:
-    (trace,), (segment,) = _codes(rows.column("trace_id")), _codes(rows.column("segment_id"))
-    own, parent = _codes(rows.column("span_key"), rows.column("parent_key"))
+    (trace,), (segment,) = _numbers(rows.column("trace_id")), _numbers(rows.column("segment_id"))
+    own, parent = _numbers(rows.column("span_key"), rows.column("parent_key"))
     start, span = rows.column("start_time").to_numpy(), rows.column("span_id").to_numpy()
     size = int(max(own.max(), parent.max())) + 1
     # one node for each key of a trace: its earliest span
     key = trace * size + own
-    order = np.lexsort((parent, start, key))
-    nodes, first = np.unique(key[order], return_index=True)
-    first = order[first]
+    nodes, first = np.unique(key, return_index=True)
+    if len(nodes) < len(key):
+        order = np.lexsort((_order(rows.column("parent_key")), start, key))
+        first = order[np.unique(key[order], return_index=True)[1]]
     n = len(nodes)
     up = np.searchsorted(nodes, trace[first] * size + parent[first])
     up = np.where((up < n) & (nodes[np.minimum(up, n - 1)] == trace[first] * size + parent[first]), up, -1)
     below = np.where(up >= 0, up, n + trace[first])
+    if (segment != trace).any():  # traces of several segments
+        segment = _order(rows.column("segment_id"))
     order = np.lexsort((span[first], segment[first], start[first], below))
     follows = below[order][1:] == below[order][:-1]
     after, child = np.full(n, -1), np.full(n, -1)

@@ -32,22 +32,6 @@ def jvm(rows: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def jvm_tagged(rows: DataFrame) -> DataFrame:
-    """The frames of :func:`jvm` as one, whose column ``source`` names them: snapshots are read once for all rules of
-    all frames (:func:`lookout.operators.rules.run_tagged`). Columns that a frame lacks are null."""
-    frames = {"jvm_cpu": F.array(F.struct(F.greatest(F.col("cpu"), F.lit(1.0)).alias("use_percent"))), "jvm_memory": F.col("memory"),
-              "jvm_memory_pool": F.col("memory_pool"), "jvm_gc": F.col("gc"), "jvm_thread": F.array("thread"), "jvm_class": F.array("clazz")}
-    kinds = {s: rows.select(c.alias("x")).schema["x"].dataType for s, c in frames.items()}
-    columns = {f.name: f.dataType for k in kinds.values() for f in k.elementType}
-
-    def tagged(source: str):
-        own = kinds[source].elementType.names
-        return lambda x: F.struct(F.lit(source).alias("source"), *[(x[c] if c in own else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
-
-    parts = [F.transform(F.coalesce(c, F.array().cast(kinds[s])), tagged(s)) for s, c in frames.items()]
-    return rows.select(*_base(rows), F.inline(F.concat(*parts)))
-
-
 def clr(rows: DataFrame) -> dict[str, DataFrame]:
     """Snapshots (service, instance, time, cpu, gc struct, thread struct) to three frames, all named by the instance."""
     base = _base(rows)
