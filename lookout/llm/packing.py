@@ -274,8 +274,9 @@ def _run(path: str, end_id: int, limits: dict, with_ids: bool):
         for batch in batches:
             kind = batch.column("_key").type
             for first, stop, _, _ in text_chunks(batch.column("_text"), 4 * CHUNK_BYTES):
-                keys, texts, losses = (batch.column(c).slice(first, stop - first).to_pylist() for c in ("_key", "_text", "_loss"))
-                for key, ids, loss in zip(keys, words.ids([t or "" for t in texts]), losses):
+                keys, losses = (batch.column(c).slice(first, stop - first).to_pylist() for c in ("_key", "_loss"))
+                every, ends = words.of_column(batch.column("_text").slice(first, stop - first))
+                for key, ids, loss in zip(keys, np.split(every, ends[:-1]), losses):
                     ids = np.concatenate((ids, end))
                     bears = len(ids) if loss is None else min(max(loss, 0), len(ids))
                     put(packer.add(Piece(key, ids, 0, len(ids), bears)))
