@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import table
 from .vectors import matrix, usable
 
-#: rows of a leaf that one task holds at once
-CHUNK = 4096
+#: rows of a leaf that one task holds at once, and queries that are compared with them there
+CHUNK, ASKED = 4096, 65_536
 
 
 class Tree:
@@ -156,16 +156,20 @@ def _search(k: int):
 
 
 def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, every: int = 20, recall: float = 0.95,
-            leaf_rows: int = 256, most_leaves: int = 1024, sample_rows: int = 20_000, calibration: int = 200) -> DataFrame:
+            leaf_rows: int = 256, most_leaves: int = 1024, sample_rows: int = 20_000, calibration: int = 200, apart: int = 64) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found by inner product for each row whose key is divisible by ``every``.
 
-    1. A tree of k-means splits is fitted on a sample of at most ``sample_rows`` vectors (the first by a digest of the
-       key), with one leaf for about ``leaf_rows`` rows, ``most_leaves`` at most. Vectors get one more component that
-       makes them equally long, which turns the largest inner product into the smallest distance.
-    2. Every vector goes to its leaf. ``calibration`` queries are compared with all vectors, and the number of leaves
+    1. The ``apart`` longest vectors (half of a smaller table at most) are compared with every query, so that a few
+       very long ones do not flatten the space of the others. Of equal vectors only the rows of the ``k + 1`` smallest
+       keys can be among the ``k`` nearest of any query; the others are not indexed.
+    2. A tree of k-means splits is fitted on a sample of at most ``sample_rows`` of the rest (the first by a digest of
+       the key), with one leaf for about ``leaf_rows`` rows, ``most_leaves`` at most. Vectors get one more component
+       that makes them equally long, which turns the largest inner product into the smallest distance.
+    3. Every vector goes to its leaf. ``calibration`` queries are compared with all vectors, and the number of leaves
        to visit is the smallest at which best-bin-first order reaches ``recall`` of their true neighbours.
-    3. Each query visits these leaves, and more while they hold fewer than ``k`` rows of other keys. Its first ones
-       give a floor for its ``k``-th score; the other leaves give only what reaches the floor. Large leaves are dealt over chunks of ``CHUNK`` rows, which a query visits all.
+    4. Each query visits these leaves, and more while they hold fewer than ``k`` rows of other keys. Its first ones
+       give a floor for its ``k``-th score; the other leaves give only what reaches the floor. Large leaves are dealt
+       over chunks of ``CHUNK`` rows, which a query visits all, and many queries of a leaf over parts of ``ASKED``.
 
     Scores are inner products of the given vectors in double precision; ties go to the smaller key. Vectors that are
     null, empty, zero, hold null or non-finite components or are not of the most frequent length, and rows without a
@@ -175,14 +179,22 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     spark = vectors.sparkSession
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).where(F.col(key).isNotNull() & usable(F.col(vector)))
     rows, _ = table(rows.withColumn("row", F.monotonically_increasing_id()))
-    sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n"), F.sqrt(F.max(F.expr("aggregate(v, 0D, (a, x) -> a + x * x)"))).alias("longest"))
-    common = sizes.orderBy(F.desc("n"), "size").first()
+    common = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
     kind = vectors.schema[key].dataType.simpleString()
     if common is None:
         return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
-    size, total, longest = common["size"], common["n"], common["longest"]
+    size, total = common["size"], common["n"]
     rows = rows.where(F.size("v") == size)
-    sample = rows.select(F.xxhash64(F.lit(3), "id").alias("o"), "row", "v").orderBy("o", "row").limit(sample_rows).select("v").toPandas()
+    length = F.sqrt(F.expr("aggregate(v, 0D, (a, x) -> a + x * x)"))
+    apart = min(apart, total // 2)
+    head = rows.select(length.alias("length"), "id", "row", "v").orderBy(F.desc("length"), "row").limit(apart + 1).toPandas()  # apart + 1 rows
+    longest, head = head["length"].iloc[-1], head[:apart]
+    head_ids, head_rows = head["id"].to_numpy(), np.vstack([np.zeros((0, size)), *head["v"]])
+    copies = Window.partitionBy(F.xxhash64("v"), "v").orderBy("id")
+    indexed = rows.where(~F.col("row").isin([int(r) for r in head["row"]])).withColumn("_n", F.dense_rank().over(copies)).where(F.col("_n") <= k + 1)
+    indexed, _ = table(indexed.select("id", "row", "v"))
+    total = indexed.count()
+    sample = indexed.select(F.xxhash64(F.lit(3), "id").alias("o"), "row", "v").orderBy("o", "row").limit(sample_rows).select("v").toPandas()
     tree = Tree(_raised(np.vstack(sample["v"]), longest), max(1, min(most_leaves, total // leaf_rows)))
     shared = spark.sparkContext.broadcast(tree)  # most_leaves centres and their parents
 
@@ -192,8 +204,8 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
                 leaf = shared.value.assign(_raised(matrix(batch.column("v")), longest))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32))], [*batch.schema.names, "leaf"])
 
-    data, _ = table(rows.select("id", "row", "v").mapInArrow(assign, "id long, row long, v array<double>, leaf int"))
-    queries = data.where(F.col("id") % every == 0)
+    data, _ = table(indexed.mapInArrow(assign, "id long, row long, v array<double>, leaf int"))
+    queries = rows.where(F.col("id") % every == 0)
     trial = queries.select(F.xxhash64(F.lit(4), "id").alias("o"), "id", "row", "v").orderBy("o", "row").limit(calibration).toPandas()
     if not len(trial):
         return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
@@ -239,24 +251,37 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     asking = queries.join(again, "id", "left").select("id", "row", "v", F.coalesce("own", F.lit(1)).alias("own"))
     routed, _ = table(asking.mapInArrow(route, "id long, row long, v array<double>, leaves array<int>"))
     longest_way = routed.agg(F.max(F.size("leaves"))).first()[0]
-    chunks = counts.select("leaf", F.ceil(F.col("n") / CHUNK).cast("int").alias("n"))
-    dealt = data.join(F.broadcast(chunks), "leaf").select(  # most_leaves rows
-        F.xxhash64("leaf", F.pmod(F.xxhash64("row"), F.col("n")).cast("int")).alias("tile"), F.lit(0).alias("side"), "id", "row", "v", F.lit(0.0).alias("floor"))
+    found_as = "row long, query_id long, vec_id long, score double"
 
-    def search(asked: DataFrame) -> DataFrame:
-        sent = asked.join(F.broadcast(chunks), "leaf").withColumn("c", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-            F.xxhash64("leaf", "c").alias("tile"), F.lit(1).alias("side"), "id", "row", "v", "floor")
-        both = dealt.unionByName(sent).repartition("tile").sortWithinPartitions("tile", "side")
-        return both.mapInArrow(_search(k), "row long, query_id long, vec_id long, score double")
+    def ahead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best of the longest vectors for each query."""
+        for batch in batches:
+            if batch.num_rows:
+                owners, at = batch.column("id").to_numpy(), batch.column("row").to_numpy()
+                for a, b, s in _best(matrix(batch.column("v")), owners, head_rows, head_ids, np.full(len(owners), -np.inf), k):
+                    yield pa.RecordBatch.from_arrays([pa.array(at[a]), pa.array(owners[a]), pa.array(head_ids[b]), pa.array(s)], ["row", "query_id", "vec_id", "score"])
+
+    def search(from_: int, upto: int, floors: DataFrame | None = None) -> DataFrame:
+        """What the leaves of these places on each query's way give."""
+        asked = routed.select("id", "row", "v", F.explode(F.slice("leaves", from_, upto)).alias("leaf"))
+        parts = asked.groupBy("leaf").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("parts"))
+        parts = F.broadcast(counts.join(parts, "leaf").select("leaf", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"), "parts"))  # most_leaves rows
+        asked = asked.withColumn("floor", F.lit(float("-inf"))) if floors is None else asked.join(floors, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        dealt = data.withColumn("floor", F.lit(0.0)).join(parts, "leaf").withColumn("c", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")).withColumn(
+            "p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        sent = asked.join(parts, "leaf").withColumn("p", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")).withColumn(
+            "c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        both = [x.select(F.xxhash64("leaf", "c", "p").alias("tile"), F.lit(side).alias("side"), "id", "row", "v", "floor") for side, x in enumerate((dealt, sent))]
+        return both[0].unionByName(both[1]).repartition("tile").sortWithinPartitions("tile", "side").mapInArrow(_search(k), found_as)
 
     ranked = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
-    start = routed.select("id", "row", "v", F.explode(F.slice("leaves", 1, first)).alias("leaf"), F.lit(float("-inf")).alias("floor"))
-    near = search(start).withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= k).drop("n")
+    start = search(1, first)
+    if apart:
+        start = start.unionByName(queries.select("id", "row", "v").mapInArrow(ahead, found_as))
+    near = start.withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= k).drop("n")
     near, _ = table(near)
-    floors = near.groupBy(F.col("row").alias("r")).agg(F.when(F.count("*") >= k, F.min("score")).alias("f"))
-    rest = routed.join(floors, F.col("row") == F.col("r"), "left").select(
-        "id", "row", "v", F.explode(F.slice("leaves", first + 1, tree.leaves)).alias("leaf"), F.coalesce("f", F.lit(float("-inf"))).alias("floor"))
-    found = near.unionByName(search(rest)) if longest_way > first else near
+    floors = near.groupBy("row").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
+    found = near.unionByName(search(first + 1, tree.leaves, floors)) if longest_way > first else near
     out = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return out.select(F.col("query_id").cast(kind).alias("query_id"), "rank", F.col("vec_id").cast(kind).alias("vec_id"), "score")
 

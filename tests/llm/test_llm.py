@@ -589,3 +589,25 @@ def test_nearest_among_small_leaves(spark):
     for r in ann.nearest(df, k=40, leaf_rows=16, recall=0.05).select("query_id").collect():
         counts[r.query_id] = counts.get(r.query_id, 0) + 1
     assert set(counts) == set(range(0, 1200, 20)) and all(n == (160 if q == 0 else 40) for q, n in counts.items()), counts
+
+
+def test_nearest_with_long_vectors_and_many_copies(spark, monkeypatch):
+    """A few very long vectors, a third of equal ones and many queries of one leaf leave the results as brute force gives them."""
+    monkeypatch.setattr(ann, "ASKED", 8)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 8))
+    x[::3] = x[0]
+    x[[7, 20, 41]] *= 1e9
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(5)
+    found = {}
+    for r in ann.nearest(df, k=6, every=5, leaf_rows=32, recall=1.0, apart=2).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    right = 0
+    for q in range(0, 900, 5):
+        s = np.einsum("j,ij->i", x[q], x)
+        want = [int(i) for i in np.lexsort((np.arange(900), -s)) if i != q][:6]
+        got = sorted(found[q])
+        assert [g[0] for g in got] == [1, 2, 3, 4, 5, 6]
+        assert all(np.isclose(g[2], s[g[1]], rtol=1e-12) for g in got)
+        right += len(set(want) & {g[1] for g in got})
+    assert len(found) == 180 and right >= 0.99 * 180 * 6
