@@ -48,18 +48,23 @@ def look_back(df: DataFrame, window_ms: int, chunk_ms: int | None = None, key=("
     """
     chunk_ms = max(chunk_ms or max(HOUR_MS, 10 * window_ms), 2 * window_ms)
     rows = _with_context(_series(df), key, 2 * window_ms, chunk_ms)
-    part = Window.partitionBy(*key, "_chunk").orderBy("ts")
-    prev = F.max("ts").over(part.rangeBetween(Window.unboundedPreceding, -1))
-    point = F.struct("ts", "value")
-    older = F.max(point).over(part.rangeBetween(Window.unboundedPreceding, -window_ms - 1))
-    newer = F.min(point).over(part.rangeBetween(-window_ms, 0))
-    out = rows.withColumn("_prev", prev).withColumn("_a", older).withColumn("_b", newer)
+    part = Window.partitionBy(*key, "_chunk")
+    prev = F.max("ts").over(part.orderBy("ts").rangeBetween(Window.unboundedPreceding, -1))
+    # A sample stands at its time. Each of the chunk's own also asks at its window's edge, before the samples there, for
+    # the nearest ones on both sides: one sorted pass, however many samples a window holds.
+    asks = F.explode(F.when(F.col("_own"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+    out = (rows.withColumn("_prev", prev).withColumn("_ask", asks)
+           .withColumn("_at", F.when(F.col("_ask"), F.col("ts") - window_ms).otherwise(F.col("ts")))
+           .withColumn("_point", F.when(~F.col("_ask"), F.struct("ts", "value"))))
+    order = f"PARTITION BY {', '.join(f'`{k}`' for k in key)}, _chunk ORDER BY _at, _ask DESC, _point.value"
+    out = (out.withColumn("_a", F.expr(f"lag(_point) IGNORE NULLS OVER ({order})"))
+           .withColumn("_b", F.expr(f"lead(_point) IGNORE NULLS OVER ({order})")))
     edge = F.col("ts") - window_ms
     usable = F.col("_a").isNotNull() & (F.col("_a.ts") >= F.col("_prev") - window_ms)
     low = F.when(usable & (edge - F.col("_a.ts") <= F.col("_b.ts") - edge), F.col("_a")).otherwise(F.col("_b"))
-    return (out.filter("_own").withColumn("_low", low)
+    return (out.filter("_ask").withColumn("_low", low)
             .withColumn("low_ts", F.col("_low.ts")).withColumn("low_value", F.col("_low.value"))
-            .drop("_low", "_a", "_b", "_prev", "_own", "_chunk", "_lk"))
+            .drop("_low", "_a", "_b", "_prev", "_own", "_ask", "_at", "_point", "_chunk", "_lk"))
 
 
 def previous(df: DataFrame, chunk_ms: int = HOUR_MS, key=("name", "_lk")) -> DataFrame:

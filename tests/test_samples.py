@@ -108,6 +108,28 @@ def test_look_back_equals_the_walk(spark, seed, chunk):
     assert rows(out, "seq", "low_ts", "low_value") == sorted([(i, *low) for i, low in enumerate(walk(points, 1000))], key=lambda r: str(r[0]))
 
 
+def test_look_back_bears_ties_and_nulls_without_a_sliding_frame(spark):
+    """A sliding frame adds up its window anew for each row, which is quadratic in the samples of a window."""
+    rnd = random.Random(5)
+    points = [(rnd.choice([None, 0, 1000, 1001, 2000, 2500, 3000, 7000]), rnd.choice([None, 1.0, 2.0, 3.0])) for _ in range(60)]
+    df = fam(spark, [("c", {"s": "hot"}, ts, v) for ts, v in points])
+    order = lambda p: (p[0] is not None, p[0] or 0, p[1] is not None, p[1] or 0)
+    want = []
+    for i, (ts, _) in enumerate(points):
+        if ts is None:
+            want.append((i, *min((p for p in points if p[0] is None), key=order)))
+            continue
+        known = [p for p in points if p[0] is not None]
+        before = [t for t, _ in known if t < ts]
+        old = max((p for p in known if p[0] < ts - 1000), key=order, default=None)
+        new = min((p for p in known if ts - 1000 <= p[0] <= ts), key=order)
+        use = old is not None and old[0] >= max(before) - 1000 and ts - 1000 - old[0] <= new[0] - (ts - 1000)
+        want.append((i, *(old if use else new)))
+    out = counters.look_back(df, 1000)
+    assert rows(out, "seq", "low_ts", "low_value") == sorted(want, key=lambda r: tuple((x is not None, str(x)) for x in r))
+    assert "RangeFrame, -1000," not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rates(spark):
     df = fam(spark, [("c", {}, 0, 0.0), ("c", {}, 10_000, 100.0), ("c", {}, 10_500, 500.0), ("c", {}, 20_000, 50.0)])
     assert [v for *_, v in got(counters.irate(df))] == [0.0, 10.0, 0.0, -50.0]
