@@ -11,7 +11,7 @@ from lookout.operators import naming, profiles, topology
 from lookout.operators import traces as T
 from lookout.sources import zipkin
 
-from conftest import rows
+from conftest import SF, rows
 
 
 def paths(df, *cols):
@@ -164,6 +164,44 @@ def test_segment_rows_from_spans_equal_those_from_segments(spark):
         assert rows(one) == rows(other.withColumn("tags", F.sort_array("tags")).withColumn("is_error", F.coalesce("is_error", F.lit(False))))
 
 
+SEARCH_SPANS = [("t1", "s", "svc", "i", n, n // 2, 100 + n, 140 + 3 * n, f"/op{n}", "peer", "Entry" if n % 3 == 0 else "Exit", "Http", n, n == 4, False,
+                 [("http.status_code", str(200 + n)), ("db.statement", "x" * 300), ("db.type", "y" * 300), ("mq.topic", None)] if n != 7 else [], [])
+                for n in range(8)] + [("t2", "s2", "svc", "i", 0, -1, 5, 9, "/a", "", "Entry", "Http", 0, None, False, None, [])]
+
+
+def _search_spans(spark):
+    return spark.createDataFrame(SEARCH_SPANS, "trace_id string, segment_id string, service string, instance string, span_id int, parent_span_id int, start_time bigint, end_time bigint, "
+                                 f"operation string, peer string, span_type string, span_layer string, component_id int, is_error boolean, skip_analysis boolean, tags {T.TAGS_TYPE}, refs {T.REFS_TYPE}")
+
+
+def test_only_what_a_search_reads_is_gathered(spark):
+    s = _search_spans(spark)
+    whole = T.segment_rows(T.gather_segments(s))
+    assert rows(T.segment_rows(T.gather_segments(T.searched(s)))) == rows(whole)
+    untagged = T.segment_rows(T.gather_segments(T.searched(s, tags=False)))
+    assert untagged.columns == whole.columns[:-1] and rows(untagged) == rows(whole.drop("tags"))
+
+
+@pytest.mark.parametrize("name,unread", [("src_spans", ("refs", "tags")), ("sort_trace", ("refs", "tags")), ("tr_sampling", ("refs", "tags")),
+                                         ("fn_tags_search", ("refs",)), ("sink_kafka_trace", ("refs",))])
+def test_unread_fields_of_spans_are_not_shuffled(spark, name, unread):
+    from lookout.plans import registry
+
+    registry.load()
+    plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    built = {"refs": "CrossProcess", "tags": "db.statement"}
+    assert "collect_list" in plan and not any(built[c] in plan for c in unread)
+
+
+def test_a_page_of_traces_is_found_once(spark):
+    from lookout.plans import registry
+
+    registry.load()
+    got = registry.QUERIES["q_trace_page"](spark, SF)
+    assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.select("trace_id").distinct().count() == 10
+
+
 # ---- lookups with uneven keys ----
 
 def test_heavy_keys_are_dealt_over_tasks(spark):
