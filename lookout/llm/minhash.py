@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, mix, shingle_sets, table, text_chunks
+from .common import forget, frugal, mix, shingle_sets, table, text_chunks
 from .components import components, joined
 from .vectors import whole_tiles
 
@@ -161,11 +161,11 @@ def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     they agree, and give out the links that join components: at most one for each member and tile.
     """
     short = members.join(sets.select("digest", "short"), "digest")
-    likely = _dealt(short, "band", TILE, ["digest", "root", "short"]).mapInArrow(_alike, "a binary, b binary")
+    likely = _dealt(short, "band", TILE, ["digest", "root", "short"]).mapInArrow(frugal(_alike), "a binary, b binary")
     clusters, _ = table(components(likely))
     roots = members.select("digest", "root").distinct()
     inside = clusters.select(F.col("node").alias("digest"), F.col("root").alias("cluster")).join(roots, "digest").join(sets, "digest")
-    return _dealt(inside, "cluster", TILE // 2, ["digest", "root", "short", "shingles"]).mapInArrow(_joining(percent), "a binary, b binary")
+    return _dealt(inside, "cluster", TILE // 2, ["digest", "root", "short", "shingles"]).mapInArrow(frugal(_joining(percent)), "a binary, b binary")
 
 
 def _joining(percent: int):
@@ -204,7 +204,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets are similar enough."""
     left = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a binary, b binary")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(frugal(_confirm(percent)), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    rows, _ = table(source.mapInArrow(_signed("_text", words), f"key {kind}, n_shingles long, digest binary, bands array<long>"), batch=1000)
+    rows, _ = table(source.mapInArrow(frugal(_signed("_text", words)), f"key {kind}, n_shingles long, digest binary, bands array<long>"), batch=1000)
     full = rows.where("digest is not null")
     classes = full.groupBy("digest").agg(F.min("key").alias("least"), F.first("bands").alias("bands"))
     band = classes.select("digest", F.posexplode("bands").alias("_i", "_b")).select("digest", F.xxhash64("_i", "_b").alias("band"))
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     nodes = buckets.select("digest").distinct()
     # the whole texts of one document of each class that shares a band
     wanted = rows.join(nodes, "digest", "left_semi").groupBy("digest").agg(F.min("key").alias("w")).select("w").distinct()
-    whole = source.join(wanted, F.col("_key").eqNullSafe(F.col("w")), "left_semi").mapInArrow(_sets("_text", words), "digest binary, shingles binary, short binary")
+    whole = source.join(wanted, F.col("_key").eqNullSafe(F.col("w")), "left_semi").mapInArrow(frugal(_sets("_text", words)), "digest binary, shingles binary, short binary")
     sets, _ = table(whole.join(nodes, "digest", "left_semi").dropDuplicates(["digest"]), batch=1000)
     links = None
     roots, turn, before = None, 0, 0

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, text_chunks
+from .common import CHUNK_BYTES, frugal, text_chunks
 
 #: words whose ids a worker remembers: so many new ones, and as many of the generation before
 REMEMBERED = 400_000
@@ -306,6 +306,6 @@ def packed(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     bears = F.col(loss).cast("long") if loss else F.lit(None).cast("long")
     limits = {"length": length, "segments": segments, "loss": loss_tokens, "most": open_bins}
     out = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), bears.alias("_loss")).mapInArrow(
-        _run(tokenizer, end_id, limits, ids),
+        frugal(_run(tokenizer, end_id, limits, ids)),
         f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * ids)
     return out.withColumnRenamed("key", key)

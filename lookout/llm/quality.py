@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import span_hashes, table, text_chunks, word_bounds
+from .common import frugal, span_hashes, table, text_chunks, word_bounds
 
 #: the statistics, in order, with the rate of each in ordinary prose; PSEUDO words or characters of ordinary prose are
 #: added to every text, so that a few words alone do not make a text look odd
@@ -169,10 +169,10 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     """The classifier learned from all labelled rows outside the held-out fold, and the statistics ``key, x`` of every row."""
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"))
-    rows, _ = table(source.mapInArrow(_features, f"key {kind}, x array<double>"), batch=2000)
+    rows, _ = table(source.mapInArrow(frugal(_features), f"key {kind}, x array<double>"), batch=2000)
     y = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("y"))
     known = rows.where(~held_out(F.col("key"), folds)).join(y, "key").select("x", F.col("y").cast("int").alias("y"))
-    sums = known.mapInArrow(_moments, "y int, m array<double>").select("y", F.posexplode("m").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v"))
+    sums = known.mapInArrow(frugal(_moments), "y int, m array<double>").select("y", F.posexplode("m").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v"))
     moments = {c: np.zeros(1 + len(STATISTICS) + len(STATISTICS) ** 2) for c in (0, 1)}
     for r in sums.collect():  # 2 x (1 + d + d * d) numbers
         moments[r["y"]][r["i"]] = r["v"]
@@ -201,7 +201,7 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(model.score(_matrix(batch.column("x"))) if batch.num_rows else np.zeros(0))],
                                              ["key", "score"])
 
-    out = rows.mapInArrow(score, f"key {kind}, score double")
+    out = rows.mapInArrow(frugal(score), f"key {kind}, score double")
     return out.select(F.col("key").alias(key), held_out(F.col("key"), folds).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -218,4 +218,4 @@ def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
                 good = model.score(statistics(data, offsets)) >= threshold
                 yield batch.slice(first, end - first).filter(pa.array(good))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(frugal(keep), docs.schema)

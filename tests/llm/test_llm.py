@@ -1,6 +1,7 @@
 """Corpus operators against brute force on small fixtures: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import hashlib
+import inspect
 import pathlib
 import random
 import re
@@ -9,10 +10,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lookout.llm import ann, embedding, langid, licenses, mixing, minhash, packing, pii, quality, suffix
+from lookout.llm import ann, common, embedding, langid, licenses, mixing, minhash, packing, pii, quality, suffix
 from lookout.llm import queries as Q
 from lookout.llm.components import components
 from tools.check import TABLES, rows_of
@@ -611,3 +613,15 @@ def test_nearest_with_long_vectors_and_many_copies(spark, monkeypatch):
         assert all(np.isclose(g[2], s[g[1]], rtol=1e-12) for g in got)
         right += len(set(want) & {g[1] for g in got})
     assert len(found) == 180 and right >= 0.99 * 180 * 6
+
+
+def test_a_worker_gives_memory_back(monkeypatch):
+    """Spark keeps its Python workers; what a step has freed must not count for the executor in later steps."""
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    step = common.frugal(lambda batches: (b.slice(1) for b in batches))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3])], ["x"])
+    assert [b.num_rows for b in step(iter([batch, batch]))] == [2, 2] and calls == [1]
+    for module in (quality, minhash, packing):
+        text = inspect.getsource(module)
+        assert text.count("mapInArrow(") == len(re.findall(r"mapInArrow\(\s*frugal\(", text))
