@@ -193,6 +193,29 @@ def test_unread_fields_of_spans_are_not_shuffled(spark, name, unread):
     assert "collect_list" in plan and not any(built[c] in plan for c in unread)
 
 
+def test_lines_of_many_orders_are_dealt_over_bounded_parts(spark):
+    from lookout.plans import frames
+
+    n = frames.table(spark, SF, "lineitem").count()
+    few, many = frames.lines_by_order(spark, SF), frames.lines_by_order(spark, SF, n // 40)
+    exchange = "REPARTITION_BY_NUM"
+    assert exchange not in few._jdf.queryExecution().toString() and exchange in many._jdf.queryExecution().toString()
+    assert many.rdd.getNumPartitions() == -(-n // (n // 40)) and rows(many) == rows(few)
+    parts = many.select("l_orderkey", F.spark_partition_id().alias("p")).distinct()
+    assert parts.count() == many.select("l_orderkey").distinct().count()
+
+
+def test_spans_of_dealt_lines_are_the_same(spark, monkeypatch):
+    from lookout.plans import frames
+
+    whole = rows(frames.spans(spark, SF).select("trace_id", "span_id", "service", "operation", "is_error"))
+    plain = frames.lines_by_order
+    monkeypatch.setattr(frames, "lines_by_order", lambda s, sf: plain(s, sf, 100))
+    dealt = frames.spans(spark, SF)
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().toString()
+    assert rows(dealt.select("trace_id", "span_id", "service", "operation", "is_error")) == whole
+
+
 def test_a_page_of_traces_is_found_once(spark):
     from lookout.plans import registry
 
