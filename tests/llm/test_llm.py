@@ -554,6 +554,29 @@ def test_components(spark):
     assert got == {k: min(v) for k, v in root.items()}
 
 
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    from lookout.llm import components as C
+
+    written, real = [], C.table
+    monkeypatch.setattr(C, "table", lambda *a, **k: written.append(1) or real(*a, **k))
+    chain = spark.range(3000).repartition(4).selectExpr("encode(lpad(id, 5, '0'), 'utf-8') a", "encode(lpad(id + 1, 5, '0'), 'utf-8') b")
+    got = C.components(chain).collect()
+    assert len(got) == 3001 and {bytes(r.root) for r in got} == {b"00000"} and len(written) == 2
+    monkeypatch.setattr(C, "TOGETHER", 1)  # of the driver: what tasks leave goes through rounds
+    assert sorted(C.components(chain).collect()) == sorted(got) and len(written) > 4
+
+
+def test_stars_of_chunks(monkeypatch):
+    from lookout.llm import components as C
+
+    monkeypatch.setattr(C, "TOGETHER", 4)
+    edges = [(b"d", b"\xff"), (b"c", b"d"), (b"b", b"b2"), (b"c", b"d"), (b"d", b"a"), (b"z", b"y")]
+    batches = [pa.RecordBatch.from_pydict({"a": pa.array([e[0]], pa.binary()), "b": pa.array([e[1]], pa.binary())}) for e in edges]
+    got = [list(zip(x.column("a").to_pylist(), x.column("b").to_pylist())) for x in C._stars(iter(batches))]
+    assert got == [[(b"b2", b"b"), (b"d", b"c"), (b"\xff", b"c")], [(b"d", b"a"), (b"z", b"y")]]
+    assert list(C._stars(iter(()))) == []
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
 
