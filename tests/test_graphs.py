@@ -216,6 +216,20 @@ def test_spans_of_dealt_lines_are_the_same(spark, monkeypatch):
     assert rows(dealt.select("trace_id", "span_id", "service", "operation", "is_error")) == whole
 
 
+def test_dealt_spans_are_gathered_where_they_are_made(spark, monkeypatch):
+    from lookout.operators import traces as T
+    from lookout.plans import frames
+
+    text = lambda df: rows(df.select("trace_id", F.to_json("spans")))
+    whole = text(T.gather_segments(frames.spans(spark, SF)))
+    for name in ("lines_by_order", "orders_by_trace"):
+        monkeypatch.setattr(frames, name, lambda s, sf, plain=getattr(frames, name): plain(s, sf, 100))
+    dealt = T.gather_segments(frames.spans(spark, SF))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan and "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+    assert text(dealt) == whole
+
+
 def test_a_page_of_traces_is_found_once(spark):
     from lookout.plans import registry
 
