@@ -193,6 +193,60 @@ def test_unread_fields_of_spans_are_not_shuffled(spark, name, unread):
     assert "collect_list" in plan and not any(built[c] in plan for c in unread)
 
 
+def test_kafka_gets_whole_segments(spark):
+    from lookout.sinks import writers
+
+    s = _search_spans(spark).withColumn("refs", F.when(F.col("span_id") == 3, F.array(F.struct(*[F.lit(str(n)).alias(c) if c != "parent_span_id" else F.lit(n).alias(c) for n, c in enumerate(
+        ("ref_type", "trace_id", "parent_segment_id", "parent_span_id", "parent_service", "parent_instance", "parent_endpoint", "network_address"))]))).otherwise(F.col("refs")))
+    segments = T.gather_segments(s)
+    sent = writers.kafka_traces(T.segment_rows(segments, whole=True))
+    back = sent.select("key", F.from_json("value", segments.schema).alias("s")).select("key", "s.*")
+    assert rows(back, "key", *segments.columns) == rows(segments.select(F.col("segment_id").alias("key"), *segments.columns)) and sent.count() == 2
+    row = T.segment_rows(segments)
+    assert rows(sent.select(F.from_json("value", row.schema).alias("r")).select("r.*")) == rows(row)
+    assert rows(writers.kafka_traces(T.segment_rows(segments, whole=True), errors_only=True)) == [r for r in rows(sent) if r[0] == "s"]
+
+
+def test_kafka_messages_of_the_query_hold_all_spans(spark, tmp_path):
+    import json
+    from datetime import datetime
+
+    import duckdb
+    from lookout.plans import registry
+
+    registry.load()
+    day = datetime(2024, 1, 2)
+    tables = {"orders": (" o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string, o_orderstatus string",
+                         [(1, 21, day, "1-URGENT", "F"), (2, 22, day, "5-LOW", "O"), (3, 23, day, "2-HIGH", "O"), (4, 24, day, "3-MEDIUM", "F")]),
+              "lineitem": ("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_returnflag string",
+                           [(1, n, 50 + n, 30 + n, 5.0 + n, "N") for n in range(1, 7)] + [(1, 6, 56, 36, 11.0, "N")] + [(2, n, 9 * n, n, 1.0, "R" if n == 3 else "A") for n in range(1, 5)] + [(3, 1, 7, 8, 9.0, "N")])}
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = registry.QUERIES["sink_kafka_trace"](spark, str(tmp_path))
+    assert got.columns == ["key", "value"]
+    messages = dict(rows(got))
+    assert messages == dict(con.execute(registry.ORACLE["sink_kafka_trace"]).fetchall())
+    spans = {k: json.loads(v)["spans"] for k, v in messages.items()}
+    assert {k: len(v) for k, v in spans.items()} == {"t1.a": 8, "t2.a": 5, "t4.a": 1}
+    assert all(tuple(x) == T.SPAN_FIELDS and len(x["tags"]) == 7 for v in spans.values() for x in v)
+    assert [[r["parent_service"] for r in x["refs"]] for x in spans["t1.a"]] == [[], [], [], ["cust_13"], [], [], ["cust_16"], []]
+
+
+def test_spans_that_are_written_are_the_same_and_not_moved_again(spark):
+    from lookout.plans import frames
+
+    text = lambda df: rows(df.select(F.to_json(F.struct("*"))))
+    want = text(frames.spans(spark, SF))
+    few, many = frames.stored_spans(spark, SF), frames.stored_spans(spark, SF, 100)
+    assert text(few) == text(many) == want and many.columns == frames.spans(spark, SF).columns
+    segments = T.gather_segments(many)
+    assert "Exchange" not in segments._jdf.queryExecution().executedPlan().toString()
+    assert segments.count() == T.gather_segments(few).count() and not [t for t in spark.catalog.listTables() if t.name.startswith("round_")]
+
+
 def test_lines_of_many_orders_are_dealt_over_bounded_parts(spark):
     from lookout.plans import frames
 
